@@ -25,8 +25,14 @@ from lagscope.plans.periods import QUARTERS_BACK
 from lagscope.plans.staging import stage_observations
 from lagscope.registry import roles
 from lagscope.session import scratch_dir
-from lagscope.sources import materialize, read_chart_payloads, read_observation_payloads
-from lagscope.sources.schemas import NANOS_PER_SECOND
+from lagscope.sources import (
+    land_series,
+    materialize,
+    read_chart_payloads,
+    read_observation_payloads,
+    read_series,
+)
+from lagscope.sources.schemas import NANOS_PER_SECOND, RAW_OBSERVATIONS, RAW_PRICES
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
@@ -269,8 +275,16 @@ def land_report(spark, sf_dir):
 
 
 def _landed_models(spark, sf_dir):
-    """Raw tables written once; every model, and every check, reads those."""
-    raw = {name: materialize(make(spark, sf_dir), name) for name, make in roles.RAW_TABLES.items()}
+    """Raw tables landed once, prices and observations in one job each; every model, and
+    every check, reads those."""
+    raw = {}
+    for names, schema in (
+        (models.RAW_PRICE_TABLES, RAW_PRICES),
+        (models.RAW_OBSERVATION_TABLES, RAW_OBSERVATIONS),
+    ):
+        path = scratch_dir(spark, "raw")
+        land_series({name: roles.RAW_TABLES[name](spark, sf_dir) for name in names}, path)
+        raw |= {name: read_series(spark, path, name, schema) for name in names}
     return models.build_models(raw)
 
 

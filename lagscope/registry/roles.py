@@ -138,14 +138,14 @@ def _stacked(days: DataFrame, series: dict[str, tuple[Column, Column]]) -> DataF
     return days.select(F.inline(cells)).filter(F.col("value").isNotNull())
 
 
-def _observed(stacked: DataFrame, summed: str) -> DataFrame:
-    """Sum the series that adds up over its month; the others take their highest."""
-    total = F.sum(F.when(F.col("series_id") == summed, F.col("value")))
+def _observed(stacked: DataFrame) -> DataFrame:
+    """Sum the series that add up over a month; the others take their highest."""
+    total = F.sum(F.when(F.col("series_id").isin("inventory", "new_orders"), F.col("value")))
     return stacked.groupBy("series_id", "date").agg(F.coalesce(total, F.max("value")).alias("value"))
 
 
-def line_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three series in ``lineitem`` as stacked observations, from one scan of it."""
+def _line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices, inventories and price index per day, stacked, from one scan."""
     day, month = F.col("day"), F.trunc("day", "MM")
     days = (
         table(spark, sf_dir, "lineitem")
@@ -161,11 +161,11 @@ def line_series(spark: SparkSession, sf_dir: str) -> DataFrame:
         "inventory": (month, amount(F.col("cents"))),
         "semiconductor_ppi": (month, F.col("unit_price")),
     }
-    return _observed(_stacked(days, series), "inventory")
+    return _stacked(days, series)
 
 
-def order_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The two series in ``orders`` as stacked observations, from one scan of it."""
+def _order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark and new orders per day, stacked, from one scan."""
     day, month = F.col("day"), F.trunc("day", "MM")
     days = (
         table(spark, sf_dir, "orders")
@@ -173,11 +173,22 @@ def order_series(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.max("o_totalprice").alias("price"), F.sum(cents(F.col("o_totalprice"))).alias("cents"))
     )
     series = {"sp500": (day, F.col("price")), "new_orders": (month, amount(F.col("cents")))}
-    return _observed(_stacked(days, series), "new_orders")
+    return _stacked(days, series)
+
+
+def line_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three series in ``lineitem`` as stacked observations."""
+    return _observed(_line_rows(spark, sf_dir))
+
+
+def order_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two series in ``orders`` as stacked observations."""
+    return _observed(_order_rows(spark, sf_dir))
 
 
 def all_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_series(spark, sf_dir).unionByName(order_series(spark, sf_dir))
+    """All five series as stacked observations, from one scan of each table."""
+    return _observed(_line_rows(spark, sf_dir).unionByName(_order_rows(spark, sf_dir)))
 
 
 def supplier_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,11 @@
-from lagscope.sources.landing import land, materialize, read_raw, refresh_table
+from lagscope.sources.landing import (
+    land,
+    land_series,
+    materialize,
+    read_raw,
+    read_series,
+    refresh_table,
+)
 from lagscope.sources.payloads import read_chart_payloads, read_observation_payloads
 from lagscope.sources.schemas import (
     CHART_PAYLOAD,
@@ -13,9 +20,11 @@ __all__ = [
     "RAW_OBSERVATIONS",
     "RAW_PRICES",
     "land",
+    "land_series",
     "materialize",
     "read_chart_payloads",
     "read_observation_payloads",
     "read_raw",
+    "read_series",
     "refresh_table",
 ]

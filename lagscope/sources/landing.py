@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lagscope.session import scratch_dir
 
@@ -18,15 +20,31 @@ def read_raw(spark: SparkSession, path: str, schema: str | None = None) -> DataF
     return reader.parquet(path)
 
 
-def land(df: DataFrame, path: str, series: Sequence[str] = (), mode: str = "overwrite") -> None:
-    """Write snappy Parquet, one folder per value of ``series`` where given.
+def land(df: DataFrame, path: str, series: Sequence[str] = (), cluster: Sequence[str] = ()) -> None:
+    """Write snappy Parquet in place of what is there.
 
-    The rebalance hint puts rows of a series together in files of even size; a series
-    with a large share of the rows is split over several tasks.
+    ``series`` makes one folder per value, for up to some hundred series. The rebalance
+    hint brings a series together in files of even size, and splits one with many rows
+    over several tasks. ``cluster`` is for more series than that: rows are sorted by it
+    across files, so a filter on it skips most of them, and a large series fills several.
     """
     if series:
         df = df.hint("rebalance", *series)
-    df.write.mode(mode).option("compression", "snappy").partitionBy(*series).parquet(path)
+    elif cluster:
+        df = df.repartitionByRange(*cluster).sortWithinPartitions(*cluster)
+    df.write.mode("overwrite").option("compression", "snappy").partitionBy(*series).parquet(path)
+
+
+def land_series(frames: Mapping[str, DataFrame], path: str) -> None:
+    """Land several series of one shape in one job, each in its own folder."""
+    named = [df.withColumn("series_id", F.lit(name)) for name, df in frames.items()]
+    land(reduce(DataFrame.unionByName, named), path, ["series_id"])
+
+
+def read_series(spark: SparkSession, path: str, name: str, schema: str) -> DataFrame:
+    """One of the landed series; only its folder is read."""
+    landed = read_raw(spark, path, f"{schema}, series_id string")
+    return landed.filter(F.col("series_id") == name).drop("series_id")
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
@@ -40,22 +58,22 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def refresh_table(df: DataFrame, table: str, root: str, series: Sequence[str] = ()) -> None:
+def refresh_table(df: DataFrame, table: str, root: str) -> None:
     """Replace the whole content of a catalog table.
 
     The new rows go to a folder of their own and the table is pointed at it once they
-    are complete, so readers see the old rows or the new ones and never a missing table.
+    are complete, so readers see the old rows or the new ones and never a part. Only
+    where the columns changed is the table dropped and made anew. Earlier folders stay,
+    for readers still at work in them.
     """
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/{table}/{uuid.uuid4().hex}"
-    land(df, path, series)
+    land(df, path)
     written = spark.read.parquet(path)
     if spark.catalog.tableExists(table):
-        if spark.table(table).schema == written.schema and not series:
+        if spark.table(table).schema == written.schema:
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
             spark.catalog.refreshTable(table)
             return
         spark.sql(f"DROP TABLE {table}")
     spark.catalog.createTable(table, path=path, source="parquet")
-    if series:
-        spark.catalog.recoverPartitions(table)
