@@ -134,16 +134,16 @@ def fact_from_series(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return _finish_fact(labelled, keys)
 
 
-def fact_with_shared(
-    target: DataFrame, shared: DataFrame, keys: Sequence[str]
-) -> DataFrame:
+def fact_with_shared(target: DataFrame, shared: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The fact of many targets that share one benchmark and one set of indicators.
 
     ``target`` holds one row per ``keys`` and quarter with the target's columns,
-    ``shared`` one row per quarter: some hundreds at most, however many targets and raw
-    rows there are, which is what makes it safe to broadcast.
+    ``shared`` the stacked quarters of the other series. Those are spread to one row per
+    quarter here, so what is broadcast has at most four rows a year however many targets
+    and raw rows there are.
     """
-    aligned = target.join(F.broadcast(shared), PERIOD_ORDER, "left")
+    names = [name for name in SERIES_COLUMNS if name != "smh"]
+    aligned = target.join(F.broadcast(spread_quarters(shared, names)), PERIOD_ORDER, "left")
     labelled = aligned.withColumn("year_quarter", quarter_label(F.col("year"), F.col("quarter")))
     return _finish_fact(labelled, keys)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lagscope.plans import contracts
 from lagscope.plans.marts import INDICATORS, LAG_LABELS, LAGS
+from lagscope.plans.models import MODEL_LAYERS
 
 # Common table expressions, by name, in the order they may refer to each other.
 TARGET_DAYS = """
@@ -402,6 +403,12 @@ def _checks(checks: list[str]) -> str:
     return _with([*FACT, _bank(), _matrix(), *_all_models()], " UNION ALL ".join(checks))
 
 
+def _row_counts() -> str:
+    models = [model for layer in MODEL_LAYERS.values() for model in layer]
+    counts = [f"SELECT '{model}' AS model, count(*) AS row_count FROM {model}" for model in models]
+    return _with([*FACT, _bank(), _matrix(), *_all_models()], " UNION ALL ".join(counts))
+
+
 def _declared(check, contract: dict[str, list[str]]) -> list[str]:
     return [check(model, column) for model, columns in contract.items() for column in columns]
 
@@ -490,6 +497,7 @@ ORACLES: dict[str, str] = {
         [_ORDER_RECORDS], _rounded(["value"], ["series_id", "realtime_start", "realtime_end", "date"], "records")
     ),
     "land_report": _REPORT,
+    "refresh_models": _row_counts(),
     "dq_not_null": _checks(_declared(_not_null, contracts.NOT_NULL)),
     "dq_unique": _checks(_declared(_unique, contracts.UNIQUE)),
     "dq_grain": _checks(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -274,9 +275,8 @@ def land_report(spark, sf_dir):
 # --- checks -------------------------------------------------------------------------
 
 
-def _landed_models(spark, sf_dir):
-    """Raw tables landed once, prices and observations in one job each; every model, and
-    every check, reads those."""
+def _landed(spark, sf_dir):
+    """The raw tables landed once, prices and observations in one job each."""
     raw = {}
     for names, schema in (
         (models.RAW_PRICE_TABLES, RAW_PRICES),
@@ -285,11 +285,23 @@ def _landed_models(spark, sf_dir):
         path = scratch_dir(spark, "raw")
         land_series({name: roles.RAW_TABLES[name](spark, sf_dir) for name in names}, path)
         raw |= {name: read_series(spark, path, name, schema) for name in names}
-    return models.build_models(raw)
+    return raw
 
 
 def _checks(*kinds: str) -> Query:
-    return lambda spark, sf_dir: models.run_checks(_landed_models(spark, sf_dir), kinds)
+    def run(spark, sf_dir):
+        return models.run_checks(models.build_models(_landed(spark, sf_dir)), kinds)
+
+    return run
+
+
+def refresh_models(spark, sf_dir):
+    """A full refresh: views over the landed tables, marts as catalog tables; the rows of each."""
+    published = models.publish(spark, _landed(spark, sf_dir), scratch_dir(spark, "marts"))
+    counts = [
+        spark.table(name).agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("row_count")) for name in published
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def dq_order_records(spark, sf_dir):
@@ -343,6 +355,7 @@ QUERIES: dict[str, Query] = {
     "land_chart_payload": land_chart_payload,
     "land_observation_payload": land_observation_payload,
     "land_report": land_report,
+    "refresh_models": refresh_models,
     "dq_not_null": _checks("not_null"),
     "dq_unique": _checks("unique"),
     "dq_grain": _checks("grain", "row_count"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lagscope.functions import date_then
 from lagscope.functions.casting import EXACT_NUMERIC
 from lagscope.operators import resample, with_changes
-from lagscope.plans.marts import SERIES_COLUMNS, quarter_changes, spread_quarters
+from lagscope.plans.marts import SERIES_RULES, quarter_changes
 from lagscope.plans.periods import QUARTERS_BACK
 from lagscope.sources.schemas import NANOS_PER_SECOND
 
@@ -206,7 +206,6 @@ def supplier_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark and indicators, one row per quarter."""
-    names = [name for name in SERIES_COLUMNS if name != "smh"]
-    series = all_series(spark, sf_dir).filter(F.col("series_id").isin(names))
-    return spread_quarters(quarter_changes(series), names)
+    """Stacked quarters of the benchmark and the indicators."""
+    names = [name for name in SERIES_RULES if name != "smh"]
+    return quarter_changes(all_series(spark, sf_dir).filter(F.col("series_id").isin(names)))

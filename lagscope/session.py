@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Do not look up the Python call site of every column expression: it takes longer
+    # than building the plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
