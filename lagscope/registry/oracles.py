@@ -141,7 +141,7 @@ def _matrix(key: str = "") -> str:
 
     def cell(lag: str) -> str:
         pairs = f"FILTER (WHERE smh_vs_sp500_yoy IS NOT NULL AND {lag} IS NOT NULL)"
-        varies = " AND ".join(f"stddev_pop({x}) {pairs} > 0" for x in ("smh_vs_sp500_yoy", lag))
+        varies = " AND ".join(f"min({x}) {pairs} < max({x}) {pairs}" for x in ("smh_vs_sp500_yoy", lag))
         return f"CASE WHEN {varies} THEN corr(smh_vs_sp500_yoy, {lag}) END AS {lag}"
 
     return f"\nmatrix AS (SELECT {keyed}indicator, {', '.join(cell(lag) for lag in LAGS)} FROM bank GROUP BY ALL)"

@@ -1,0 +1,29 @@
+"""Every registered query against its SQL on the test tables."""
+
+from pathlib import Path
+
+import pytest
+from compare import database, differences
+
+from __spark_entry__ import entry, oracle_sql, queries
+
+SF_DIR = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def con():
+    return database(SF_DIR)
+
+
+def test_every_query_has_its_sql():
+    assert set(queries()) == set(oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_query_equals_sql(spark, con, name):
+    assert differences(queries()[name](spark, SF_DIR), con, oracle_sql()[name]) == []
+
+
+def test_entry(spark):
+    assert entry(spark).count() == 3

@@ -1,0 +1,111 @@
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from lagscope.operators import last_rows, resample, resample_by_rule
+
+DAYS = [
+    ("a", date(2024, 1, 5), 1.0),
+    ("a", date(2024, 3, 28), 2.0),
+    ("a", date(2024, 3, 29), None),
+    ("a", date(2024, 4, 1), 4.0),
+    ("a", date(2025, 2, 1), 8.0),
+    ("b", date(2024, 2, 1), 10.0),
+    ("b", date(2024, 2, 2), 30.0),
+]
+
+
+@pytest.fixture
+def days(spark):
+    return spark.createDataFrame(DAYS, "k string, date date, v double")
+
+
+def test_last_keeps_null_values(days, rows):
+    found = rows(resample(days.filter("k = 'a'"), "quarter", "last", "v"))
+    assert found == [
+        (date(2024, 3, 29), 2024, 1, "2024-Q1", None),
+        (date(2024, 4, 1), 2024, 2, "2024-Q2", 4.0),
+        (date(2025, 2, 1), 2025, 1, "2025-Q1", 8.0),
+    ]
+
+
+def test_sum_and_average_skip_null_values(days, rows):
+    one = days.filter("k = 'a'")
+    assert rows(resample(one, "quarter", "sum", "v", out="s"))[0] == (2024, 1, "2024-Q1", 3.0)
+    assert rows(resample(one, "quarter", "avg", "v", out="s"))[0] == (2024, 1, "2024-Q1", 1.5)
+    assert rows(resample(one, "year", "sum", "v")) == [(2024, 7.0), (2025, 8.0)]
+    assert rows(resample(one, "month", "avg", "v"))[1] == ("2024-03", 2.0)
+
+
+def test_a_panel_equals_its_series_one_by_one(days, rows):
+    for rule in ("last", "sum", "avg"):
+        panel = resample(days, "quarter", rule, "v", keys=["k"])
+        for k in ("a", "b"):
+            single = resample(days.filter(F.col("k") == k), "quarter", rule, "v")
+            assert rows(panel.filter(F.col("k") == k).drop("k")) == rows(single)
+
+
+def test_quarters_add_up_to_the_year(days, rows):
+    quarters = resample(days, "quarter", "sum", "v", keys=["k"]).groupBy("k", "year").agg(F.sum("v"))
+    assert rows(quarters) == rows(resample(days, "year", "sum", "v", keys=["k"]))
+
+
+def test_rows_of_one_date_are_picked_the_same_way_however_they_are_spread(spark):
+    same_day = [(date(2024, 1, 31), float(i), f"n{i}") for i in range(50)]
+    picked = set()
+    for partitions in (1, 3, 7):
+        df = spark.createDataFrame(same_day[::-1], "date date, v double, n string").repartition(partitions)
+        row = last_rows(df, "month", ["v", "n"]).first()
+        assert row["n"] == f"n{int(row['v'])}", "columns must come from one row"
+        picked.add(row["v"])
+    assert len(picked) == 1
+
+
+def test_rows_without_a_date_form_a_period(spark, rows):
+    df = spark.createDataFrame([(None, 1.0), (date(2024, 1, 1), 2.0)], "date date, v double")
+    assert rows(last_rows(df, "month", ["v"])) == sorted(
+        [(None, None, 1.0), (date(2024, 1, 1), "2024-01", 2.0)], key=repr
+    )
+
+
+def test_each_series_by_its_own_rule(spark, days, rows):
+    exact = days.withColumn("value", F.col("v").cast("decimal(38,9)"))
+    long = exact.select(F.explode(F.array(F.lit("l"), F.lit("s"), F.lit("m"))).alias("series_id"), "k", "date", "value")
+    rules = {"l": "last", "s": "sum", "m": "avg"}
+    stacked = resample_by_rule(long, "quarter", rules, keys=["k"])
+    for name, rule in rules.items():
+        single = resample(exact, "quarter", rule, "value", keys=["k"])
+        single = single.select("k", "year_quarter", F.col("value").cast("double"))
+        ours = stacked.filter(F.col("series_id") == name).select("k", "year_quarter", "value")
+        assert rows(ours) == rows(single)
+
+
+def test_sums_of_decimals_are_exact(spark):
+    df = spark.createDataFrame([(date(2024, 1, 1), Decimal("0.1"))] * 10, "date date, v decimal(38,9)")
+    assert resample(df, "year", "sum", "v").first()["v"] == Decimal("1")
+
+
+def test_unknown_rules_and_grains_are_refused(days):
+    with pytest.raises(ValueError, match="unknown rule"):
+        resample(days, "quarter", "median", "v")
+    with pytest.raises(ValueError, match="unknown grain"):
+        resample(days, "week", "last", "v")
+    with pytest.raises(ValueError, match="unknown rules"):
+        resample_by_rule(days, "quarter", {"a": "median"}, series="k", value="v")
+
+
+def test_a_series_with_most_of_the_rows_is_combined_before_it_is_sent(spark):
+    """Every task sends at most one row per series and period."""
+    rows = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 500)).alias("k"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 366).cast("int")).alias("date"),
+        F.col("id").cast("decimal(38,9)").alias("v"),
+    )
+    quarters = resample(rows, "quarter", "sum", "v", keys=["k"])
+    plan = quarters._jdf.queryExecution().executedPlan().toString()
+    exchange, partial = plan.index("Exchange"), plan.index("partial_sum")
+    assert exchange < partial and "SortAggregate" not in plan
+    total = sum(range(60_000))
+    assert quarters.agg(F.sum("v")).first()[0] == total

@@ -1,0 +1,134 @@
+import json
+from datetime import date, datetime
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
+
+from lagscope.plans.staging import stage_observations, stage_prices
+from lagscope.session import scratch_dir
+from lagscope.sources import (
+    RAW_OBSERVATIONS,
+    RAW_PRICES,
+    land,
+    land_series,
+    read_chart_payloads,
+    read_observation_payloads,
+    read_raw,
+    read_series,
+    refresh_table,
+)
+
+
+def chart(timestamps, close):
+    quote = {"open": close, "high": close, "low": close, "close": close, "volume": [10] * len(close)}
+    indicators = {"quote": [quote], "adjclose": [{"adjclose": close}]}
+    return {"chart": {"result": [{"meta": {"x": 1}, "timestamp": timestamps, "indicators": indicators}]}}
+
+
+def test_chart_payloads_one_file_per_series(spark, tmp_path, rows):
+    for name, closes in (("AAA", [1.5, None]), ("BBB", [2.5, 3.5])):
+        document = chart([1704205800, 1704292200], closes)
+        (tmp_path / f"{name}.json").write_text(json.dumps(document, indent=2))
+    raw = read_chart_payloads(spark, str(tmp_path), foldered=False)
+    assert raw.columns == ["series_id", "date", "open", "high", "low", "close", "adj_close", "volume"]
+    assert rows(raw.select("series_id", "date", "adj_close")) == [
+        ("AAA", 1704205800000000000, 1.5),
+        ("AAA", 1704292200000000000, None),
+        ("BBB", 1704205800000000000, 2.5),
+        ("BBB", 1704292200000000000, 3.5),
+    ]
+    staged = stage_prices(raw, ["series_id"])
+    assert staged.filter("series_id = 'BBB'").orderBy("date").first()["date"] == date(2024, 1, 2)
+    assert dict(staged.dtypes)["volume"] == "bigint"
+
+
+def test_chart_payloads_in_folders(spark, tmp_path):
+    for name in ("007", "1e3"):
+        folder = tmp_path / f"series_id={name}"
+        folder.mkdir()
+        (folder / "a.json").write_text(json.dumps(chart([1704205800], [1.0])))
+    raw = read_chart_payloads(spark, str(tmp_path))
+    assert sorted(r["series_id"] for r in raw.collect()) == ["007", "1e3"]
+
+
+def test_observation_payloads_stay_text(spark, tmp_path, rows):
+    records = [
+        {"realtime_start": "2024-05-01", "realtime_end": "2024-05-01", "date": "2024-01-01", "value": "101.5"},
+        {"realtime_start": "2024-05-01", "realtime_end": "2024-05-01", "date": "2024-02-01", "value": "."},
+    ]
+    (tmp_path / "orders.json").write_text(json.dumps({"count": 2, "observations": records}, indent=1))
+    raw = read_observation_payloads(spark, str(tmp_path), foldered=False)
+    assert rows(raw.select("series_id", "date", "value")) == [
+        ("orders", "2024-01-01", "101.5"),
+        ("orders", "2024-02-01", "."),
+    ]
+    staged = stage_observations(raw).select("date", F.col("value").cast("double"))
+    assert rows(staged) == [(date(2024, 1, 1), 101.5), (date(2024, 2, 1), None)]
+
+
+def test_raw_prices_with_nanosecond_time_stamps(spark, tmp_path):
+    table = pa.table(
+        {
+            "date": pa.array([datetime(2024, 1, 2, 14, 30)], pa.timestamp("ns")),
+            **{c: pa.array([1.25]) for c in ("open", "high", "low", "close", "adj_close")},
+            "volume": pa.array([2.5]),
+        }
+    )
+    path = str(tmp_path / "prices.parquet")
+    pq.write_table(table, path, compression="snappy")
+    for schema in (None, RAW_PRICES):
+        staged = stage_prices(read_raw(spark, path, schema)).first()
+        assert staged["date"] == date(2024, 1, 2)
+        assert float(staged["adjusted_close"]) == 1.25 and staged["volume"] == 3
+
+
+def test_whole_number_volume_is_accepted(spark):
+    raw = spark.sql("select 0L date, 1D open, 1D high, 1D low, 1D close, 1D adj_close, 12L volume")
+    assert stage_prices(raw).first()["volume"] == 12
+
+
+def test_landed_series_are_read_one_folder_at_a_time(spark, tmp_path, rows):
+    path = str(tmp_path / "raw")
+    frames = {
+        name: spark.createDataFrame([("2024-01-01", "2024-01-01", "2024-01-01", str(i))], RAW_OBSERVATIONS)
+        for i, name in enumerate(("inventories", "new_orders"))
+    }
+    for _ in range(2):  # landing again replaces
+        land_series(frames, path)
+    one = read_series(spark, path, "new_orders", RAW_OBSERVATIONS)
+    assert rows(one.select("value")) == [("1",)]
+    assert "PartitionFilters: [isnotnull(series_id" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_large_series_fills_several_files(spark, tmp_path):
+    path = str(tmp_path / "clustered")
+    df = spark.range(4000).select(F.when(F.col("id") % 3 < 2, "hot").otherwise("cold").alias("s"), "id")
+    off = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for name, value in off.items():
+        spark.conf.set(name, value)
+    land(df, path, cluster=["s", "id"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    landed = spark.read.parquet(path)
+    assert landed.count() == 4000
+    assert landed.filter("s = 'hot'").select(F.input_file_name()).distinct().count() > 1
+
+
+def test_refresh_replaces_rows_and_columns(spark, tmp_path, rows):
+    root = str(tmp_path)
+    refresh_table(spark.createDataFrame([(1,), (2,)], "a int"), "refreshed", root)
+    before = spark.table("refreshed")
+    assert rows(before) == [(1,), (2,)]
+    refresh_table(spark.createDataFrame([(3,)], "a int"), "refreshed", root)
+    assert rows(spark.table("refreshed")) == [(3,)]
+    refresh_table(spark.table("refreshed").selectExpr("a + 1 as a"), "refreshed", root)
+    assert rows(spark.table("refreshed")) == [(4,)]
+    refresh_table(spark.createDataFrame([(5, "x")], "a int, b string"), "refreshed", root)
+    assert rows(spark.table("refreshed")) == [(5, "x")]
+    spark.sql("DROP TABLE refreshed")
+
+
+def test_scratch_is_a_new_path_in_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert first.startswith(shared) and first != second
