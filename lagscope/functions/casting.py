@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # The accepted date text and the exact numeric type of staged fields.
 DATE_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}$"
 EXACT_NUMERIC = "decimal(38,9)"
+NANOS_PER_DAY = 86_400_000_000_000
 
 
 def safe_date(text: Column) -> Column:
@@ -26,5 +27,6 @@ def safe_bigint(number: Column) -> Column:
 
 
 def epoch_nanos_to_date(nanos: Column) -> Column:
-    """The UTC day of a count of nanoseconds; whole-number division keeps it exact."""
-    return F.to_date(F.timestamp_micros(F.call_function("div", nanos, F.lit(1000))))
+    """The UTC day of a count of nanoseconds, in whole numbers and in any session time zone."""
+    start_of_day = nanos - F.pmod(nanos, F.lit(NANOS_PER_DAY))
+    return F.date_from_unix_date(F.call_function("div", start_of_day, F.lit(NANOS_PER_DAY)).cast("int"))

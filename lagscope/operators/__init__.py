@@ -6,7 +6,7 @@ from lagscope.operators.correlation import (
     lag_bank,
     lag_correlation,
 )
-from lagscope.operators.long_series import with_lags_any_length
+from lagscope.operators.long_series import with_changes_any_length, with_lags_any_length, with_positions
 from lagscope.operators.quality import (
     grain_failures,
     load_report,
@@ -14,7 +14,15 @@ from lagscope.operators.quality import (
     row_count_failures,
     unique_failures,
 )
-from lagscope.operators.ranking import driver_columns, latest_rows, rank_by_strength, top_drivers
+from lagscope.operators.ranking import (
+    driver_columns,
+    latest_rows,
+    nth_driver_columns,
+    rank_by_strength,
+    rank_overall,
+    strongest_first,
+    top_drivers,
+)
 from lagscope.operators.resample import last_rows, resample, resample_by_rule
 
 __all__ = [
@@ -30,16 +38,21 @@ __all__ = [
     "latest_rows",
     "load_report",
     "not_null_failures",
+    "nth_driver_columns",
     "rank_by_strength",
+    "rank_overall",
     "relative",
     "resample",
     "resample_by_rule",
     "row_count_failures",
     "spread_series",
     "stack_series",
+    "strongest_first",
     "top_drivers",
     "unique_failures",
     "with_changes",
+    "with_changes_any_length",
     "with_lags",
     "with_lags_any_length",
+    "with_positions",
 ]

@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lagscope.functions.arithmetic import percent_change
 from lagscope.session import scratch_dir
 
 DEFAULT_BLOCK = 1 << 20
@@ -60,7 +61,7 @@ def with_lags_any_length(
     """
     reach = max(lags.values())
     block = max(block, reach)
-    home = F.floor(F.col("position") / block)
+    home = F.call_function("div", F.col("position"), F.lit(block))
     shown_to_next = F.col("position") % block >= block - reach
     blocks = F.when(shown_to_next, F.array(home, home + 1)).otherwise(F.array(home))
     window = Window.partitionBy("_block").orderBy("position")
@@ -78,3 +79,18 @@ def with_lags_any_length(
         .filter(F.col("_block") == F.col("_home"))
         .select(*df.columns, *lags)
     )
+
+
+def with_changes_any_length(
+    df: DataFrame,
+    value: str,
+    steps: Mapping[str, int],
+    order: Sequence[str],
+    keys: Sequence[str] = (),
+    block: int = DEFAULT_BLOCK,
+) -> DataFrame:
+    """As ``change.with_changes``, without a limit on the rows of one series."""
+    earlier = {f"_before_{n}": n for n in steps.values()}
+    lagged = with_lags_any_length(df, value, earlier, order, keys, block)
+    changes = (percent_change(F.col(value), F.col(f"_before_{n}")).alias(name) for name, n in steps.items())
+    return lagged.select(*df.columns, *changes)

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lagscope.operators.long_series import with_positions
+
 # Correlations that agree to this many digits count as equal and are ordered by name,
 # since further digits depend on the order in which tasks add up.
 RANK_DIGITS = 6
@@ -14,23 +16,30 @@ RANK_DIGITS = 6
 
 def _strength() -> list[Column]:
     return [
-        F.abs(F.round("correlation", RANK_DIGITS)).desc_nulls_last(),
+        F.abs(F.round("correlation", RANK_DIGITS)).desc(),
         F.col("indicator").asc(),
         F.col("lag_period").asc(),
     ]
 
 
-def rank_by_strength(cells: DataFrame, keys: Sequence[str] = (), keep_empty: bool = False) -> DataFrame:
+def rank_by_strength(cells: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Known correlations numbered from the strongest, either sign, per series.
 
-    Empty cells are left out, or with ``keep_empty`` stay without a rank.
+    A series has as many cells as there are indicators and lags; to number the cells of
+    all series together use ``rank_overall``.
     """
-    known = F.col("correlation").isNotNull()
     window = Window.partitionBy(*keys).orderBy(*_strength())
-    rank = F.row_number().over(window).cast("bigint")
-    if keep_empty:
-        return cells.withColumn("rank", F.when(known, rank))
-    return cells.filter(known).withColumn("rank", rank)
+    return cells.filter(F.col("correlation").isNotNull()).withColumn(
+        "rank", F.row_number().over(window).cast("bigint")
+    )
+
+
+def rank_overall(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Known correlations of all series numbered together, by a sort over all tasks."""
+    known = cells.filter(F.col("correlation").isNotNull())
+    weakest_last = known.withColumn("_strength", -F.abs(F.round("correlation", RANK_DIGITS)))
+    numbered = with_positions(weakest_last, ["_strength", "indicator", "lag_period", *keys])
+    return numbered.select(*cells.columns, (F.col("position") + 1).alias("rank"))
 
 
 def top_drivers(cells: DataFrame, k: int) -> DataFrame:
@@ -48,6 +57,37 @@ def driver_columns(names: Mapping[int, str]) -> list[Column]:
     return columns
 
 
+def strongest_first(labels: Mapping[str, str]) -> Column:
+    """Aggregate over a matrix: its known cells as an array in the order of their rank.
+
+    The array holds one element per indicator and lag. ``labels`` maps lag column to the
+    text shown for it.
+    """
+    cells = F.array(
+        *(
+            F.struct(
+                (-F.abs(F.round(lag, RANK_DIGITS))).alias("weakness"),
+                F.col("indicator"),
+                F.lit(text).alias("lag_period"),
+                F.col(lag).alias("correlation"),
+            )
+            for lag, text in labels.items()
+        )
+    )
+    known = F.filter(cells, lambda cell: cell["correlation"].isNotNull())
+    return F.sort_array(F.flatten(F.collect_list(known)))
+
+
+def nth_driver_columns(ranked: Column, names: Mapping[int, str]) -> list[Column]:
+    """As ``driver_columns``, from the array of ``strongest_first``."""
+    columns = []
+    for rank, name in names.items():
+        cell = F.get(ranked, F.lit(rank - 1))
+        columns.append(F.concat(cell["indicator"], F.lit(" "), cell["lag_period"]).alias(name))
+        columns.append(cell["correlation"].alias(f"{name}_corr"))
+    return columns
+
+
 def latest_rows(df: DataFrame, date: str = "date", keys: Sequence[str] = ()) -> DataFrame:
     """The rows of the latest date, per series; none where no row has a date.
 

@@ -16,10 +16,12 @@ from lagscope.operators import (
     lag_bank,
     lag_correlation,
     latest_rows,
+    nth_driver_columns,
     rank_by_strength,
     relative,
     resample_by_rule,
     spread_series,
+    strongest_first,
     with_changes,
 )
 from lagscope.plans.periods import QUARTERS_BACK
@@ -184,24 +186,23 @@ def kpi_from_fact(fact: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """``key_kpi`` in one pass over a fact that is not stored, one row per ``keys``.
 
     Every indicator's group holds all quarters of the series, so the latest quarter is
-    picked up by the aggregation that correlates, and the fact is computed once.
+    picked up by the aggregation that correlates, and the fact is computed once. The date,
+    which says the quarter, and the two returns keep that a hash aggregation.
     """
-    headline = ["date", "year_quarter", "smh_yoy", TARGET]
-    bank = lagged_indicators(fact, keys, headline)
-    latest = F.max_by(F.struct(*headline, *PERIOD_ORDER), "date").alias("_latest")
-    matrix = lag_correlation(bank, TARGET, LAGS, keys, [latest])
-    # A series without any correlation still has a row, so empty cells stay.
-    ranked = rank_by_strength(cells(matrix, keys, ["_latest"]), keys, keep_empty=True)
-    picked = (
-        ranked.groupBy(*keys)
-        .agg(F.max_by("_latest", "_latest.date").alias("_latest"), *driver_columns(DRIVERS))
-        .filter(F.col("_latest").isNotNull())
+    headline = ["date", "smh_yoy", TARGET]
+    latest = [F.max_by(c, "date").alias(f"_{c}") for c in headline]
+    matrix = lag_correlation(lagged_indicators(fact, keys, headline), TARGET, LAGS, keys, latest)
+    strongest = matrix.groupBy(*keys).agg(
+        *(F.max(f"_{c}").alias(c) for c in headline), strongest_first(LAG_LABELS).alias("_cells")
     )
-    return picked.select(
+    year, quarter = F.year("date").cast("bigint"), F.quarter("date").cast("bigint")
+    return strongest.filter(F.col("date").isNotNull()).select(
         *keys,
-        "_latest.date",
-        *(f"_latest.{c}" for c in PERIOD),
-        F.col("_latest.smh_yoy").alias("smh_return_yoy"),
-        f"_latest.{TARGET}",
-        *_kpi_columns(DRIVERS),
+        "date",
+        year.alias("year"),
+        quarter.alias("quarter"),
+        quarter_label(year, quarter).alias("year_quarter"),
+        F.col("smh_yoy").alias("smh_return_yoy"),
+        TARGET,
+        *nth_driver_columns(F.col("_cells"), DRIVERS),
     )

@@ -55,6 +55,9 @@ MODEL_LAYERS = {
     "mart": ["fct_smh_q", "fct_smh_q_correlation", "fct_key_kpi"],
 }
 
+# How the files of a stored table are sorted.
+TABLE_ORDER = {"fct_smh_q": ["year", "quarter"], "fct_smh_q_correlation": ["indicator"]}
+
 Store = Callable[[DataFrame, str], DataFrame]
 
 
@@ -163,7 +166,7 @@ def publish(spark: SparkSession, raw: Mapping[str, DataFrame], root: str) -> dic
     """Full refresh: staging and intermediate models as views, marts as catalog tables under ``root``."""
 
     def store(df: DataFrame, name: str) -> DataFrame:
-        refresh_table(df, name, root)
+        refresh_table(df, name, root, TABLE_ORDER.get(name, ()))
         return spark.table(name)
 
     models = build_models(raw, store)

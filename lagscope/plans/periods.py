@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lagscope.functions import month_label
-from lagscope.operators import last_rows, resample, with_changes
+from lagscope.operators import last_rows, resample, with_changes, with_changes_any_length
 
 # How many rows back each change looks.
 MONTHS_BACK = {"yoy": 12, "mom": 1}
@@ -24,12 +24,20 @@ def monthly_prices(staged: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return changed.select(*keys, "date", *PRICE_COLUMNS, "month", "monthly_return")
 
 
-def monthly_observations(staged: DataFrame, value: str, prefix: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Observations as they are, with changes on one and on twelve rows before."""
+def monthly_observations(
+    staged: DataFrame, value: str, prefix: str, keys: Sequence[str] = (), dates_repeat: bool = False
+) -> DataFrame:
+    """Observations as they are, with changes on one and on twelve rows before.
+
+    A series whose dates are unique, as the checks demand, has twelve rows a year. Where
+    they may repeat without limit, ``dates_repeat`` gives the same rows without bringing a
+    series into one task.
+    """
     named = staged.select(*keys, "date", month_label(F.col("date")).alias("month"), F.col("value").alias(value))
     steps = {f"{prefix}_{name}": n for name, n in MONTHS_BACK.items()}
     # The value breaks ties, so that repeated dates give the same changes on every run.
-    return with_changes(named, value, steps, ["date", value], keys)
+    change = with_changes_any_length if dates_repeat else with_changes
+    return change(named, value, steps, ["date", value], keys)
 
 
 def quarterly(

@@ -483,6 +483,12 @@ ORACLES: dict[str, str] = {
     "panel_rank_drivers": _with(
         [*_PANEL_CELLS, _ranked("l_suppkey")], f"SELECT l_suppkey, {CELL_SELECT}, rank FROM ranked"
     ),
+    "panel_rank_overall": _with(
+        _PANEL_CELLS,
+        f"""SELECT l_suppkey, {CELL_SELECT}, row_number() OVER (
+                ORDER BY abs(round(correlation, 6)) DESC, indicator, lag_period, l_suppkey) AS rank
+            FROM cells WHERE correlation IS NOT NULL""",
+    ),
     "panel_kpi": _with([*_PANEL_CELLS, _ranked("l_suppkey")], "").rstrip() + "," + _kpi("l_suppkey"),
     "row_change_long_series": _with(
         [_LINE_CHANGES],

@@ -9,17 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lagscope.functions import date_then, percent_change
+from lagscope.functions import date_then
 from lagscope.operators import (
     drop_latest,
     latest_rows,
     load_report,
     rank_by_strength,
+    rank_overall,
     resample,
     spread_series,
     top_drivers,
     with_changes,
-    with_lags_any_length,
+    with_changes_any_length,
 )
 from lagscope.plans import marts, models
 from lagscope.plans.periods import QUARTERS_BACK
@@ -195,6 +196,10 @@ def panel_rank_drivers(spark, sf_dir):
     return tidy(rank_by_strength(_supplier_cells(spark, sf_dir), SUPPLIER))
 
 
+def panel_rank_overall(spark, sf_dir):
+    return tidy(rank_overall(_supplier_cells(spark, sf_dir), SUPPLIER))
+
+
 def panel_kpi(spark, sf_dir):
     return tidy(marts.kpi_from_fact(_supplier_fact(spark, sf_dir), SUPPLIER))
 
@@ -212,17 +217,8 @@ def row_change_long_series(spark, sf_dir):
         F.col("l_extendedprice").alias("price"),
     )
     order = ["date", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "price"]
-    lagged = with_lags_any_length(
-        lines, "price", {"before_1": 1, "before_12": 12}, order, ["l_returnflag"], block=1 << 14
-    )
-    return tidy(
-        lagged.select(
-            "l_returnflag",
-            *order,
-            percent_change(F.col("price"), F.col("before_1")).alias("change_1"),
-            percent_change(F.col("price"), F.col("before_12")).alias("change_12"),
-        )
-    )
+    steps = {"change_1": 1, "change_12": 12}
+    return tidy(with_changes_any_length(lines, "price", steps, order, ["l_returnflag"], block=1 << 14))
 
 
 # --- landing ------------------------------------------------------------------------
@@ -252,10 +248,9 @@ def land_chart_payload(spark, sf_dir):
 
 
 def land_observation_payload(spark, sf_dir):
-    """Orders per customer segment and day written as observation documents, read back
-    and typed."""
+    """Order records written as observation documents, one series for settled orders and
+    one for pending, read back and typed."""
     records = roles.order_observations(spark, sf_dir)
-    # One document per day holds that day's records of one status.
     documents = (
         records.withColumn("series_id", F.when(F.col("value") == ".", "pending").otherwise("settled"))
         .select("series_id", F.array(F.struct(*records.columns)).alias("observations"))
@@ -350,6 +345,7 @@ QUERIES: dict[str, Query] = {
     "panel_fact": panel_fact,
     "panel_lag_correlation": panel_lag_correlation,
     "panel_rank_drivers": panel_rank_drivers,
+    "panel_rank_overall": panel_rank_overall,
     "panel_kpi": panel_kpi,
     "row_change_long_series": row_change_long_series,
     "land_chart_payload": land_chart_payload,

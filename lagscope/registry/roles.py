@@ -12,13 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lagscope.functions import date_then
-from lagscope.functions.casting import EXACT_NUMERIC
+from lagscope.functions.casting import EXACT_NUMERIC, NANOS_PER_DAY
 from lagscope.operators import resample, with_changes
 from lagscope.plans.marts import SERIES_RULES, quarter_changes
 from lagscope.plans.periods import QUARTERS_BACK
-from lagscope.sources.schemas import NANOS_PER_SECOND
-
-SECONDS_PER_DAY = 86_400
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _nanos(date: Column) -> Column:
-    return F.unix_date(date).cast("bigint") * (SECONDS_PER_DAY * NANOS_PER_SECOND)
+    return F.unix_date(date).cast("bigint") * NANOS_PER_DAY
 
 
 def cents(amount: Column) -> Column:

@@ -58,8 +58,8 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def refresh_table(df: DataFrame, table: str, root: str) -> None:
-    """Replace the whole content of a catalog table.
+def refresh_table(df: DataFrame, table: str, root: str, order: Sequence[str] = ()) -> None:
+    """Replace the whole content of a catalog table, its files sorted by ``order``.
 
     The new rows go to a folder of their own and the table is pointed at it once they
     are complete, so readers see the old rows or the new ones and never a part. Only
@@ -68,7 +68,7 @@ def refresh_table(df: DataFrame, table: str, root: str) -> None:
     """
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/{table}/{uuid.uuid4().hex}"
-    land(df, path)
+    land(df, path, cluster=order)
     written = spark.read.parquet(path)
     if spark.catalog.tableExists(table):
         if spark.table(table).schema == written.schema:

@@ -46,6 +46,13 @@ def test_monthly_observations(spark):
     assert found[13]["inventory_mom"] == pytest.approx((113 / 112 - 1) * 100)
 
 
+def test_monthly_observations_whose_dates_repeat(spark, rows):
+    data = [(k, date(2020, i % 5 + 1, 1), float(i * 37 % 101)) for k in "ab" for i in range(200)]
+    staged = spark.createDataFrame(data, "k string, date date, value double").repartition(5)
+    plain = monthly_observations(staged, "v", "v", ["k"])
+    assert rows(monthly_observations(staged, "v", "v", ["k"], dates_repeat=True)) == rows(plain)
+
+
 def test_a_year_without_december_has_no_row(spark, rows):
     staged = spark.createDataFrame(
         [(date(2020, 12, 1), 10.0), (date(2021, 11, 1), 11.0), (date(2022, 12, 1), 15.0)], "date date, value double"

@@ -8,6 +8,7 @@ from lagscope.operators import (
     lag_bank,
     lag_correlation,
     rank_by_strength,
+    strongest_first,
     top_drivers,
 )
 
@@ -108,8 +109,8 @@ def test_empty_cells_are_kept_as_rows_but_not_ranked(spark, rows):
         ("A", "Lag 1", 2),
         ("B", "Lag 2", 3),
     ]
-    kept = rank_by_strength(cells, keep_empty=True)
-    assert sorted((r["rank"] or 0) for r in kept.collect()) == [0, 1, 2, 3]
+    as_array = df.agg(strongest_first(LABELS).alias("cells")).first()["cells"]
+    assert [(c["indicator"], c["lag_period"]) for c in as_array] == [(r["indicator"], r["lag_period"]) for r in ranked]
     top = [(r["indicator"], r["lag_period"]) for r in top_drivers(cells, 2).collect()]
     assert top == [("B", "Lag 1"), ("A", "Lag 1")]
 

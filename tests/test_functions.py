@@ -51,6 +51,14 @@ def test_nanoseconds_to_utc_day(spark):
     assert one(spark, nanos, "bigint", epoch_nanos_to_date) == expected
 
 
+def test_the_day_does_not_depend_on_the_session_time_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        assert one(spark, [1704153600000000000], "bigint", epoch_nanos_to_date) == [date(2024, 1, 2)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_percent_change(spark):
     df = spark.createDataFrame([(7.0, 3.0), (5.0, 0.0), (None, 1.0), (1.0, None)], "a double, b double")
     found = [r[0] for r in df.select(percent_change(F.col("a"), F.col("b"))).collect()]

@@ -10,7 +10,7 @@ from __spark_entry__ import queries
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
 
-LANDING = {name for name in queries() if name.startswith(("land_", "dq_", "refresh_", "kpi_row_from", "row_change"))}
+LANDING = {name for name in queries() if name.startswith(("land_", "dq_", "refresh_", "kpi_row_from", "row_change", "panel_rank_overall"))}
 
 
 def plan(spark, name):
