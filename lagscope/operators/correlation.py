@@ -39,7 +39,10 @@ def lag_bank(
     """
     carried = [*keys, *order, *(c for c in keep if c not in order)]
     cells = F.array(
-        *(F.struct(F.lit(label).alias("indicator"), F.col(column).alias("value")) for column, label in indicators.items())
+        *(
+            F.struct(F.lit(label).alias("indicator"), F.col(column).alias("value"))
+            for column, label in indicators.items()
+        )
     )
     long = df.select(*carried, F.inline(cells))
     # Sent by series alone, so the grouping that follows finds its rows in place.

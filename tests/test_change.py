@@ -22,7 +22,8 @@ def test_zero_divisor_and_missing_values_give_null(spark):
 
 def test_all_changes_share_one_window(spark):
     df = spark.createDataFrame([("a", 1, 1.0)], "k string, m int, v double")
-    plan = with_changes(df, "v", {"a": 1, "b": 4, "c": 12}, ["m"], ["k"])._jdf.queryExecution().executedPlan().toString()
+    changed = with_changes(df, "v", {"a": 1, "b": 4, "c": 12}, ["m"], ["k"])
+    plan = changed._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Window [") == 1
 
 
@@ -66,14 +67,15 @@ def test_a_year_without_december_has_no_row(spark, rows):
 @pytest.fixture
 def skewed(spark):
     """Two thirds of the rows in one series, and many of them on one day."""
+    n = F.col("id")
+    few = F.when(n % 50 != 0, F.concat(F.lit("s"), (n % 7).cast("string")))
+    days = F.when(n < 1500, 0).otherwise(n % 9).cast("int")
     return spark.range(0, 3000, 1, 6).select(
-        F.when(F.col("id") % 3 < 2, "hot").when(F.col("id") % 50 == 0, F.lit(None)).otherwise(
-            F.concat(F.lit("s"), (F.col("id") % 7).cast("string"))
-        ).alias("k"),
-        F.date_add(F.lit("2020-01-01").cast("date"), F.when(F.col("id") < 1500, 0).otherwise(F.col("id") % 9).cast("int")).alias("date"),
-        F.col("id").alias("n"),
-        F.when(F.col("id") % 11 != 0, F.pmod(F.col("id") * 7919, F.lit(1000)).cast("double")).alias("v"),
-    )
+        F.when(n % 3 < 2, "hot").otherwise(few).alias("k"),
+        F.date_add(F.lit("2020-01-01").cast("date"), days).alias("date"),
+        n.alias("n"),
+        F.when(n % 11 != 0, F.pmod(n * 7919, F.lit(1000)).cast("double")).alias("v"),
+    )
 
 
 @pytest.mark.parametrize("block", [1, 12, 64, 100_000])

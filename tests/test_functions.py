@@ -77,16 +77,15 @@ def test_labels(spark):
 
 
 def test_row_order_goes_by_date_then_repeats(spark):
-    df = spark.createDataFrame(
-        [(None, 9.0), (date(1, 1, 1), 5.0), (date(1969, 1, 1), 1.0), (date(2024, 1, 1), 1.0), (date(9999, 12, 31), 0.0)],
-        "d date, v double",
-    )
+    dates = [None, date(1, 1, 1), date(1969, 1, 1), date(2024, 1, 1), date(9999, 12, 31)]
+    df = spark.createDataFrame([(d, float(9 - i)) for i, d in enumerate(dates)], "d date, v double")
     orders = [r[0] for r in df.select(row_order(F.col("d"), [F.col("v")])).collect()]
     assert orders == sorted(orders) and len(set(orders)) == 5
 
 
 def test_date_then_orders_within_a_day_and_rejects_what_does_not_fit(spark):
-    df = spark.createDataFrame([(date(2024, 1, 1), 5), (date(2024, 1, 1), 6), (date(2024, 1, 2), 0)], "d date, n bigint")
+    data = [(date(2024, 1, 1), 5), (date(2024, 1, 1), 6), (date(2024, 1, 2), 0)]
+    df = spark.createDataFrame(data, "d date, n bigint")
     orders = [r[0] for r in df.select(date_then(F.col("d"), F.col("n"))).collect()]
     assert orders == sorted(set(orders))
     for bad in (-1, 1 << 40):

@@ -157,7 +157,8 @@ def test_headline_in_one_pass_equals_headline_from_tables(models, rows):
 
 
 def test_headline_without_correlations_is_one_row_without_drivers(models):
-    fact = models["fct_smh_q"].withColumns({c: F.lit(None).cast("double") for c in ("new_orders_yoy", "ppi_yoy", "inventory_yoy")})
+    unknown = F.lit(None).cast("double")
+    fact = models["fct_smh_q"].withColumns(dict.fromkeys(("new_orders_yoy", "ppi_yoy", "inventory_yoy"), unknown))
     for kpi in (kpi_from_fact(fact), key_kpi(fact, correlation_matrix(fact))):
         (row,) = kpi.collect()
         assert row["smh_return_yoy"] is not None
