@@ -19,8 +19,13 @@ PRICE_COLUMNS = ["open", "high", "low", "close", "adjusted_close", "volume"]
 
 def monthly_prices(staged: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """The last trading day of each month and the return on the month before."""
-    monthly = last_rows(staged, "month", PRICE_COLUMNS, keys=keys)
-    changed = with_changes(monthly, "adjusted_close", {"monthly_return": 1}, ["date"], keys)
+    return monthly_returns(last_rows(staged, "month", PRICE_COLUMNS, keys=keys), keys)
+
+
+def monthly_returns(month_ends: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """One staged row per month, with its label and the return on the row before."""
+    labelled = month_ends.withColumn("month", month_label(F.col("date")))
+    changed = with_changes(labelled, "adjusted_close", {"monthly_return": 1}, ["date"], keys)
     return changed.select(*keys, "date", *PRICE_COLUMNS, "month", "monthly_return")
 
 

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lagscope.functions import epoch_nanos_to_date, safe_bigint, safe_date, safe_decimal
+from lagscope.operators import last_rows
+
+RAW_PRICE_FIELDS = ["date", "open", "high", "low", "close", "adj_close", "volume"]
 
 
 def stage_prices(raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -20,6 +23,16 @@ def stage_prices(raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def stage_last_prices(raw: DataFrame, grain: str, keys: Sequence[str] = ()) -> DataFrame:
+    """The last trading day of each period, staged: rows are picked first and typed then.
+
+    As ``last_rows`` over ``stage_prices``, for large panels: to make exact decimals of all
+    prices takes longer than to find the last ones.
+    """
+    days = raw.withColumn("_day", epoch_nanos_to_date(F.col("date")))
+    return stage_prices(last_rows(days, grain, RAW_PRICE_FIELDS, "_day", keys), keys)
+
+
 def stage_observations(raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return raw.select(
         *keys,

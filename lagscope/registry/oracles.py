@@ -7,16 +7,22 @@ from lagscope.plans.marts import INDICATORS, LAG_LABELS, LAGS
 from lagscope.plans.models import MODEL_LAYERS
 
 # Common table expressions, by name, in the order they may refer to each other.
-TARGET_DAYS = """
+
+def _target_days(key: str = "") -> str:
+    keyed = f"{key}, " if key else ""
+    return f"""
 target_days AS (
-    SELECT CAST(l_shipdate AS DATE) AS date,
+    SELECT {keyed}CAST(l_shipdate AS DATE) AS date,
            max(CASE WHEN l_linenumber = 1 THEN l_extendedprice END) AS open,
            max(l_extendedprice) AS high,
            min(l_extendedprice) AS low,
            max(l_extendedprice * (1 - l_discount)) AS close,
            max(l_extendedprice) AS adjusted_close,
            CAST(round(CAST(sum(CAST(l_quantity AS DECIMAL(18, 2))) AS DOUBLE) / 2) AS BIGINT) AS volume
-    FROM lineitem GROUP BY 1)"""
+    FROM lineitem GROUP BY {keyed}CAST(l_shipdate AS DATE))"""
+
+
+TARGET_DAYS = _target_days()
 
 BENCHMARK_DAYS = """
 benchmark_days AS (
@@ -207,15 +213,17 @@ def _staged_months(months: str, name: str) -> str:
     return _with([months], _rounded(["value"], ["realtime_start", "realtime_end", "date"], name))
 
 
-def _monthly_prices(days: str, name: str) -> str:
+def _monthly_prices(days: str, name: str, key: str = "") -> str:
+    keyed = f"{key}, " if key else ""
     month = f"""
 month_ends AS (
     SELECT * FROM {name}
-    QUALIFY row_number() OVER (PARTITION BY date_trunc('month', date) ORDER BY date DESC) = 1),
+    QUALIFY row_number() OVER (PARTITION BY {keyed}date_trunc('month', date) ORDER BY date DESC) = 1),
 changed AS (
     SELECT *, strftime(date, '%Y-%m') AS month,
-           {_change("adjusted_close", 1, "date", "monthly_return")} FROM month_ends)"""
-    return _with([days, month], _rounded([*PRICES, "monthly_return"], ["date", "month", "volume"], "changed"))
+           {_change("adjusted_close", 1, "date", "monthly_return", key)} FROM month_ends)"""
+    plain = [*([key] if key else []), "date", "month", "volume"]
+    return _with([days, month], _rounded([*PRICES, "monthly_return"], plain, "changed"))
 
 
 def _monthly_changes(months: str, name: str, value: str, prefix: str) -> str:
@@ -474,6 +482,7 @@ ORACLES: dict[str, str] = {
     "panel_monthly_return": _with(
         [_MONTH_PANEL], _rounded(["price", "monthly_return"], ["l_suppkey", "date", "month"], "changed")
     ),
+    "panel_monthly_prices": _monthly_prices(_target_days("l_suppkey"), "target_days", "l_suppkey"),
     "panel_quarter_sum": _with(
         [_NATION_PANEL],
         _rounded(["new_orders", "new_orders_qoq", "new_orders_yoy"], ["c_nationkey", *PERIOD], "changed"),

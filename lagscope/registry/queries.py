@@ -23,8 +23,8 @@ from lagscope.operators import (
     with_changes_any_length,
 )
 from lagscope.plans import marts, models
-from lagscope.plans.periods import QUARTERS_BACK
-from lagscope.plans.staging import stage_observations
+from lagscope.plans.periods import QUARTERS_BACK, monthly_returns
+from lagscope.plans.staging import stage_last_prices, stage_observations
 from lagscope.registry import roles
 from lagscope.session import scratch_dir
 from lagscope.sources import (
@@ -160,6 +160,12 @@ def panel_monthly_return(spark, sf_dir):
     return tidy(with_changes(monthly, "price", {"monthly_return": 1}, ["date"], SUPPLIER))
 
 
+def panel_monthly_prices(spark, sf_dir):
+    """Month ends of the daily bars of each supplier, typed once they are picked."""
+    raw = roles.raw_target_prices(spark, sf_dir, SUPPLIER)
+    return tidy(monthly_returns(stage_last_prices(raw, "month", SUPPLIER), SUPPLIER))
+
+
 def panel_quarter_sum(spark, sf_dir):
     """Order value per nation and quarter; customers meet their orders on a shuffle that
     adaptive execution splits where one customer holds many."""
@@ -341,6 +347,7 @@ QUERIES: dict[str, Query] = {
     "kpi_row_from_tables": kpi_row_from_tables,
     "panel_quarter_change": panel_quarter_change,
     "panel_monthly_return": panel_monthly_return,
+    "panel_monthly_prices": panel_monthly_prices,
     "panel_quarter_sum": panel_quarter_sum,
     "panel_fact": panel_fact,
     "panel_lag_correlation": panel_lag_correlation,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -37,16 +38,22 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return builder.getOrCreate()
 
 
-def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new path in the folder that all executors share.
+@cache
+def _folder_of_this_machine() -> str:
+    return tempfile.mkdtemp(prefix="lagscope-")
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Where nothing is
-    set the session must be local, and a folder of this machine will do.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="lagscope-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+def shared_folder(named: str | None, master: str) -> str:
+    """The folder the cluster names, or one of this machine where the session is local."""
+    if named:
+        return named.rstrip("/")
+    if not master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _folder_of_this_machine()
+
+
+def scratch_dir(spark: SparkSession, purpose: str) -> str:
+    """A new path in the folder that all executors share, which the cluster names in
+    ``spark.checkpoint.dir``."""
+    folder = shared_folder(spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master)
+    return f"{folder}/{purpose}-{uuid.uuid4().hex}"

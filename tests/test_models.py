@@ -4,9 +4,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lagscope.plans import build_models, fact_from_series, key_kpi, kpi_from_fact, publish
+from lagscope.plans import build_models, fact_from_series, key_kpi, kpi_from_fact, publish, quarterly_fact
 from lagscope.plans.marts import FACT_COLUMNS, correlation_matrix
 from lagscope.plans.models import MODEL_LAYERS, run_checks
+from lagscope.plans.periods import monthly_returns
+from lagscope.plans.staging import stage_last_prices
 from lagscope.sources import RAW_OBSERVATIONS, RAW_PRICES
 
 # Output columns of the models.
@@ -85,6 +87,28 @@ def test_all_models_have_their_columns(models):
     assert sorted(models) == sorted(m for layer in MODEL_LAYERS.values() for m in layer)
 
 
+def test_prices_picked_before_they_are_typed(spark, raw, models, rows):
+    found = monthly_returns(stage_last_prices(raw["smh_prices"], "month"))
+    assert found.columns == models["int_smh_prices"].columns
+    assert rows(found) == rows(models["int_smh_prices"])
+    panel = raw["smh_prices"].withColumn("k", F.lit("a")).unionByName(raw["sp500_prices"].withColumn("k", F.lit("b")))
+    panel = monthly_returns(stage_last_prices(panel, "month", ["k"]), ["k"])
+    assert rows(panel.filter("k = 'b'").drop("k")) == rows(models["int_sp500_prices"])
+
+
+def test_fact_of_many_targets_that_share_the_rest(models, rows):
+    target = models["int_smh_q"]
+    panel = target.withColumn("k", F.lit("a")).unionByName(
+        target.withColumn("smh_yoy", F.col("smh_yoy") + 1).withColumn("k", F.lit("b"))
+    )
+    others = [models[f"int_{n}_q"] for n in ("sp500", "fred_new_orders", "fred_ppi", "fred_inventories")]
+    fact = quarterly_fact(panel, *others, keys=["k"], shared_keys=[])
+    assert rows(fact.filter("k = 'a'").drop("k")) == rows(models["fct_smh_q"])
+    keyed = [df.withColumn("k", F.lit("a")) for df in others]
+    fact = quarterly_fact(target.withColumn("k", F.lit("a")), *keyed, keys=["k"])
+    assert rows(fact.drop("k")) == rows(models["fct_smh_q"])
+
+
 def test_fact_equals_pandas(raw, models):
     smh = models["stg_smh_prices"].toPandas().sort_values("date")
     smh["period"] = smh["date"].map(lambda d: f"{d.year}-Q{(d.month + 2) // 3}")

@@ -3,10 +3,11 @@ from datetime import date, datetime
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from lagscope.plans.staging import stage_observations, stage_prices
-from lagscope.session import scratch_dir
+from lagscope.session import scratch_dir, shared_folder
 from lagscope.sources import (
     RAW_OBSERVATIONS,
     RAW_PRICES,
@@ -132,3 +133,10 @@ def test_scratch_is_a_new_path_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first.startswith(shared) and first != second
+
+
+def test_the_shared_folder_is_the_one_the_cluster_names():
+    assert shared_folder("hdfs://x/y/", "yarn") == "hdfs://x/y"
+    assert shared_folder(None, "local[4]") == shared_folder(None, "local[4]")
+    with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
+        shared_folder(None, "yarn")
