@@ -29,13 +29,10 @@ def with_positions(df: DataFrame, order: Sequence[str], position: str = "positio
     """
     spark = df.sparkSession
     path = scratch_dir(spark, "sorted")
-    (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_id", F.monotonically_increasing_id())
-        .write.parquet(path)
-    )
-    rows = spark.read.parquet(path).withColumn("_part", F.shiftright("_id", ROW_BITS))
+    in_order = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = in_order.withColumn("_id", F.monotonically_increasing_id())
+    numbered.write.parquet(path)
+    rows = spark.read.schema(numbered.schema).parquet(path).withColumn("_part", F.shiftright("_id", ROW_BITS))
     # One row per sorted partition: their number is a setting and does not grow with the data.
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (

@@ -23,8 +23,11 @@ def not_null_failures(df: DataFrame, model: str, columns: Sequence[str]) -> Data
     return counts.select(F.inline(F.array(*(_one_check(model, c, "not_null", F.col(c)) for c in columns))))
 
 
-def unique_failures(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
-    """Values that occur more than once, for all columns in one pass; NULL is no value.
+def unique_failures(
+    df: DataFrame, model: str, columns: Sequence[str], keys: Sequence[str] = ()
+) -> DataFrame:
+    """Values that occur more than once, or more than once per ``keys``, for all columns
+    in one pass; NULL is no value.
 
     Values are counted before the shuffle, so one that fills a third of the rows is sent
     as one row per task.
@@ -33,9 +36,9 @@ def unique_failures(df: DataFrame, model: str, columns: Sequence[str]) -> DataFr
         *(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("text")) for c in columns)
     )
     repeated = (
-        df.select(F.inline(named))
+        df.select(*keys, F.inline(named))
         .filter(F.col("text").isNotNull())
-        .groupBy("column", "text")
+        .groupBy(*keys, "column", "text")
         .agg(F.count(F.lit(1)).alias("n"))
         .agg(*(F.count_if((F.col("column") == c) & (F.col("n") > 1)).alias(c) for c in columns))
     )

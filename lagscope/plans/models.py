@@ -177,17 +177,22 @@ def publish(spark: SparkSession, raw: Mapping[str, DataFrame], root: str) -> dic
 
 
 def run_checks(
-    models: Mapping[str, DataFrame], kinds: tuple[str, ...] = ("not_null", "unique", "grain", "row_count")
+    models: Mapping[str, DataFrame],
+    kinds: Sequence[str] = ("not_null", "unique", "grain", "row_count"),
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Every declared check of the models given, as (model, column, check, failures)."""
+    """Every declared check of the models given, as (model, column, check, failures).
+
+    With ``keys``, models hold many series, and values must be unique within each.
+    """
     results = []
     for name, df in models.items():
         if "not_null" in kinds and name in contracts.NOT_NULL:
             results.append(not_null_failures(df, name, contracts.NOT_NULL[name]))
         if "unique" in kinds and name in contracts.UNIQUE:
-            results.append(unique_failures(df, name, contracts.UNIQUE[name]))
+            results.append(unique_failures(df, name, contracts.UNIQUE[name], keys))
         if "grain" in kinds and name in contracts.GRAIN:
-            results.append(grain_failures(df, name, contracts.GRAIN[name]))
-        if "row_count" in kinds and name in contracts.ROW_COUNT:
+            results.append(grain_failures(df, name, [*keys, *contracts.GRAIN[name]]))
+        if "row_count" in kinds and name in contracts.ROW_COUNT and not keys:
             results.append(row_count_failures(df, name, contracts.ROW_COUNT[name]))
     return reduce(DataFrame.unionByName, results)

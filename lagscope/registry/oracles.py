@@ -8,10 +8,10 @@ from lagscope.plans.models import MODEL_LAYERS
 
 # Common table expressions, by name, in the order they may refer to each other.
 
-def _target_days(key: str = "") -> str:
+def _target_days(key: str = "", name: str = "target_days") -> str:
     keyed = f"{key}, " if key else ""
     return f"""
-target_days AS (
+{name} AS (
     SELECT {keyed}CAST(l_shipdate AS DATE) AS date,
            max(CASE WHEN l_linenumber = 1 THEN l_extendedprice END) AS open,
            max(l_extendedprice) AS high,
@@ -398,13 +398,27 @@ def _not_null(model: str, column: str) -> str:
     return _check(model, column, "not_null", f"SELECT count(*) FROM {model} WHERE {column} IS NULL")
 
 
-def _repeats(model: str, columns: str, check: str, where: str = "") -> str:
-    repeated = f"SELECT {columns} FROM {model} {where} GROUP BY {columns} HAVING count(*) > 1"
+def _repeats(model: str, columns: str, check: str, where: str = "", key: str = "") -> str:
+    groups = f"{key}, {columns}" if key else columns
+    repeated = f"SELECT {groups} FROM {model} {where} GROUP BY {groups} HAVING count(*) > 1"
     return _check(model, columns, check, f"SELECT count(*) FROM ({repeated})")
 
 
-def _unique(model: str, column: str) -> str:
-    return _repeats(model, column, "unique", f"WHERE {column} IS NOT NULL")
+def _unique(model: str, column: str, key: str = "") -> str:
+    return _repeats(model, column, "unique", f"WHERE {column} IS NOT NULL", key)
+
+
+def _panel_checks(key: str) -> str:
+    views = {"stg_smh_prices": "supplier_days", "fct_smh_q": "fact"}
+    checks = []
+    for model in views:
+        checks += [_not_null(model, c) for c in contracts.NOT_NULL[model]]
+        checks += [_unique(model, c, key) for c in contracts.UNIQUE[model]]
+        if model in contracts.GRAIN:
+            checks.append(_repeats(model, ", ".join([key, *contracts.GRAIN[model]]), "grain"))
+    days = _target_days(key, "supplier_days")
+    named = [f"{model} AS (SELECT * FROM {view})" for model, view in views.items()]
+    return _with([*PANEL_FACT, days, *named], " UNION ALL ".join(checks))
 
 
 def _checks(checks: list[str]) -> str:
@@ -524,6 +538,7 @@ ORACLES: dict[str, str] = {
             ),
         ]
     ),
+    "dq_panel": _panel_checks("l_suppkey"),
     "dq_order_records": _with(
         [_ORDER_RECORDS, "stg_fred_new_orders AS (SELECT * FROM records)"],
         " UNION ALL ".join(

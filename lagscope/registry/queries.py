@@ -24,7 +24,7 @@ from lagscope.operators import (
 )
 from lagscope.plans import marts, models
 from lagscope.plans.periods import QUARTERS_BACK, monthly_returns
-from lagscope.plans.staging import stage_last_prices, stage_observations
+from lagscope.plans.staging import stage_last_prices, stage_observations, stage_prices
 from lagscope.registry import roles
 from lagscope.session import scratch_dir
 from lagscope.sources import (
@@ -305,6 +305,13 @@ def refresh_models(spark, sf_dir):
     return reduce(DataFrame.unionByName, counts)
 
 
+def dq_panel(spark, sf_dir):
+    """Checks over the staged daily bars and the fact of every supplier."""
+    staged = stage_prices(roles.raw_target_prices(spark, sf_dir, SUPPLIER), SUPPLIER)
+    checked = {"stg_smh_prices": staged, "fct_smh_q": _supplier_fact(spark, sf_dir)}
+    return models.run_checks(checked, keys=SUPPLIER)
+
+
 def dq_order_records(spark, sf_dir):
     """Checks over every order as a staged record, with its missing values and repeated dates."""
     staged = stage_observations(roles.order_observations(spark, sf_dir))
@@ -362,5 +369,6 @@ QUERIES: dict[str, Query] = {
     "dq_not_null": _checks("not_null"),
     "dq_unique": _checks("unique"),
     "dq_grain": _checks("grain", "row_count"),
+    "dq_panel": dq_panel,
     "dq_order_records": dq_order_records,
 }

@@ -18,8 +18,20 @@ from lagscope.plans.marts import SERIES_RULES, quarter_changes
 from lagscope.plans.periods import QUARTERS_BACK
 
 
+# The columns used of each test table.
+SCHEMAS = {
+    "lineitem": """
+        l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,
+        l_extendedprice double, l_discount double, l_returnflag string, l_shipdate timestamp_ntz""",
+    "orders": """
+        o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "customer": "c_custkey bigint, c_nationkey int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _nanos(date: Column) -> Column:

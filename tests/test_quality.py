@@ -27,6 +27,12 @@ def test_missing_and_repeated_values_are_counted(spark, rows):
     assert rows(grain_failures(df, "m", ["date", "k"])) == [("m", "date, k", "grain", 1)]
 
 
+def test_values_may_repeat_in_another_series(spark, rows):
+    df = spark.createDataFrame([("a", 1), ("b", 1), ("b", 1), (None, 1), (None, 1), ("c", 2)], "k string, d int")
+    assert rows(unique_failures(df, "m", ["d"], ["k"])) == [("m", "d", "unique", 2)]
+    assert rows(unique_failures(df, "m", ["d"])) == [("m", "d", "unique", 1)]
+
+
 def test_an_empty_frame_passes(spark, rows):
     df = spark.createDataFrame([], "date date")
     assert rows(not_null_failures(df, "m", ["date"])) == [("m", "date", "not_null", 0)]
