@@ -18,7 +18,8 @@ OBSERVATION_PAYLOAD = """
         realtime_start: string, realtime_end: string, date: string, value: string>>
 """
 
-# date counts nanoseconds since 1970.
+# date counts nanoseconds since 1970. Files of other writers may hold volume as bigint: read
+# those without a schema, and staging takes either.
 RAW_PRICES = "date bigint, open double, high double, low double, close double, adj_close double, volume double"
 
 RAW_OBSERVATIONS = "realtime_start string, realtime_end string, date string, value string"

@@ -84,9 +84,11 @@ def test_raw_prices_with_nanosecond_time_stamps(spark, tmp_path):
         assert float(staged["adjusted_close"]) == 1.25 and staged["volume"] == 3
 
 
-def test_whole_number_volume_is_accepted(spark):
-    raw = spark.sql("select 0L date, 1D open, 1D high, 1D low, 1D close, 1D adj_close, 12L volume")
-    assert stage_prices(raw).first()["volume"] == 12
+def test_whole_number_volume_is_accepted(spark, tmp_path):
+    table = pa.table({"date": [0], **{c: [1.0] for c in ("open", "high", "low", "close", "adj_close")}, "volume": [12]})
+    path = str(tmp_path / "prices.parquet")
+    pq.write_table(table, path)
+    assert stage_prices(read_raw(spark, path)).first()["volume"] == 12
 
 
 def test_landed_series_are_read_one_folder_at_a_time(spark, tmp_path, rows):
