@@ -89,10 +89,7 @@ def nth_driver_columns(ranked: Column, names: Mapping[int, str]) -> list[Column]
 
 
 def latest_rows(df: DataFrame, date: str = "date", keys: Sequence[str] = ()) -> DataFrame:
-    """The rows of the latest date, per series; none where no row has a date.
-
-    One pass where the dates of a series are unique, which ``max_by`` would also give;
-    all rows of the latest date are returned where they are not.
-    """
+    """The rows of the latest date, per series: all of them where several share it, and
+    none where no row has a date."""
     latest = F.max(date).over(Window.partitionBy(*keys))
     return df.withColumn("_latest", latest).filter(F.col(date) == F.col("_latest")).drop("_latest")

@@ -34,7 +34,7 @@ def _rows(arrow) -> list[tuple]:
 
 def differences(df, con, sql: str) -> list[str]:
     """What differs in columns, types, row count or values; nothing where all agree."""
-    ours, theirs = df.toArrow(), con.execute(sql).to_arrow_table()
+    ours, theirs = df.toArrow(), con.sql(sql).to_arrow_table()
     found = []
     if sorted(ours.column_names) != sorted(theirs.column_names):
         return [f"columns {sorted(ours.column_names)} != {sorted(theirs.column_names)}"]
@@ -45,7 +45,8 @@ def differences(df, con, sql: str) -> list[str]:
     if ours.num_rows != theirs.num_rows:
         found.append(f"rows {ours.num_rows} != {theirs.num_rows}")
     a, b = _rows(ours), _rows(theirs)
-    unequal = [(x, y) for x, y in zip(a, b, strict=False) if x != y]
+    # As text: -0.0 and 0.0 are not the same.
+    unequal = [(x, y) for x, y in zip(a, b, strict=False) if repr(x) != repr(y)]
     if unequal:
         found.append(f"{len(unequal)} unequal rows, first {unequal[0]}")
     return found
@@ -67,7 +68,6 @@ if __name__ == "__main__":
         try:
             df = query(spark, sf_dir)
             found = differences(df, con, sqls[name])
-            n = df.sparkSession is not None
         except Exception as error:  # report and go on
             found = [f"{type(error).__name__}: {str(error)[:1500]}"]
         bad += bool(found)
