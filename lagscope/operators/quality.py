@@ -4,23 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+RESULT = "(`model`, `column`, `check`, `failures`)"
 
-def _one_check(model: str, column: str, check: str, failures: Column) -> Column:
-    return F.struct(
-        F.lit(model).alias("model"),
-        F.lit(column).alias("column"),
-        F.lit(check).alias("check"),
-        failures.cast("bigint").alias("failures"),
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _results(counts: DataFrame, model: str, check: str, names: Sequence[str]) -> DataFrame:
+    """One row of counts, its columns in the order of ``names``, to one row per name."""
+    rows = ", ".join(
+        f"{_text(model)}, {_text(name)}, {_text(check)}, CAST(`{column}` AS BIGINT)"
+        for name, column in zip(names, counts.columns, strict=True)
     )
+    return counts.selectExpr(f"stack({len(names)}, {rows}) AS {RESULT}")
 
 
 def not_null_failures(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
     """Rows without a value, for all columns in one pass."""
-    counts = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in columns))
-    return counts.select(F.inline(F.array(*(_one_check(model, c, "not_null", F.col(c)) for c in columns))))
+    counts = df.agg(*(F.expr(f"count_if(`{c}` IS NULL) AS `{c}`") for c in columns))
+    return _results(counts, model, "not_null", columns)
 
 
 def unique_failures(
@@ -32,44 +38,32 @@ def unique_failures(
     Values are counted before the shuffle, so one that fills a third of the rows is sent
     as one row per task.
     """
-    named = F.array(
-        *(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("text")) for c in columns)
-    )
-    repeated = (
-        df.select(*keys, F.inline(named))
-        .filter(F.col("text").isNotNull())
+    values = ", ".join(f"{_text(c)}, CAST(`{c}` AS STRING)" for c in columns)
+    counts = (
+        df.select(*keys, F.expr(f"stack({len(columns)}, {values}) AS (`column`, `text`)"))
+        .filter("`text` IS NOT NULL")
         .groupBy(*keys, "column", "text")
         .agg(F.count(F.lit(1)).alias("n"))
-        .agg(*(F.count_if((F.col("column") == c) & (F.col("n") > 1)).alias(c) for c in columns))
+        .agg(*(F.expr(f"count_if(`column` = {_text(c)} AND n > 1) AS `{c}`") for c in columns))
     )
-    return repeated.select(F.inline(F.array(*(_one_check(model, c, "unique", F.col(c)) for c in columns))))
+    return _results(counts, model, "unique", columns)
 
 
 def grain_failures(df: DataFrame, model: str, grain: Sequence[str]) -> DataFrame:
     """Combinations of the declared grain that occur more than once."""
-    repeated = (
-        df.groupBy(*grain).agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col("n") > 1).alias("n"))
-    )
-    return repeated.select(F.inline(F.array(_one_check(model, ", ".join(grain), "grain", F.col("n")))))
+    counts = df.groupBy(*grain).agg(F.count(F.lit(1)).alias("n")).agg(F.expr("count_if(n > 1) AS n"))
+    return _results(counts, model, "grain", [", ".join(grain)])
 
 
 def row_count_failures(df: DataFrame, model: str, expected: int) -> DataFrame:
     """How far the number of rows is from the declared one."""
-    rows = df.agg((F.count(F.lit(1)) - expected).alias("n"))
-    return rows.select(F.inline(F.array(_one_check(model, "*", "row_count", F.abs("n")))))
+    return _results(df.agg(F.expr(f"abs(count(1) - {expected}) AS n")), model, "row_count", ["*"])
 
 
 def load_report(df: DataFrame, table: str) -> DataFrame:
     """What was loaded: one row per column with its type, and the number of rows."""
-    columns = F.array(
-        *(
-            F.struct(
-                F.lit(table).alias("table"),
-                F.lit(field.name).alias("column"),
-                F.lit(field.dataType.simpleString()).alias("type"),
-                F.col("n").alias("row_count"),
-            )
-            for field in df.schema.fields
-        )
+    rows = ", ".join(
+        f"{_text(table)}, {_text(field.name)}, {_text(field.dataType.simpleString())}, n" for field in df.schema.fields
     )
-    return df.agg(F.count(F.lit(1)).alias("n")).select(F.inline(columns))
+    report = f"stack({len(df.schema.fields)}, {rows}) AS (`table`, `column`, `type`, `row_count`)"
+    return df.agg(F.count(F.lit(1)).alias("n")).selectExpr(report)

@@ -6,7 +6,7 @@ models read back.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,6 +58,16 @@ MODEL_LAYERS = {
 # How the files of a stored table are sorted.
 TABLE_ORDER = {"fct_smh_q": ["year", "quarter"], "fct_smh_q_correlation": ["indicator"]}
 
+# The resampled models that the fact is made from, in the order it takes them.
+FACT_INPUTS = ["int_smh_q", "int_sp500_q", "int_fred_new_orders_q", "int_fred_ppi_q", "int_fred_inventories_q"]
+
+CONTRACTS = {
+    "not_null": contracts.NOT_NULL,
+    "unique": contracts.UNIQUE,
+    "grain": contracts.GRAIN,
+    "row_count": contracts.ROW_COUNT,
+}
+
 Store = Callable[[DataFrame, str], DataFrame]
 
 
@@ -137,16 +147,7 @@ def intermediate_model(name: str, staged: Mapping[str, DataFrame]) -> DataFrame:
 
 def build_marts(intermediate: Mapping[str, DataFrame], store: Store) -> dict[str, DataFrame]:
     """``store`` keeps a frame under a name and returns the stored one."""
-    fact = store(
-        quarterly_fact(
-            intermediate["int_smh_q"],
-            intermediate["int_sp500_q"],
-            intermediate["int_fred_new_orders_q"],
-            intermediate["int_fred_ppi_q"],
-            intermediate["int_fred_inventories_q"],
-        ),
-        "fct_smh_q",
-    )
+    fact = store(quarterly_fact(*(intermediate[name] for name in FACT_INPUTS)), "fct_smh_q")
     matrix = store(correlation_matrix(fact), "fct_smh_q_correlation")
     return {
         "fct_smh_q": fact,
@@ -155,11 +156,21 @@ def build_marts(intermediate: Mapping[str, DataFrame], store: Store) -> dict[str
     }
 
 
-def build_models(raw: Mapping[str, DataFrame], store: Store = materialize) -> dict[str, DataFrame]:
-    """All 23 models from the five raw tables, by name."""
+def build_models(
+    raw: Mapping[str, DataFrame], store: Store = materialize, names: Collection[str] | None = None
+) -> dict[str, DataFrame]:
+    """Models by name from the five raw tables: all 23, or ``names`` with what they need."""
+    marts = set(MODEL_LAYERS["mart"])
+    wanted = {name for layer in MODEL_LAYERS.values() for name in layer} if names is None else set(names)
+    with_marts = bool(wanted & marts)
     staged = {f"stg_{table}": stage(table, df) for table, df in raw.items()}
-    intermediate = {name: intermediate_model(name, staged) for name in INTERMEDIATE}
-    return {**staged, **intermediate, **build_marts(intermediate, store)}
+    intermediate = {
+        name: intermediate_model(name, staged)
+        for name in INTERMEDIATE
+        if name in wanted or (with_marts and name in FACT_INPUTS)
+    }
+    models = {**staged, **intermediate, **(build_marts(intermediate, store) if with_marts else {})}
+    return {name: df for name, df in models.items() if name in wanted}
 
 
 def publish(spark: SparkSession, raw: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
@@ -176,9 +187,14 @@ def publish(spark: SparkSession, raw: Mapping[str, DataFrame], root: str) -> dic
     return models
 
 
+def declared_models(kinds: Collection[str]) -> set[str]:
+    """The models that declare any check of these kinds."""
+    return {name for kind in kinds for name in CONTRACTS[kind]}
+
+
 def run_checks(
     models: Mapping[str, DataFrame],
-    kinds: Sequence[str] = ("not_null", "unique", "grain", "row_count"),
+    kinds: Collection[str] = tuple(CONTRACTS),
     keys: Sequence[str] = (),
 ) -> DataFrame:
     """Every declared check of the models given, as (model, column, check, failures).
@@ -195,4 +211,4 @@ def run_checks(
             results.append(grain_failures(df, name, [*keys, *contracts.GRAIN[name]]))
         if "row_count" in kinds and name in contracts.ROW_COUNT and not keys:
             results.append(row_count_failures(df, name, contracts.ROW_COUNT[name]))
-    return reduce(DataFrame.unionByName, results)
+    return reduce(DataFrame.union, results)

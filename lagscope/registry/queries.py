@@ -291,7 +291,8 @@ def _landed(spark, sf_dir):
 
 def _checks(*kinds: str) -> Query:
     def run(spark, sf_dir):
-        return models.run_checks(models.build_models(_landed(spark, sf_dir)), kinds)
+        checked = models.build_models(_landed(spark, sf_dir), names=models.declared_models(kinds))
+        return models.run_checks(checked, kinds)
 
     return run
 

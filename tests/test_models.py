@@ -109,6 +109,18 @@ def test_fact_of_many_targets_that_share_the_rest(models, rows):
     assert rows(fact.drop("k")) == rows(models["fct_smh_q"])
 
 
+def test_only_what_is_asked_for_is_built(raw):
+    stored = []
+
+    def store(df, name):
+        stored.append(name)
+        return df
+
+    assert list(build_models(raw, store, ["int_smh_q", "stg_smh_prices"])) == ["stg_smh_prices", "int_smh_q"]
+    assert stored == []
+    assert list(build_models(raw, store, ["fct_smh_q"])) == ["fct_smh_q"]
+
+
 def test_fact_equals_pandas(raw, models):
     smh = models["stg_smh_prices"].toPandas().sort_values("date")
     smh["period"] = smh["date"].map(lambda d: f"{d.year}-Q{(d.month + 2) // 3}")
