@@ -5,10 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lagscope.llm import language, quality, toxicity
+from lagscope.llm import language, mixing, quality, secrets, toxicity
 from lagscope.llm.tables import held_out, read_table
 
 
+def secrets_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(read_table(spark, sf_dir, "documents"))
+
+    def of(kind: str):
+        number = secrets.KINDS.index(kind)
+        return F.size(F.filter("spans", lambda s: s["kind"] == number)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] < len(secrets.BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *(of(kind) for kind in secrets.BASE_KINDS),
+        F.sha2(secrets.spans_text(base), 256).alias("base_sha256"),
+        secrets.spans_text(F.col("spans")).alias("spans"),
+        *(of(kind) for kind in secrets.ENTROPY_KINDS),
+    )
+
+
 def toxicity_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
     model = toxicity.fit_toxicity(docs, labels.filter(~held_out(F.col("doc_id"))))
@@ -22,6 +39,11 @@ def quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_texts(docs, ratios)
 
 
+def mixing_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sources(read_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
+
+
 def language_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = language.fit_trees(docs.filter(~held_out(F.col("doc_id"))))
@@ -30,8 +52,10 @@ def language_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_entropy": secrets_entropy,
     "op3_toxicity_crf": toxicity_field,
     "op5_quality_ratio": quality_ratio,
+    "op6_mixing_entropy": mixing_entropy,
     "op10_language_ppm": language_ppm,
 }
 ORACLES: dict[str, str] = {}
