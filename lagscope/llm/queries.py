@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lagscope.llm import language, mixing, quality, secrets, toxicity
-from lagscope.llm.tables import held_out, read_table
+from lagscope.llm import decontaminate, language, mixing, quality, secrets, tokens, toxicity
+from lagscope.llm.tables import held_out, read_table, stored
+from lagscope.session import scratch_dir
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def secrets_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +30,25 @@ def secrets_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def token_digests(files: tokens.TokenFiles, keys: DataFrame) -> DataFrame:
+    """Per document of ``keys``, found through the index and read back from the shards."""
+    located = stored(files.locate(keys, "doc_id"), "located")
+    kind = keys.schema["doc_id"].dataType.simpleString()
+    read = files.read(files.everywhere(located), tokens.crc_of, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
+    return read
+
+
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    files = tokens.write_tokens(docs, scratch_dir(spark, "tokens"), TOKENIZER)
+    return token_digests(files, docs)
+
+
+def contamination_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontaminate.find_contamination(docs, benchmark)
+
+
 def toxicity_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
     model = toxicity.fit_toxicity(docs, labels.filter(~held_out(F.col("doc_id"))))
@@ -53,9 +76,11 @@ def language_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_entropy": secrets_entropy,
+    "op2_token_files": token_files,
     "op3_toxicity_crf": toxicity_field,
     "op5_quality_ratio": quality_ratio,
     "op6_mixing_entropy": mixing_entropy,
+    "op9_contamination_seeds": contamination_seeds,
     "op10_language_ppm": language_ppm,
 }
 ORACLES: dict[str, str] = {}
