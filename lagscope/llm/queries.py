@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lagscope.llm import decontaminate, language, mixing, quality, secrets, tokens, toxicity
+from lagscope.llm import decontaminate, language, mixing, near, quality, secrets, tokens, toxicity
 from lagscope.llm.tables import held_out, read_table, stored
 from lagscope.session import scratch_dir
 
@@ -44,6 +44,10 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(files, docs)
 
 
+def near_duplicates_tensored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
 def contamination_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return decontaminate.find_contamination(docs, benchmark)
@@ -80,6 +84,7 @@ QUERIES = {
     "op3_toxicity_crf": toxicity_field,
     "op5_quality_ratio": quality_ratio,
     "op6_mixing_entropy": mixing_entropy,
+    "op8_near_tensored": near_duplicates_tensored,
     "op9_contamination_seeds": contamination_seeds,
     "op10_language_ppm": language_ppm,
 }
