@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lagscope.llm import decontaminate, language, mixing, near, quality, secrets, tokens, toxicity
+from lagscope.llm import decontaminate, language, mixing, near, quality, secrets, substring_bytes, substring_words, tokens, toxicity
 from lagscope.llm.tables import held_out, read_table, stored
 from lagscope.session import scratch_dir
 
@@ -48,6 +48,14 @@ def near_duplicates_tensored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
+def repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_bytes.dedup_bytes(read_table(spark, sf_dir, "documents"))
+
+
+def repeated_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_words.dedup_words(read_table(spark, sf_dir, "documents"))
+
+
 def contamination_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return decontaminate.find_contamination(docs, benchmark)
@@ -82,8 +90,10 @@ QUERIES = {
     "op1_secret_entropy": secrets_entropy,
     "op2_token_files": token_files,
     "op3_toxicity_crf": toxicity_field,
+    "op4_repeated_bytes": repeated_bytes,
     "op5_quality_ratio": quality_ratio,
     "op6_mixing_entropy": mixing_entropy,
+    "op7_repeated_words": repeated_words,
     "op8_near_tensored": near_duplicates_tensored,
     "op9_contamination_seeds": contamination_seeds,
     "op10_language_ppm": language_ppm,
