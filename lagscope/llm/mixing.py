@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lagscope.llm.tables import forget, stored
+from lagscope.llm.tables import decided, forget, row_names, stored
 
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
@@ -154,13 +154,15 @@ def whole_copies(rated: DataFrame) -> DataFrame:
     return per_source.select("sid", F.inline(shared))
 
 
-def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """One row per row of ``docs``: key, ``size``, ``source_size``, ``target``, ``rate``,
-    ``copies`` (0 to 3) and ``taken`` = copies * size."""
+def _mixed(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
     salt = F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")
     sized = stored(
-        docs.select(F.col(key).alias("key"), F.col(source).alias("source"), n_words(F.col(text)).alias("size")), "sizes"
-    )
+        docs.select(
+            F.col(key).alias("key"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"),
+            row_names(F.col(key), F.col(text))["_name"].alias("name"),
+        ),
+        "sizes",
+    )
     sources = stored(source_targets(sized), "sources")
     rows = sized.withColumn("salt", salt).join(sources, sized["source"].eqNullSafe(sources["source"])).drop("source")
     parts = stored(rows.groupBy("sid", "size", "salt").agg(F.count(F.lit(1)).alias("n")), "parts")
@@ -186,7 +188,29 @@ def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source
     rank = F.row_number().over(Window.partitionBy("sid", "size", "salt").orderBy(F.xxhash64("key", F.lit(1)), "key"))
     mixed = rows.join(dealt, ["sid", "size", "salt"], "left")
     own = F.coalesce(F.col("each") + F.when(rank <= F.col("more"), 1).otherwise(0), F.lit(0)).cast("long")
-    return mixed.withColumn("copies", own).select(
+    return mixed.withColumn("copies", own)
+
+
+def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """One row per row of ``docs``: key, ``size``, ``source_size``, ``target``, ``rate``,
+    ``copies`` (0 to 3) and ``taken`` = copies * size."""
+    return _mixed(docs, key, text, source).select(
         F.col("key").alias(key), "size", "source_size", "target", F.coalesce("rate", F.lit(1.0)).alias("rate"), "copies",
         (F.col("copies") * F.col("size")).alias("taken"),
     )
+
+
+def take_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it is taken, its columns unchanged.
+
+    Rows that share key and text stand in for each other.
+    """
+    names = row_names(F.col("key"), F.lit(""))
+    copies = (
+        _mixed(docs, key, text, source)
+        .groupBy(names["_key"].alias("_key"), names["_none"].alias("_none"), F.col("name").alias("_name"))
+        .agg(F.sum("copies").alias("_copies"))
+        .filter(F.col("_copies") > 0)
+    )
+    taken = decided(docs, copies, key, text)
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)

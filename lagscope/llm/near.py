@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lagscope.llm import lexing as lx
-from lagscope.llm.tables import forget, stored
+from lagscope.llm.tables import decided, forget, row_names, stored
 
 GROUPS = 12
 HASHES = 3
@@ -108,10 +108,11 @@ def _signer(size: int):
                 keys += [next(own).tobytes() if some else None for some in n]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("key"), pa.array(np.concatenate(sizes) if sizes else [], pa.int64()),
+                    batch.column("key"), batch.column("name"),
+                    pa.array(np.concatenate(sizes) if sizes else [], pa.int64()),
                     pa.array(sets, pa.binary()), pa.array(keys, pa.binary()),
                 ],
-                names=["key", "n", "cls", "halves"],
+                names=["key", "name", "n", "cls", "halves"],
             )
 
     return sign
@@ -252,14 +253,13 @@ def _links(buckets: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int)
         open_rows = stored(rows.select("bucket", "cls").join(used, ["bucket", "cls"], "left_anti"), "left")
 
 
-def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
-) -> DataFrame:
-    """One row per row of ``docs``: key, ``n_shingles``, ``component_id`` and ``kept`` (the
-    document whose key names its component)."""
+def _grouped(docs: DataFrame, key: str, text: str, shingle: int, percent: int) -> DataFrame:
+    """(key, name, n, component_id) of all rows; ``name`` is a hash of the text."""
     kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    signed = stored(rows.mapInArrow(_signer(shingle), f"key {kind}, n long, cls binary, halves binary"), "signed")
+    name = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("name")
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), name)
+    fields = f"key {kind}, name long, n long, cls binary, halves binary"
+    signed = stored(rows.mapInArrow(_signer(shingle), fields), "signed")
     filled = signed.filter(F.col("n") > 0)
     classes = filled.groupBy("cls").agg(F.min("key").alias("key"), F.max("n").alias("n"), F.max("halves").alias("halves"))
     classes = stored(classes, "classes")
@@ -267,22 +267,44 @@ def near_duplicates(
     met = buckets.select("cls").distinct()
     # The texts of one document per class, for the classes that meet another one.
     chosen = classes.join(met, "cls").select("cls", F.col("key").alias("_key"))
-    sets = stored(_sets_of(rows, signed, chosen, shingle), "sets")
-    links = _links(buckets, sets, classes.select("cls", "n"), percent)
-    labels = components(links)
-    least = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
-        "label", F.coalesce("label", "cls")
-    )
-    smallest = stored(least.groupBy("label").agg(F.min("key").alias("component_id")), "smallest")
-    of_class = least.join(smallest, "label").select("cls", "component_id")
-    named = filled.select("key", "n", "cls").join(of_class, "cls").select("key", "n", "component_id")
-    alone = signed.filter(F.col("n") == 0).select("key", "n", F.col("key").alias("component_id"))
-    return named.unionAll(alone).select(
+    sets = stored(_sets_of(rows.select("key", "text"), signed, chosen, shingle), "sets")
+    labels = components(_links(buckets, sets, classes.select("cls", "n"), percent))
+    label = F.coalesce("label", "cls").alias("label")
+    of_class = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "key", label)
+    smallest = of_class.groupBy("label").agg(F.min("key").alias("component_id"))
+    named = stored(of_class.join(smallest, "label").select("cls", "component_id"), "components")
+    forget(buckets, sets)
+    linked = filled.join(named, "cls").select("key", "name", "n", "component_id")
+    return linked.unionAll(signed.filter(F.col("n") == 0).select("key", "name", "n", F.col("key").alias("component_id")))
+
+
+def near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
+    """One row per row of ``docs``: key, ``n_shingles``, ``component_id`` and ``kept`` (the
+    document whose key names its component)."""
+    return _grouped(docs, key, text, shingle, percent).select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id",
         F.col("key").eqNullSafe(F.col("component_id")).alias("kept"),
     )
 
 
+def keep_one(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
+    """``docs`` with one row of each component, that of the smallest key.
+
+    Rows that share key and text are one. Where the rows of a smallest key differ in their
+    texts and are linked, the one whose text has the smallest hash stays.
+    """
+    grouped = _grouped(docs, key, text, shingle, percent).filter(F.col("key").eqNullSafe(F.col("component_id")))
+    # Texts without words are linked with nothing, so each of them is a component.
+    group = F.when(F.col("n") > 0, F.lit(0)).otherwise(F.col("name"))
+    kept = grouped.groupBy("key", group.alias("group")).agg(F.min("name").alias("_name"))
+    names = row_names(F.col("key"), F.lit(""))
+    return decided(docs, kept.select(names["_key"].alias("_key"), names["_none"].alias("_none"), "_name"), key, text)
+
+
 def _sets_of(rows: DataFrame, signed: DataFrame, chosen: DataFrame, shingle: int) -> DataFrame:
     """(cls, shingles) of the chosen classes, from a text of each."""
     texts = rows.join(chosen, F.col("key").eqNullSafe(F.col("_key"))).select("cls", "text")

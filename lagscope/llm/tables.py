@@ -37,3 +37,21 @@ def forget(*frames: DataFrame) -> None:
         for path in paths:
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def row_names(key: Column, text: Column) -> dict[str, Column]:
+    """Columns that name a row by its key and text, nulls included; equal rows share them."""
+    return {
+        "_key": F.coalesce(key.cast("string"), F.lit("")),
+        "_none": key.isNull(),
+        "_name": F.xxhash64(F.coalesce(text, F.lit(""))),
+    }
+
+
+def decided(docs: DataFrame, decisions: DataFrame, key: str, text: str) -> DataFrame:
+    """The rows of ``docs`` that ``decisions`` names, one of each that share key and text,
+    with the further columns of ``decisions``."""
+    named = docs.withColumns(row_names(F.col(key), F.col(text)))
+    by = ["_key", "_none", "_name"]
+    joined = named.join(decisions, by).dropDuplicates(by)
+    return joined.drop(*by)
