@@ -213,4 +213,4 @@ def take_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", source
         .filter(F.col("_copies") > 0)
     )
     taken = decided(docs, copies, key, text)
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("row.*")

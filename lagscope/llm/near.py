@@ -302,7 +302,8 @@ def keep_one(
     group = F.when(F.col("n") > 0, F.lit(0)).otherwise(F.col("name"))
     kept = grouped.groupBy("key", group.alias("group")).agg(F.min("name").alias("_name"))
     names = row_names(F.col("key"), F.lit(""))
-    return decided(docs, kept.select(names["_key"].alias("_key"), names["_none"].alias("_none"), "_name"), key, text)
+    kept = kept.select(names["_key"].alias("_key"), names["_none"].alias("_none"), "_name")
+    return decided(docs, kept, key, text).select("row.*")
 
 
 def _sets_of(rows: DataFrame, signed: DataFrame, chosen: DataFrame, shingle: int) -> DataFrame:

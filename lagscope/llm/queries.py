@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lagscope.llm import decontaminate, language, mixing, near, quality, secrets, substring_bytes, substring_words, tokens, toxicity
+from lagscope.llm.oracles import ORACLES as ORACLES
 from lagscope.llm.tables import held_out, read_table, stored
 from lagscope.session import scratch_dir
 
@@ -98,4 +99,3 @@ QUERIES = {
     "op9_contamination_seeds": contamination_seeds,
     "op10_language_ppm": language_ppm,
 }
-ORACLES: dict[str, str] = {}

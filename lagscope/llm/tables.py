@@ -49,9 +49,9 @@ def row_names(key: Column, text: Column) -> dict[str, Column]:
 
 
 def decided(docs: DataFrame, decisions: DataFrame, key: str, text: str) -> DataFrame:
-    """The rows of ``docs`` that ``decisions`` names, one of each that share key and text,
-    with the further columns of ``decisions``."""
-    named = docs.withColumns(row_names(F.col(key), F.col(text)))
-    by = ["_key", "_none", "_name"]
-    joined = named.join(decisions, by).dropDuplicates(by)
-    return joined.drop(*by)
+    """The rows of ``docs`` that ``decisions`` names, one of each that share key and text:
+    ``row`` holds the columns of ``docs``, whatever their names, next to those of
+    ``decisions``."""
+    names = row_names(F.col(key), F.col(text))
+    packed = docs.select(F.struct("*").alias("row"), *(column.alias(name) for name, column in names.items()))
+    return packed.join(decisions, list(names)).dropDuplicates(list(names))
