@@ -44,7 +44,7 @@ _powers: dict[str, np.ndarray] = {}
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of BASE and of its inverse; kept, as every piece needs them."""
-    if len(_powers.get("up", ())) < n:
+    if len(_powers.get("up", ())) < max(n, 1):
         for name, base in (("up", BASE), ("down", INVERSE)):
             steps = np.full(max(n, PIECE + PIECE // 4), base, np.uint64)
             steps[0] = 1
