@@ -24,16 +24,9 @@ def _day_in_high_bits(date: Column) -> Column:
 def row_order(date: Column, columns: list[Column]) -> Column:
     """By date; rows of one date in an arbitrary but repeatable order.
 
+    Where rows of one date have a meaningful order, combine them to one row per date first.
+
     The tie-break is a hash of the row's values, so a task that is run again, or runs
     in another order, picks the same row.
     """
     return _day_in_high_bits(date) + F.xxhash64(*columns).bitwiseAND(F.lit((1 << TIE_BITS) - 1))
-
-
-def date_then(date: Column, tie_break: Column) -> Column:
-    """By date, then by a whole number from 0 up to 2**40; other numbers raise."""
-    fits = tie_break.between(0, (1 << TIE_BITS) - 1)
-    message = F.lit("tie-break must be between 0 and 2**40 - 1")
-    return _day_in_high_bits(date) + F.when(fits, tie_break.cast("bigint")).otherwise(
-        F.raise_error(message).cast("bigint")
-    )

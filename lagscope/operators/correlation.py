@@ -11,14 +11,15 @@ from lagscope.operators.change import with_lags
 
 
 def correlation(x: Column, y: Column) -> Column:
-    """Correlation over the rows where both are known; NULL for under two such rows or
-    where either side does not vary.
+    """Correlation over the rows where both are known, which NaN is not; NULL for under two
+    such rows or where either side does not vary.
 
     Built-in ``corr`` raises in ANSI mode where a side does not vary. That is seen from
     its lowest and highest value: a variance put together from several tasks can come out
     a little above zero.
     """
-    both = x.isNotNull() & y.isNotNull()
+    x, y = x.cast("double"), y.cast("double")
+    both = x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)
     x, y = F.when(both, x), F.when(both, y)
     varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
     return F.when(varies, F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))

@@ -25,11 +25,13 @@ def with_positions(df: DataFrame, order: Sequence[str], position: str = "positio
     """Number all rows from 0 in the order given.
 
     The sorted rows are written to the shared folder before their partitions are
-    counted: a task run again could otherwise cut its partition elsewhere.
+    counted: a task run again could otherwise cut its partition elsewhere. So building
+    the frame starts a job. Rows that ``order`` does not tell apart are split as well.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, "sorted")
-    in_order = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    tied = df.withColumn("_tie", F.monotonically_increasing_id())
+    in_order = tied.repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
     numbered = in_order.withColumn("_id", F.monotonically_increasing_id())
     numbered.write.parquet(path)
     rows = spark.read.schema(numbered.schema).parquet(path).withColumn("_part", F.shiftright("_id", ROW_BITS))

@@ -11,7 +11,11 @@ from lagscope.operators.long_series import with_positions
 
 # Correlations that agree to this many digits count as equal and are ordered by name,
 # since further digits depend on the order in which tasks add up.
-RANK_DIGITS = 6
+RANK_DIGITS = 12
+
+
+def _known() -> Column:
+    return F.col("correlation").isNotNull() & ~F.isnan("correlation")
 
 
 def _strength() -> list[Column]:
@@ -29,14 +33,14 @@ def rank_by_strength(cells: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     all series together use ``rank_overall``.
     """
     window = Window.partitionBy(*keys).orderBy(*_strength())
-    return cells.filter(F.col("correlation").isNotNull()).withColumn(
+    return cells.filter(_known()).withColumn(
         "rank", F.row_number().over(window).cast("bigint")
     )
 
 
 def rank_overall(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Known correlations of all series numbered together, by a sort over all tasks."""
-    known = cells.filter(F.col("correlation").isNotNull())
+    known = cells.filter(_known())
     weakest_last = known.withColumn("_strength", -F.abs(F.round("correlation", RANK_DIGITS)))
     numbered = with_positions(weakest_last, ["_strength", "indicator", "lag_period", *keys])
     return numbered.select(*cells.columns, (F.col("position") + 1).alias("rank"))
@@ -44,7 +48,7 @@ def rank_overall(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def top_drivers(cells: DataFrame, k: int) -> DataFrame:
     """The k strongest pairs of all; no task sees more than its own rows and k of each other."""
-    return cells.filter(F.col("correlation").isNotNull()).orderBy(*_strength()).limit(k)
+    return cells.filter(_known()).orderBy(*_strength()).limit(k)
 
 
 def driver_columns(names: Mapping[int, str]) -> list[Column]:
@@ -74,7 +78,7 @@ def strongest_first(labels: Mapping[str, str]) -> Column:
             for lag, text in labels.items()
         )
     )
-    known = F.filter(cells, lambda cell: cell["correlation"].isNotNull())
+    known = F.filter(cells, lambda cell: cell["correlation"].isNotNull() & ~F.isnan(cell["correlation"]))
     return F.sort_array(F.flatten(F.collect_list(known)))
 
 
@@ -90,6 +94,15 @@ def nth_driver_columns(ranked: Column, names: Mapping[int, str]) -> list[Column]
 
 def latest_rows(df: DataFrame, date: str = "date", keys: Sequence[str] = ()) -> DataFrame:
     """The rows of the latest date, per series: all of them where several share it, and
-    none where no row has a date."""
-    latest = F.max(date).over(Window.partitionBy(*keys))
-    return df.withColumn("_latest", latest).filter(F.col(date) == F.col("_latest")).drop("_latest")
+    none where no row has a date.
+
+    The latest date is an aggregate that rows are then compared with, so they stay where
+    they are; ``df`` is read twice.
+    """
+    if not keys:
+        return df.filter(F.col(date) == df.select(F.max(date)).scalar())
+    latest = df.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(F.max(date).alias("_latest"))
+    same = F.col(date) == F.col("_latest")
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return df.join(latest, same, "left_semi")

@@ -85,7 +85,8 @@ def resample_by_rule(
 ) -> DataFrame:
     """Resample stacked series, each by its own rule, in one aggregation.
 
-    ``date`` in the result is the latest date of the period, under every rule.
+    ``date`` in the result is the latest date of the period, under every rule. Series
+    without a rule are left out.
     """
     unknown = set(rules.values()) - set(RULES)
     if unknown:
@@ -99,7 +100,7 @@ def resample_by_rule(
 
     order = row_order(F.col(date), [F.col(value)])
     return (
-        _by_period(df.withColumn("_order", order), [*keys, series], grain, date)
+        _by_period(df.filter(F.col(series).isin(list(rules))).withColumn("_order", order), [*keys, series], grain, date)
         .agg(
             F.max(date).alias(date),
             F.max_by(value, "_order").cast("double").alias("_last"),

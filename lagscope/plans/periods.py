@@ -29,20 +29,16 @@ def monthly_returns(month_ends: DataFrame, keys: Sequence[str] = ()) -> DataFram
     return changed.select(*keys, "date", *PRICE_COLUMNS, "month", "monthly_return")
 
 
-def monthly_observations(
-    staged: DataFrame, value: str, prefix: str, keys: Sequence[str] = (), dates_repeat: bool = False
-) -> DataFrame:
+def monthly_observations(staged: DataFrame, value: str, prefix: str, keys: Sequence[str] = ()) -> DataFrame:
     """Observations as they are, with changes on one and on twelve rows before.
 
-    A series whose dates are unique, as the checks demand, has twelve rows a year. Where
-    they may repeat without limit, ``dates_repeat`` gives the same rows without bringing a
-    series into one task.
+    Rows are not resampled here, and their dates may repeat without limit, so no series is
+    brought into one task. Building the frame sorts and writes the rows.
     """
     named = staged.select(*keys, "date", month_label(F.col("date")).alias("month"), F.col("value").alias(value))
     steps = {f"{prefix}_{name}": n for name, n in MONTHS_BACK.items()}
     # The value breaks ties, so that repeated dates give the same changes on every run.
-    change = with_changes_any_length if dates_repeat else with_changes
-    return change(named, value, steps, ["date", value], keys)
+    return with_changes_any_length(named, value, steps, ["date", value], keys)
 
 
 def quarterly(
@@ -63,8 +59,9 @@ def yearly(
 
 
 def yearly_at_year_end(staged: DataFrame, value: str, change: str, keys: Sequence[str] = ()) -> DataFrame:
-    """December's observation for the year; a year without one has no row."""
+    """December's observation for the year; a year without one has no row. As in
+    ``monthly_observations``, dates may repeat and building the frame writes the rows."""
     december = staged.filter(F.month("date") == YEAR_END_MONTH).select(
         *keys, "date", F.year("date").cast("bigint").alias("year"), F.col("value").alias(value)
     )
-    return with_changes(december, value, {change: 1}, ["year", "date", value], keys)
+    return with_changes_any_length(december, value, {change: 1}, ["year", "date", value], keys)

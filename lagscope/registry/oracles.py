@@ -129,10 +129,32 @@ supplier_q AS (
 PANEL_FACT = [*QUARTERS, SUPPLIER_Q, _fact("supplier_q", "l_suppkey")]
 
 
-def _bank(key: str = "") -> str:
+EDGE_Q = """
+edged AS (
+    SELECT l_suppkey, CAST(l_shipdate AS DATE) AS date,
+           CASE l_linenumber WHEN 1 THEN NULL WHEN 2 THEN -l_extendedprice WHEN 3 THEN l_extendedprice * 1e9
+                WHEN 4 THEN floor(l_extendedprice) + l_extendedprice / 1e9 ELSE l_extendedprice END AS price
+    FROM lineitem),
+edge_q AS (
+    SELECT l_suppkey, date, year(date) AS year, quarter(date) AS quarter, year || '-Q' || quarter AS year_quarter,
+           price AS smh_value
+    FROM edged
+    QUALIFY row_number() OVER (PARTITION BY l_suppkey, year(date), quarter(date)
+                               ORDER BY date DESC, price DESC NULLS LAST) = 1)"""
+
+
+# Some of the target's and of an indicator's values are not known.
+_GAPS = """
+gaps AS (
+    SELECT * REPLACE (CASE WHEN quarter <> 2 THEN smh_vs_sp500_yoy END AS smh_vs_sp500_yoy,
+                      CASE WHEN quarter <> 3 THEN new_orders_yoy END AS new_orders_yoy)
+    FROM fact)"""
+
+
+def _bank(key: str = "", fact: str = "fact") -> str:
     keyed = f"{key}, " if key else ""
     stacked = " UNION ALL ".join(
-        f"SELECT {keyed}year, quarter, smh_vs_sp500_yoy, '{label}' AS indicator, {column} AS value FROM fact"
+        f"SELECT {keyed}year, quarter, smh_vs_sp500_yoy, '{label}' AS indicator, {column} AS value FROM {fact}"
         for column, label in INDICATORS.items()
     )
     lags = ", ".join(
@@ -163,7 +185,7 @@ def _cells(key: str = "") -> str:
 
 
 def _ranked(key: str = "") -> str:
-    over = f"{'PARTITION BY ' + key if key else ''} ORDER BY abs(round(correlation, 6)) DESC, indicator, lag_period"
+    over = f"{'PARTITION BY ' + key if key else ''} ORDER BY abs(correlation) DESC, indicator, lag_period"
     return f"""
 ranked AS (
     SELECT *, row_number() OVER ({over}) AS rank FROM cells WHERE correlation IS NOT NULL)"""
@@ -303,7 +325,7 @@ _NATION_PANEL = f"""
 sums AS (
     SELECT c_nationkey, year(o_orderdate) AS year, quarter(o_orderdate) AS quarter,
            CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS new_orders
-    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL),
+    FROM orders LEFT JOIN customer ON o_custkey = c_custkey GROUP BY ALL),
 changed AS (
     SELECT *, year || '-Q' || quarter AS year_quarter,
            {_change("new_orders", 1, "year, quarter", "new_orders_qoq", "c_nationkey")},
@@ -486,6 +508,9 @@ ORACLES: dict[str, str] = {
     "lag_correlation_wide": _with(_MATRIX, _rounded(list(LAGS), ["indicator"], "matrix")),
     "lag_correlation_long": _with(_CELLS, f"SELECT {CELL_SELECT} FROM cells"),
     "rank_drivers": _with([*_CELLS, _ranked()], f"SELECT {CELL_SELECT}, rank FROM ranked"),
+    "rank_drivers_nan": _with(
+        [*FACT, _GAPS, _bank(fact="gaps"), _matrix(), _cells(), _ranked()], f"SELECT {CELL_SELECT}, rank FROM ranked"
+    ),
     "top_drivers": _with([*_CELLS, _ranked()], f"SELECT {CELL_SELECT} FROM ranked WHERE rank <= 2"),
     "latest_row": _with(FACT, f"{FACT_SELECT} QUALIFY date = max(date) OVER ()"),
     "kpi_row": _with([*_CELLS, _ranked()], "").rstrip() + "," + _kpi(),
@@ -493,6 +518,9 @@ ORACLES: dict[str, str] = {
     "panel_quarter_change": _with(
         [SUPPLIER_Q], _rounded(["smh_value", "smh_qoq", "smh_yoy"], ["l_suppkey", "date", *PERIOD], "supplier_q")
     ),
+    "panel_last_edge": _with(
+        [EDGE_Q], "SELECT l_suppkey, date, year, quarter, year_quarter, smh_value FROM edge_q"
+    ),
     "panel_monthly_return": _with(
         [_MONTH_PANEL], _rounded(["price", "monthly_return"], ["l_suppkey", "date", "month"], "changed")
     ),
@@ -509,7 +537,7 @@ ORACLES: dict[str, str] = {
     "panel_rank_overall": _with(
         _PANEL_CELLS,
         f"""SELECT l_suppkey, {CELL_SELECT}, row_number() OVER (
-                ORDER BY abs(round(correlation, 6)) DESC, indicator, lag_period, l_suppkey) AS rank
+                ORDER BY abs(round(correlation, 12)) DESC, indicator, lag_period, l_suppkey) AS rank
             FROM cells WHERE correlation IS NOT NULL""",
     ),
     "panel_kpi": _with([*_PANEL_CELLS, _ranked("l_suppkey")], "").rstrip() + "," + _kpi("l_suppkey"),

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lagscope.functions import date_then
 from lagscope.operators import (
     drop_latest,
     latest_rows,
@@ -124,6 +123,16 @@ def rank_drivers(spark, sf_dir):
     return tidy(rank_by_strength(_cells(spark, sf_dir)))
 
 
+def rank_drivers_nan(spark, sf_dir):
+    """Ranks where some values of the target and of an indicator are NaN, which is no value."""
+    nan = F.lit(float("nan"))
+    fact = _fact(spark, sf_dir).withColumns({
+        marts.TARGET: F.when(F.col("quarter") == 2, nan).otherwise(F.col(marts.TARGET)),
+        "new_orders_yoy": F.when(F.col("quarter") == 3, nan).otherwise(F.col("new_orders_yoy")),
+    })
+    return tidy(rank_by_strength(marts.cells(marts.correlation_matrix(fact))))
+
+
 def top_two_drivers(spark, sf_dir):
     return tidy(top_drivers(_cells(spark, sf_dir), len(marts.DRIVERS)))
 
@@ -152,11 +161,24 @@ def panel_quarter_change(spark, sf_dir):
     return tidy(roles.supplier_quarters(spark, sf_dir))
 
 
+def panel_last_edge(spark, sf_dir):
+    """Last prices where some are missing, negative, very large, or a fraction of a cent apart."""
+    price, line = F.col("l_extendedprice"), F.col("l_linenumber")
+    edged = (
+        F.when(line == 1, None)
+        .when(line == 2, -price)
+        .when(line == 3, price * 1e9)
+        .when(line == 4, F.floor(price) + price / 1e9)
+        .otherwise(price)
+    )
+    # The prices unrounded: they are picked, not computed. Their changes have more digits
+    # than a comparison of doubles can hold.
+    return roles.supplier_quarters(spark, sf_dir, edged).drop("smh_qoq", "smh_yoy")
+
+
 def panel_monthly_return(spark, sf_dir):
     """Highest price on each supplier's last day of the month, against the month before."""
-    lines = roles.table(spark, sf_dir, "lineitem").withColumn("date", F.to_date("l_shipdate"))
-    order = date_then(F.col("date"), roles.cents(F.col("l_extendedprice")))
-    monthly = resample(lines, "month", "last", "l_extendedprice", keys=SUPPLIER, out="price", order=order)
+    monthly = resample(roles.supplier_days(spark, sf_dir), "month", "last", "price", keys=SUPPLIER)
     return tidy(with_changes(monthly, "price", {"monthly_return": 1}, ["date"], SUPPLIER))
 
 
@@ -167,14 +189,15 @@ def panel_monthly_prices(spark, sf_dir):
 
 
 def panel_quarter_sum(spark, sf_dir):
-    """Order value per nation and quarter; customers meet their orders on a shuffle that
-    adaptive execution splits where one customer holds many."""
+    """Order value per nation and quarter. Orders are summed per customer and quarter before
+    customers meet them; those without a customer make up the nation NULL."""
     orders = roles.table(spark, sf_dir, "orders").select(
         "o_custkey", F.to_date("o_orderdate").alias("date"), roles.cents(F.col("o_totalprice")).alias("cents")
     )
     customers = roles.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    nations = orders.join(customers, orders.o_custkey == customers.c_custkey)
-    quarters = resample(nations, "quarter", "sum", "cents", keys=["c_nationkey"])
+    sums = resample(orders, "quarter", "sum", "cents", keys=["o_custkey"])
+    nations = sums.join(customers, sums.o_custkey == customers.c_custkey, "left")
+    quarters = nations.groupBy("c_nationkey", "year", "quarter", "year_quarter").agg(F.sum("cents").alias("cents"))
     amounts = quarters.withColumn("cents", F.col("cents") / 100).withColumnRenamed("cents", "new_orders")
     steps = {f"new_orders_{name}": n for name, n in QUARTERS_BACK.items()}
     return tidy(with_changes(amounts, "new_orders", steps, ["year", "quarter"], ["c_nationkey"]))
@@ -254,12 +277,16 @@ def land_chart_payload(spark, sf_dir):
 
 
 def land_observation_payload(spark, sf_dir):
-    """Order records written as observation documents, one series for settled orders and
-    one for pending, read back and typed."""
+    """Order records written as observation documents of one day each, one series for
+    settled orders and one for pending, read back and typed."""
     records = roles.order_observations(spark, sf_dir)
+    series = F.when(F.col("value") == ".", "pending").otherwise("settled")
+    # A day's orders, cut into parts so that none grows with the data.
+    part = F.pmod(F.xxhash64(*records.columns), F.lit(64))
     documents = (
-        records.withColumn("series_id", F.when(F.col("value") == ".", "pending").otherwise("settled"))
-        .select("series_id", F.array(F.struct(*records.columns)).alias("observations"))
+        records.groupBy(series.alias("series_id"), "date", part.alias("part"))
+        .agg(F.collect_list(F.struct(*records.columns)).alias("observations"))
+        .select("series_id", "observations")
     )
     path = scratch_dir(spark, "observation-payloads")
     documents.write.partitionBy("series_id").json(path)
@@ -349,11 +376,13 @@ QUERIES: dict[str, Query] = {
     "lag_correlation_wide": lag_correlation_wide,
     "lag_correlation_long": lag_correlation_long,
     "rank_drivers": rank_drivers,
+    "rank_drivers_nan": rank_drivers_nan,
     "top_drivers": top_two_drivers,
     "latest_row": latest_row,
     "kpi_row": kpi_row,
     "kpi_row_from_tables": kpi_row_from_tables,
     "panel_quarter_change": panel_quarter_change,
+    "panel_last_edge": panel_last_edge,
     "panel_monthly_return": panel_monthly_return,
     "panel_monthly_prices": panel_monthly_prices,
     "panel_quarter_sum": panel_quarter_sum,

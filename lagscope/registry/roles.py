@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lagscope.functions import date_then
 from lagscope.functions.casting import EXACT_NUMERIC, NANOS_PER_DAY
 from lagscope.operators import resample, with_changes
 from lagscope.plans.marts import SERIES_RULES, quarter_changes
@@ -200,16 +199,21 @@ def all_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _observed(_line_rows(spark, sf_dir).unionByName(_order_rows(spark, sf_dir)))
 
 
-def supplier_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A target per supplier: the highest price on its last day of each quarter.
+def supplier_days(spark: SparkSession, sf_dir: str, price: Column | None = None) -> DataFrame:
+    """The highest price of each supplier and day; NULL where the day has none.
 
-    Day and price make up the order, so the days are not grouped first.
+    Any price is ordered by its own value: negative ones, large ones, and two that differ
+    by less than a cent.
     """
-    lines = table(spark, sf_dir, "lineitem").withColumn("date", F.to_date("l_shipdate"))
-    order = date_then(F.col("date"), cents(F.col("l_extendedprice")))
-    quarters = resample(
-        lines, "quarter", "last", "l_extendedprice", keys=["l_suppkey"], out="smh_value", order=order
-    )
+    price = F.col("l_extendedprice") if price is None else price
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.groupBy("l_suppkey", F.to_date("l_shipdate").alias("date")).agg(F.max(price).alias("price"))
+
+
+def supplier_quarters(spark: SparkSession, sf_dir: str, price: Column | None = None) -> DataFrame:
+    """A target per supplier: the highest price on its last day of each quarter."""
+    days = supplier_days(spark, sf_dir, price)
+    quarters = resample(days, "quarter", "last", "price", keys=["l_suppkey"], out="smh_value")
     steps = {f"smh_{name}": n for name, n in QUARTERS_BACK.items()}
     return with_changes(quarters, "smh_value", steps, ["year", "quarter"], ["l_suppkey"])
 

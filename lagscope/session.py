@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -18,6 +16,8 @@ SETTINGS = {
     # Do not look up the Python call site of every column expression: it takes longer
     # than building the plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Time stamps stored as nanoseconds, which Spark otherwise rejects, are whole numbers.
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
 }
 
 
@@ -38,22 +38,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return builder.getOrCreate()
 
 
-@cache
-def _folder_of_this_machine() -> str:
-    return tempfile.mkdtemp(prefix="lagscope-")
-
-
-def shared_folder(named: str | None, master: str) -> str:
-    """The folder the cluster names, or one of this machine where the session is local."""
-    if named:
-        return named.rstrip("/")
-    if not master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _folder_of_this_machine()
+def shared_folder(named: str | None, warehouse: str) -> str:
+    """The folder the cluster names for checkpoints, or else one in the warehouse, which the
+    driver and all executors share as well."""
+    return named.rstrip("/") if named else f"{warehouse.rstrip('/')}/_scratch"
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new path in the folder that all executors share, which the cluster names in
-    ``spark.checkpoint.dir``."""
-    folder = shared_folder(spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master)
+    """A new path in a folder that all executors share, see ``shared_folder``."""
+    folder = shared_folder(spark.conf.get("spark.checkpoint.dir", None), spark.conf.get("spark.sql.warehouse.dir"))
     return f"{folder}/{purpose}-{uuid.uuid4().hex}"

@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 
 from lagscope.session import scratch_dir
 
+# Table properties: the folder a refreshed table reads, and the one it read before.
+MADE_HERE = "lagscope.folder"
+BEFORE = "lagscope.folder.before"
+
 
 def read_raw(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """A raw table. Time stamps stored as nanoseconds, which Spark otherwise rejects,
-    come as whole numbers; a session setting makes it so for the reads that follow."""
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    """A raw table. Time stamps stored as nanoseconds come as whole numbers in a session made
+    by ``build_session``; Spark's own sessions reject such files."""
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(path)
 
@@ -63,17 +66,34 @@ def refresh_table(df: DataFrame, table: str, root: str, order: Sequence[str] = (
 
     The new rows go to a folder of their own and the table is pointed at it once they
     are complete, so readers see the old rows or the new ones and never a part. Only
-    where the columns changed is the table dropped and made anew. Earlier folders stay,
-    for readers still at work in them.
+    where the columns changed is the table dropped and made anew; its files are never the
+    catalog's to delete. A table that was not made here is refused. Of the earlier folders
+    the last one stays, for readers still at work in it.
     """
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/{table}/{uuid.uuid4().hex}"
     land(df, path, cluster=order)
     written = spark.read.parquet(path)
     if spark.catalog.tableExists(table):
+        properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+        if MADE_HERE not in properties:
+            raise ValueError(f"table {table} exists and was not made by a refresh")
+        before, current = properties.get(BEFORE), properties.get(MADE_HERE)
         if spark.table(table).schema == written.schema:
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+            spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{MADE_HERE}' = '{path}', '{BEFORE}' = '{current}')")
             spark.catalog.refreshTable(table)
+            if before:
+                remove(spark, before)
             return
         spark.sql(f"DROP TABLE {table}")
-    spark.catalog.createTable(table, path=path, source="parquet")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in written.schema.fields)
+    spark.sql(
+        f"CREATE TABLE {table} ({fields}) USING parquet LOCATION '{path}' TBLPROPERTIES ('{MADE_HERE}' = '{path}')"
+    )
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -1,7 +1,9 @@
 """Landed JSON payloads to raw rows.
 
 Each file holds one document and documents are read in parallel. The series a document
-belongs to is its ``series_id=...`` folder, or else its file name.
+belongs to is its ``series_id=...`` folder, or else its file name. A document that is cut
+short, or that holds an error in place of data, stops the job: a series must not go
+missing without a word. An empty list of observations is data.
 """
 
 from __future__ import annotations
@@ -14,20 +16,26 @@ from lagscope.sources.schemas import CHART_PAYLOAD, NANOS_PER_SECOND, OBSERVATIO
 
 def _read_documents(spark: SparkSession, path: str, schema: str, foldered: bool, one_per_line: bool) -> DataFrame:
     schema = f"{schema}, series_id string" if foldered else schema
-    documents = spark.read.schema(schema).json(path, multiLine=not one_per_line)
+    documents = spark.read.schema(schema).json(path, multiLine=not one_per_line, mode="FAILFAST")
     if foldered:
         return documents
     name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:\.json)?$", 1)
     return documents.withColumn("series_id", name)
 
 
+def _required(value: Column, what: str) -> Column:
+    message = F.concat(F.lit(f"document without {what}: "), F.coalesce("series_id", F.lit("?")))
+    return F.when(value.isNull(), F.raise_error(message)).otherwise(value)
+
+
 def flatten_chart(documents: DataFrame) -> DataFrame:
     """Parallel arrays to one row per time stamp, in the shape of the raw price table."""
     result = F.get("chart.result", F.lit(0))
     quote = F.get(result["indicators"]["quote"], F.lit(0))
     adjusted = F.get(result["indicators"]["adjclose"], F.lit(0))["adjclose"]
+    stamps = _required(F.when(quote.isNotNull() & adjusted.isNotNull(), result["timestamp"]), "result, quote or adjclose")
     bars: Column = F.arrays_zip(
-        result["timestamp"].alias("timestamp"),
+        stamps.alias("timestamp"),
         *(quote[name].alias(name) for name in ("open", "high", "low", "close")),
         adjusted.alias("adj_close"),
         quote["volume"].alias("volume"),
@@ -46,7 +54,7 @@ def flatten_chart(documents: DataFrame) -> DataFrame:
 
 def flatten_observations(documents: DataFrame) -> DataFrame:
     """An array of records to one row each; every field stays text."""
-    return documents.select("series_id", F.inline("observations"))
+    return documents.select("series_id", F.inline(_required(F.col("observations"), "observations")))
 
 
 def read_chart_payloads(

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lagscope.operators import with_changes, with_lags, with_lags_any_length
+from lagscope.operators import with_changes, with_changes_any_length, with_lags, with_lags_any_length
 from lagscope.operators.long_series import with_positions
 from lagscope.plans.periods import monthly_observations, yearly_at_year_end
 
@@ -49,9 +49,28 @@ def test_monthly_observations(spark):
 
 def test_monthly_observations_whose_dates_repeat(spark, rows):
     data = [(k, date(2020, i % 5 + 1, 1), float(i * 37 % 101)) for k in "ab" for i in range(200)]
-    staged = spark.createDataFrame(data, "k string, date date, value double").repartition(5)
-    plain = monthly_observations(staged, "v", "v", ["k"])
-    assert rows(monthly_observations(staged, "v", "v", ["k"], dates_repeat=True)) == rows(plain)
+    staged = spark.createDataFrame(data, "k string, date date, v2 double").repartition(5)
+    plain = with_changes(staged.select("k", "date", "v2"), "v2", {"v_yoy": 12, "v_mom": 1}, ["date", "v2"], ["k"])
+    found = monthly_observations(staged.withColumnRenamed("v2", "value"), "v", "v", ["k"])
+    assert rows(found.select("k", "date", "v", "v_yoy", "v_mom")) == rows(plain)
+
+
+def test_rows_that_the_order_does_not_tell_apart_are_split(spark):
+    same = spark.range(0, 4000, 1, 4).select(F.lit("a").alias("k"), F.lit(1).alias("date"), F.lit(2.0).alias("v"))
+    found = with_changes_any_length(same, "v", {"c": 1}, ["date", "v"], ["k"], block=100)
+    assert found.filter("c is null").count() == 1
+    assert found.filter("c = 0").count() == 3999
+    # Small reads, so that each sorted file is a task of its own.
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.maxPartitionBytes": "2k"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        sorted_rows = with_positions(same, ["k", "date", "v"])
+        assert sorted_rows.select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def test_a_year_without_december_has_no_row(spark, rows):

@@ -120,3 +120,17 @@ def test_equal_strength_is_ordered_by_name(spark):
     cells = spark.createDataFrame(data, "indicator string, lag_period string, correlation double")
     ranked = rank_by_strength(cells).orderBy("rank").collect()
     assert [(r["indicator"], r["lag_period"]) for r in ranked] == [("A", "Lag 1"), ("A", "Lag 2"), ("B", "Lag 1")]
+
+
+def test_nan_is_no_value_and_never_ranks(spark, rows):
+    nan = float("nan")
+    pairs = [(1.0, 2.0), (2.0, 1.0), (3.0, 5.0), (nan, 4.0), (4.0, nan), (nan, nan)]
+    df = spark.createDataFrame(pairs, "x double, y double")
+    found = df.agg(correlation(F.col("x"), F.col("y"))).first()[0]
+    assert found == pytest.approx(np.corrcoef([1, 2, 3], [2, 1, 5])[0, 1])
+    cells = spark.createDataFrame(
+        [("a", "Lag 1Y", nan), ("b", "Lag 1Y", 0.5000001), ("c", "Lag 1Y", -0.5000004), ("d", "Lag 1Y", None)],
+        "indicator string, lag_period string, correlation double",
+    )
+    assert [r["indicator"] for r in rank_by_strength(cells).orderBy("rank").collect()] == ["c", "b"]
+    assert [r["indicator"] for r in top_drivers(cells, 3).collect()] == ["c", "b"]

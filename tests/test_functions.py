@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from lagscope.functions import (
-    date_then,
     epoch_nanos_to_date,
     month_label,
     percent_change,
@@ -81,13 +80,3 @@ def test_row_order_goes_by_date_then_repeats(spark):
     df = spark.createDataFrame([(d, float(9 - i)) for i, d in enumerate(dates)], "d date, v double")
     orders = [r[0] for r in df.select(row_order(F.col("d"), [F.col("v")])).collect()]
     assert orders == sorted(orders) and len(set(orders)) == 5
-
-
-def test_date_then_orders_within_a_day_and_rejects_what_does_not_fit(spark):
-    data = [(date(2024, 1, 1), 5), (date(2024, 1, 1), 6), (date(2024, 1, 2), 0)]
-    df = spark.createDataFrame(data, "d date, n bigint")
-    orders = [r[0] for r in df.select(date_then(F.col("d"), F.col("n"))).collect()]
-    assert orders == sorted(set(orders))
-    for bad in (-1, 1 << 40):
-        with pytest.raises(Exception, match="tie-break"):
-            df.select(date_then(F.col("d"), F.lit(bad).cast("bigint"))).collect()

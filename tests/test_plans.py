@@ -6,21 +6,21 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from lagscope.registry.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
 
 # Queries that write a table first; what is left of their plan reads that.
-WRITING = ("land_", "dq_", "refresh_", "kpi_row_from", "row_change", "panel_rank_overall")
-LANDING = {name for name in queries() if name.startswith(WRITING)}
+WRITING = ("land_", "dq_", "refresh_", "kpi_row_from", "row_change", "panel_rank_overall", "monthly_change", "year_dec")
+LANDING = {name for name in QUERIES if name.startswith(WRITING)}
 
 
 def plan(spark, name):
-    return queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    return QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - LANDING))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - LANDING))
 def test_all_work_stays_in_the_jvm_and_is_combined_before_a_shuffle(spark, name):
     text = plan(spark, name)
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|Python|Pandas|Arrow", text)
@@ -92,3 +92,32 @@ def test_a_customer_with_many_orders_is_split(spark):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     assert "skew=true" in final
     assert sum(found.values()) == sum(range(60_000))
+
+
+@pytest.mark.parametrize("name", ["monthly_change_inventory", "monthly_change_orders", "monthly_change_ppi", "year_december_inventory"])
+def test_rows_that_are_not_resampled_stay_in_many_tasks(spark, name):
+    """One row per sorted partition is all that one task sees."""
+    text = plan(spark, name)
+    for line, following in zip(text.splitlines(), text.splitlines()[1:]):
+        if "SinglePartition" in line:
+            assert "HashAggregate" in following and "_part" in following
+
+
+def test_the_latest_row_is_found_without_moving_rows(spark):
+    from lagscope.operators import latest_rows
+
+    df = spark.range(0, 100, 1, 4).select(F.col("id").alias("date"), (F.col("id") % 3).alias("k"))
+    for keys in ((), ("k",)):
+        text = latest_rows(df, keys=keys)._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in text
+        for line, following in zip(text.splitlines(), text.splitlines()[1:]):
+            if "SinglePartition" in line:
+                assert "HashAggregate" in following
+    assert latest_rows(df).count() == 1
+    assert {r["date"] for r in latest_rows(df, keys=("k",)).collect()} == {97, 98, 99}
+
+
+def test_orders_are_summed_before_customers_meet_them(spark):
+    text = plan(spark, "panel_quarter_sum")
+    assert "LeftOuter" in text
+    assert re.search(r"HashAggregate\(keys=\[o_custkey", text.split("Join")[1])

@@ -6,6 +6,8 @@ import pytest
 from compare import database, differences
 
 from __spark_entry__ import entry, oracle_sql, queries
+from lagscope.registry.oracles import ORACLES
+from lagscope.registry.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
@@ -17,12 +19,14 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    assert differences(queries()[name](spark, SF_DIR), con, oracle_sql()[name]) == []
+    assert differences(QUERIES[name](spark, SF_DIR), con, ORACLES[name]) == []
 
 
 def test_entry(spark):

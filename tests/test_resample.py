@@ -75,6 +75,8 @@ def test_each_series_by_its_own_rule(spark, days, rows):
     long = exact.select(F.explode(F.array(F.lit("l"), F.lit("s"), F.lit("m"))).alias("series_id"), "k", "date", "value")
     rules = {"l": "last", "s": "sum", "m": "avg"}
     stacked = resample_by_rule(long, "quarter", rules, keys=["k"])
+    unlisted = resample_by_rule(long, "quarter", {"l": "last"}, keys=["k"])
+    assert {r["series_id"] for r in unlisted.collect()} == {"l"}
     for name, rule in rules.items():
         single = resample(exact, "quarter", rule, "value", keys=["k"])
         single = single.select("k", "year_quarter", F.col("value").cast("double"))
@@ -109,3 +111,14 @@ def test_a_series_with_most_of_the_rows_is_combined_before_it_is_sent(spark):
     assert exchange < partial and "SortAggregate" not in plan
     total = sum(range(60_000))
     assert quarters.agg(F.sum("v")).first()[0] == total
+
+
+def test_any_last_value_is_kept(spark, rows):
+    """Missing, negative, large and NaN last values order like any other."""
+    day = date(2024, 3, 31)
+    data = [("null", None), ("minus", -5.0), ("large", float(1 << 50)), ("cent", 1.00001), ("cent", 1.00002)]
+    earlier = [(k, date(2024, 1, 1), 7.0) for k in {k for k, _ in data}]
+    df = spark.createDataFrame([*earlier, *((k, day, v) for k, v in data)], "k string, date date, v double")
+    days = df.groupBy("k", "date").agg(F.max("v").alias("v"))
+    found = resample(days, "quarter", "last", "v", keys=["k"])
+    assert dict(rows(found.select("k", "v"))) == {"null": None, "minus": -5.0, "large": float(1 << 50), "cent": 1.00002}

@@ -138,7 +138,47 @@ def test_scratch_is_a_new_path_in_the_shared_folder(spark):
 
 
 def test_the_shared_folder_is_the_one_the_cluster_names():
-    assert shared_folder("hdfs://x/y/", "yarn") == "hdfs://x/y"
-    assert shared_folder(None, "local[4]") == shared_folder(None, "local[4]")
-    with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
-        shared_folder(None, "yarn")
+    assert shared_folder("hdfs://x/y/", "hdfs://w") == "hdfs://x/y"
+    assert shared_folder(None, "hdfs://w/") == "hdfs://w/_scratch"
+
+
+def test_a_table_made_elsewhere_is_left_alone(spark, tmp_path, rows):
+    spark.sql("CREATE TABLE foreign_made (a INT) USING parquet")
+    spark.sql("INSERT INTO foreign_made VALUES (7)")
+    with pytest.raises(ValueError, match="foreign_made"):
+        refresh_table(spark.createDataFrame([("x",)], "b string"), "foreign_made", str(tmp_path))
+    assert rows(spark.table("foreign_made")) == [(7,)]
+    spark.sql("DROP TABLE foreign_made")
+
+
+def test_a_refresh_keeps_the_folder_before_and_no_older_one(spark, tmp_path, rows):
+    for i in range(4):
+        refresh_table(spark.createDataFrame([(i,)], "a int"), "kept", str(tmp_path))
+    assert rows(spark.table("kept")) == [(3,)]
+    assert len([f for f in (tmp_path / "kept").iterdir() if f.is_dir()]) == 2
+    spark.sql("DROP TABLE kept")
+
+
+GOOD = json.dumps(chart([1704205800], [1.0]))
+
+
+@pytest.mark.parametrize("bad", [
+    GOOD[: len(GOOD) // 2],
+    json.dumps({"chart": {"result": None, "error": {"code": "Not Found"}}}),
+    json.dumps({"chart": {"result": []}}),
+    json.dumps({"error": "limit reached"}),
+])
+def test_a_bad_chart_document_stops_the_job(spark, tmp_path, bad):
+    (tmp_path / "AAA.json").write_text(GOOD)
+    (tmp_path / "BBB.json").write_text(bad)
+    with pytest.raises(Exception, match="BBB|MALFORMED|Malformed"):
+        read_chart_payloads(spark, str(tmp_path), foldered=False).collect()
+
+
+@pytest.mark.parametrize("bad", ['{"observations": [{"date": "2024-01-01"', '{"error_code": 400}', '{"observations": null}'])
+def test_a_bad_observation_document_stops_the_job(spark, tmp_path, bad):
+    (tmp_path / "AAA.json").write_text('{"observations": []}')
+    assert read_observation_payloads(spark, str(tmp_path), foldered=False).count() == 0
+    (tmp_path / "BBB.json").write_text(bad)
+    with pytest.raises(Exception, match="BBB|MALFORMED|Malformed"):
+        read_observation_payloads(spark, str(tmp_path), foldered=False).collect()
