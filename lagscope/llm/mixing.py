@@ -79,6 +79,11 @@ def solve_tilts(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     ``sizes`` has (sid, size, n). Each step is one aggregation over it; the state between
     steps is a written table of one row per source.
     """
+
+    def exact(value: Column) -> Column:
+        # Decimals add up to the same in any order, so reruns find the same multipliers.
+        return F.sum(value.cast("decimal(38,6)")).cast("double")
+
     open_ends = {"low": F.lit(float("-inf")), "high": F.lit(float("inf")), "tilt": F.lit(0.0)}
     # Those at their cap, or without any target, need no tilt.
     free = (F.col("target") > 0) & (F.col("target") < F.col("cap") * (1 - 1e-12))
@@ -93,8 +98,8 @@ def solve_tilts(sizes: DataFrame, sources: DataFrame) -> DataFrame:
             .groupBy("sid")
             .agg(
                 *(F.first(c).alias(c) for c in ("mean_size", "target", "low", "high", "tilt")),
-                (F.sum(tokens * rate) - F.first("target")).alias("off"),
-                F.sum(bends).alias("bend"),
+                (exact(tokens * rate) - F.first("target")).alias("off"),
+                exact(bends).alias("bend"),
             )
             .withColumns({
                 "low": F.when(F.col("off") < 0, F.col("tilt")).otherwise(F.col("low")),
