@@ -8,6 +8,7 @@ from lagscope.operators.correlation import (
 )
 from lagscope.operators.long_series import with_changes_any_length, with_lags_any_length, with_positions
 from lagscope.operators.quality import (
+    failures_in_one_pass,
     grain_failures,
     load_report,
     not_null_failures,
@@ -31,6 +32,7 @@ __all__ = [
     "correlation_cells",
     "driver_columns",
     "drop_latest",
+    "failures_in_one_pass",
     "grain_failures",
     "lag_bank",
     "lag_correlation",

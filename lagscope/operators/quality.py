@@ -60,6 +60,54 @@ def row_count_failures(df: DataFrame, model: str, expected: int) -> DataFrame:
     return _results(df.agg(F.expr(f"abs(count(1) - {expected}) AS n")), model, "row_count", ["*"])
 
 
+def failures_in_one_pass(
+    df: DataFrame,
+    model: str,
+    not_null: Sequence[str] = (),
+    unique: Sequence[str] = (),
+    grain: Sequence[str] = (),
+    rows: int | None = None,
+    keys: Sequence[str] = (),
+) -> DataFrame:
+    """All declared checks of a model from one reading of it.
+
+    Every row is spread to what the checks count: its missing values, the values that must
+    not repeat, its grain, and itself. These are counted together before the shuffle, so a
+    task sends one row per different value whatever it reads.
+    """
+    own = [*keys, *grain]
+    key_text = ", ".join(f"CAST(`{k}` AS STRING)" for k in keys)
+    entries = [("not_null", c, f"IF(`{c}` IS NULL, '', NULL)") for c in not_null]
+    entries += [
+        ("unique", c, f"IF(`{c}` IS NULL, NULL, to_json(array({', '.join(filter(None, [key_text, f'CAST(`{c}` AS STRING)']))})))")
+        for c in unique
+    ]
+    if grain:
+        entries.append(("grain", ", ".join(own), f"to_json(array({', '.join(f'CAST(`{c}` AS STRING)' for c in own)}))"))
+    if rows is not None:
+        entries.append(("row_count", "*", "''"))
+    cells = ", ".join(f"{i}, {text}" for i, (_, _, text) in enumerate(entries))
+    counted = (
+        df.selectExpr(f"stack({len(entries)}, {cells}) AS (entry, text)")
+        .filter("text IS NOT NULL")
+        .groupBy("entry", "text")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+    def failures(i: int, check: str) -> str:
+        if check == "not_null":
+            return f"coalesce(sum(IF(entry = {i}, n, 0)), 0)"
+        if check == "row_count":
+            return f"abs(coalesce(sum(IF(entry = {i}, n, 0)), 0) - {rows})"
+        return f"count_if(entry = {i} AND n > 1)"
+
+    found = counted.agg(*(F.expr(f"{failures(i, check)} AS `c{i}`") for i, (check, _, _) in enumerate(entries)))
+    listed = ", ".join(
+        f"{_text(model)}, {_text(name)}, {_text(check)}, CAST(c{i} AS BIGINT)" for i, (check, name, _) in enumerate(entries)
+    )
+    return found.selectExpr(f"stack({len(entries)}, {listed}) AS {RESULT}")
+
+
 def load_report(df: DataFrame, table: str) -> DataFrame:
     """What was loaded: one row per column with its type, and the number of rows."""
     rows = ", ".join(

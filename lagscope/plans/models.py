@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lagscope.operators import grain_failures, not_null_failures, row_count_failures, unique_failures
+from lagscope.operators import failures_in_one_pass
 from lagscope.plans import contracts
 from lagscope.plans.marts import correlation_matrix, key_kpi, quarterly_fact
 from lagscope.plans.periods import (
@@ -197,18 +197,19 @@ def run_checks(
     kinds: Collection[str] = tuple(CONTRACTS),
     keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Every declared check of the models given, as (model, column, check, failures).
+    """Every declared check of the models given, as (model, column, check, failures). Each
+    model is read once for all of its checks.
 
     With ``keys``, models hold many series, and values must be unique within each.
     """
     results = []
     for name, df in models.items():
-        if "not_null" in kinds and name in contracts.NOT_NULL:
-            results.append(not_null_failures(df, name, contracts.NOT_NULL[name]))
-        if "unique" in kinds and name in contracts.UNIQUE:
-            results.append(unique_failures(df, name, contracts.UNIQUE[name], keys))
-        if "grain" in kinds and name in contracts.GRAIN:
-            results.append(grain_failures(df, name, [*keys, *contracts.GRAIN[name]]))
-        if "row_count" in kinds and name in contracts.ROW_COUNT and not keys:
-            results.append(row_count_failures(df, name, contracts.ROW_COUNT[name]))
+        declared = {
+            "not_null": contracts.NOT_NULL.get(name, ()) if "not_null" in kinds else (),
+            "unique": contracts.UNIQUE.get(name, ()) if "unique" in kinds else (),
+            "grain": contracts.GRAIN.get(name, ()) if "grain" in kinds else (),
+            "rows": contracts.ROW_COUNT.get(name) if "row_count" in kinds and not keys else None,
+        }
+        if any(value is not None and value != () for value in declared.values()):
+            results.append(failures_in_one_pass(df, name, *declared.values(), keys=keys))
     return reduce(DataFrame.union, results)

@@ -2,9 +2,47 @@
 
 from __future__ import annotations
 
-from lagscope.plans import contracts
-from lagscope.plans.marts import INDICATORS, LAG_LABELS, LAGS
-from lagscope.plans.models import MODEL_LAYERS
+# Fixed values, written out here a second time, so that a change in the library that is
+# not meant turns a comparison red.
+INDICATORS = {"new_orders_yoy": "New Orders YoY", "ppi_yoy": "PPI YoY", "inventory_yoy": "Inventory YoY"}
+LAGS = {"lag_1_year": 4, "lag_2_year": 8, "lag_3_year": 12, "lag_4_year": 16, "lag_5_year": 20}
+LAG_LABELS = {
+    "lag_1_year": "Lag 1Y", "lag_2_year": "Lag 2Y", "lag_3_year": "Lag 3Y", "lag_4_year": "Lag 4Y",
+    "lag_5_year": "Lag 5Y",
+}
+# Each model, the columns that must hold a value, and those whose values must not repeat.
+_DECLARED_CHECKS = """
+stg_smh_prices: date open high low close adjusted_close volume; date
+stg_sp500_prices: date open high low close adjusted_close volume; date
+stg_fred_inventories: realtime_start realtime_end date value; date
+stg_fred_new_orders: realtime_start realtime_end date value; date
+stg_fred_semiconductor_ppi: realtime_start realtime_end date value; date
+int_smh_prices: date open high low close adjusted_close volume month; date month
+int_sp500_prices: date open high low close adjusted_close volume month; date month
+int_fred_inventories: date month inventory; date month
+int_fred_new_orders: date month new_orders; date month
+int_fred_semiconductor_ppi: date month semiconductor_ppi; date month
+int_smh_yearly: year date adjusted_close; year date
+int_sp500_yearly: year date adjusted_close; year date
+int_fred_new_orders_yearly: year new_orders; year
+int_fred_ppi_yearly: year semiconductor_ppi; year
+int_fred_inventories_yearly: ; year
+int_smh_q: date year quarter year_quarter smh_value; date year_quarter
+int_sp500_q: date year quarter year_quarter sp500_value; date year_quarter
+int_fred_inventories_q: date year quarter year_quarter quarterly_inventory; date year_quarter
+int_fred_new_orders_q: year quarter year_quarter new_orders; year_quarter
+int_fred_ppi_q: year quarter year_quarter semiconductor_ppi; year_quarter
+fct_smh_q: date year quarter year_quarter smh_value smh_qoq smh_yoy; date year_quarter
+fct_smh_q_correlation: indicator; indicator
+fct_key_kpi: date year quarter year_quarter;
+"""
+GRAIN = {"fct_smh_q": "year_quarter", "fct_smh_q_correlation": "indicator", "fct_key_kpi": "year_quarter"}
+ROW_COUNT = {"fct_key_kpi": 1}
+
+_SPLIT = [line.replace(";", ":").split(":") for line in _DECLARED_CHECKS.strip().splitlines()]
+MODELS = [model for model, _, _ in _SPLIT]
+NOT_NULL = {model: columns.split() for model, columns, _ in _SPLIT}
+UNIQUE = {model: columns.split() for model, _, columns in _SPLIT}
 
 # Common table expressions, by name, in the order they may refer to each other.
 
@@ -231,8 +269,15 @@ FACT_SELECT = _rounded(FACT_MEASURES, ["date", *PERIOD], "fact")
 CELL_SELECT = "indicator, lag_period, round(correlation, 6) AS correlation"
 
 
+def _exact(columns: list[str], plain: list[str], source: str) -> str:
+    """Staged numbers with all their nine digits, as text."""
+    return f"SELECT {', '.join([*plain, *(f'CAST(CAST({c} AS DECIMAL(38, 9)) AS VARCHAR) AS {c}' for c in columns)])} FROM {source}"
+
+
 def _staged_months(months: str, name: str) -> str:
-    return _with([months], _rounded(["value"], ["realtime_start", "realtime_end", "date"], name))
+    # Sums stay exact here; as doubles they lose their last digits.
+    months = months.replace("CAST(sum(CAST(", "(sum(CAST(").replace(" AS DECIMAL(18, 2))) AS DOUBLE)", " AS DECIMAL(18, 2))))")
+    return _with([months], _exact(["value"], ["realtime_start", "realtime_end", "date"], name))
 
 
 def _monthly_prices(days: str, name: str, key: str = "") -> str:
@@ -434,10 +479,10 @@ def _panel_checks(key: str) -> str:
     views = {"stg_smh_prices": "supplier_days", "fct_smh_q": "fact"}
     checks = []
     for model in views:
-        checks += [_not_null(model, c) for c in contracts.NOT_NULL[model]]
-        checks += [_unique(model, c, key) for c in contracts.UNIQUE[model]]
-        if model in contracts.GRAIN:
-            checks.append(_repeats(model, ", ".join([key, *contracts.GRAIN[model]]), "grain"))
+        checks += [_not_null(model, c) for c in NOT_NULL[model]]
+        checks += [_unique(model, c, key) for c in UNIQUE[model]]
+        if model in GRAIN:
+            checks.append(_repeats(model, f"{key}, {GRAIN[model]}", "grain"))
     days = _target_days(key, "supplier_days")
     named = [f"{model} AS (SELECT * FROM {view})" for model, view in views.items()]
     return _with([*PANEL_FACT, days, *named], " UNION ALL ".join(checks))
@@ -448,8 +493,7 @@ def _checks(checks: list[str]) -> str:
 
 
 def _row_counts() -> str:
-    models = [model for layer in MODEL_LAYERS.values() for model in layer]
-    counts = [f"SELECT '{model}' AS model, count(*) AS row_count FROM {model}" for model in models]
+    counts = [f"SELECT '{model}' AS model, count(*) AS row_count FROM {model}" for model in MODELS]
     return _with([*FACT, _bank(), _matrix(), *_all_models()], " UNION ALL ".join(counts))
 
 
@@ -463,10 +507,10 @@ _CELLS = [*_MATRIX, _cells()]
 _PANEL_CELLS = [*PANEL_FACT, _bank("l_suppkey"), _matrix("l_suppkey"), _cells("l_suppkey")]
 
 ORACLES: dict[str, str] = {
-    "stage_prices": _with([TARGET_DAYS], _rounded(PRICES, ["date", "volume"], "target_days")),
-    "stage_benchmark": _with([BENCHMARK_DAYS], _rounded(PRICES, ["date", "volume"], "benchmark_days")),
+    "stage_prices": _with([TARGET_DAYS], _exact(PRICES, ["date", "volume"], "target_days")),
+    "stage_benchmark": _with([BENCHMARK_DAYS], _exact(PRICES, ["date", "volume"], "benchmark_days")),
     "stage_observations": _with(
-        [_ORDER_RECORDS], _rounded(["value"], ["realtime_start", "realtime_end", "date"], "records")
+        [_ORDER_RECORDS], _exact(["value"], ["realtime_start", "realtime_end", "date"], "records")
     ),
     "stage_inventories": _staged_months(INVENTORY_MONTHS, "inventory_months"),
     "stage_new_orders": _staged_months(ORDER_MONTHS, "order_months"),
@@ -555,14 +599,14 @@ ORACLES: dict[str, str] = {
     ),
     "land_report": _REPORT,
     "refresh_models": _row_counts(),
-    "dq_not_null": _checks(_declared(_not_null, contracts.NOT_NULL)),
-    "dq_unique": _checks(_declared(_unique, contracts.UNIQUE)),
+    "dq_not_null": _checks(_declared(_not_null, NOT_NULL)),
+    "dq_unique": _checks(_declared(_unique, UNIQUE)),
     "dq_grain": _checks(
         [
-            *(_repeats(model, ", ".join(grain), "grain") for model, grain in contracts.GRAIN.items()),
+            *(_repeats(model, grain, "grain") for model, grain in GRAIN.items()),
             *(
                 _check(model, "*", "row_count", f"SELECT abs(count(*) - {n}) FROM {model}")
-                for model, n in contracts.ROW_COUNT.items()
+                for model, n in ROW_COUNT.items()
             ),
         ]
     ),
@@ -571,8 +615,8 @@ ORACLES: dict[str, str] = {
         [_ORDER_RECORDS, "stg_fred_new_orders AS (SELECT * FROM records)"],
         " UNION ALL ".join(
             [
-                *(_not_null("stg_fred_new_orders", c) for c in contracts.NOT_NULL["stg_fred_new_orders"]),
-                *(_unique("stg_fred_new_orders", c) for c in contracts.UNIQUE["stg_fred_new_orders"]),
+                *(_not_null("stg_fred_new_orders", c) for c in NOT_NULL["stg_fred_new_orders"]),
+                *(_unique("stg_fred_new_orders", c) for c in UNIQUE["stg_fred_new_orders"]),
             ]
         ),
     ),

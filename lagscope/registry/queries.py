@@ -50,15 +50,23 @@ def tidy(df: DataFrame) -> DataFrame:
     )
 
 
+def exact(df: DataFrame) -> DataFrame:
+    """Decimals as text, with all their digits."""
+    return df.select(
+        *(F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, T.DecimalType) else f.name
+          for f in df.schema.fields)
+    )
+
+
 # --- typed raw tables ---------------------------------------------------------------
 
 
 def _staged(table: str) -> Query:
-    return lambda spark, sf_dir: tidy(models.stage(table, roles.RAW_TABLES[table](spark, sf_dir)))
+    return lambda spark, sf_dir: exact(models.stage(table, roles.RAW_TABLES[table](spark, sf_dir)))
 
 
 def stage_order_records(spark, sf_dir):
-    return tidy(stage_observations(roles.order_observations(spark, sf_dir)))
+    return exact(stage_observations(roles.order_observations(spark, sf_dir)))
 
 
 # --- models by name -----------------------------------------------------------------

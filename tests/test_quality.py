@@ -1,6 +1,7 @@
 from datetime import date
 
 from lagscope.operators import (
+    failures_in_one_pass,
     grain_failures,
     load_report,
     not_null_failures,
@@ -57,3 +58,21 @@ def test_every_declared_check_is_there():
     models = {m for layer in MODEL_LAYERS.values() for m in layer}
     assert len(models) == 23
     assert {*contracts.NOT_NULL, *contracts.UNIQUE, *contracts.GRAIN} == models
+
+
+def test_one_pass_equals_the_checks_one_by_one(spark, rows):
+    data = [("a", 1, "x"), ("a", 1, None), ("b", 1, "x"), ("b", None, "y,z"), (None, 2, "y"), (None, 2, "y")]
+    df = spark.createDataFrame(data, "k string, d int, v string")
+    one_by_one = (
+        not_null_failures(df, "m", ["d", "v"])
+        .union(unique_failures(df, "m", ["d", "v"], ["k"]))
+        .union(grain_failures(df, "m", ["k", "d"]))
+        .union(row_count_failures(df, "m", 4))
+    )
+    together = failures_in_one_pass(df, "m", ["d", "v"], ["d", "v"], ["d"], 4, ["k"])
+    assert rows(together) == rows(one_by_one)
+    assert rows(failures_in_one_pass(df.limit(0), "m", ["d"], ["d"], ["d"], 1)) == [
+        ("m", "*", "row_count", 1), ("m", "d", "grain", 0), ("m", "d", "not_null", 0), ("m", "d", "unique", 0),
+    ]
+    text = together._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert text.count("Scan") == 1
