@@ -168,12 +168,19 @@ def _kpi_columns(names: Mapping[int, str]) -> list[str]:
     return [c for name in names.values() for c in (name, f"{name}_corr")]
 
 
-def key_kpi(fact: DataFrame, matrix: DataFrame) -> DataFrame:
+def key_kpi(fact: DataFrame, matrix: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """The latest quarter beside the two strongest drivers, from the two stored tables.
 
-    The drivers are one scalar subquery; without any correlation they are NULL.
+    The drivers are one scalar subquery, or one row per series; without any correlation
+    they are NULL.
     """
-    ranked = rank_by_strength(cells(matrix))
+    ranked = rank_by_strength(cells(matrix, keys), keys)
+    if keys:
+        drivers = ranked.groupBy(*keys).agg(*driver_columns(DRIVERS))
+        latest = latest_rows(fact, keys=keys).join(drivers, list(keys), "left")
+        return latest.select(
+            *keys, "date", *PERIOD, F.col("smh_yoy").alias("smh_return_yoy"), TARGET, *_kpi_columns(DRIVERS)
+        )
     picked = ranked.agg(*driver_columns(DRIVERS))
     drivers = picked.select(F.struct(*_kpi_columns(DRIVERS))).scalar()
     latest = latest_rows(fact).select(

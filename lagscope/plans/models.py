@@ -71,119 +71,128 @@ CONTRACTS = {
 Store = Callable[[DataFrame, str], DataFrame]
 
 
-def stage(table: str, raw: DataFrame) -> DataFrame:
+def stage(table: str, raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """The staged model of one raw table."""
     if table in RAW_PRICE_TABLES:
-        return stage_prices(raw)
+        return stage_prices(raw, keys)
     if table in RAW_OBSERVATION_TABLES:
-        return stage_observations(raw)
+        return stage_observations(raw, keys)
     raise ValueError(f"unknown raw table {table!r}")
 
 
 # Resampled models: the raw table each comes from, and how it is made once staged.
-INTERMEDIATE: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
+INTERMEDIATE: dict[str, tuple[str, Callable[[DataFrame, Sequence[str]], DataFrame]]] = {
     "int_fred_inventories": (
         "fred_inventories",
-        lambda df: monthly_observations(df, "inventory", "inventory"),
+        lambda df, keys=(): monthly_observations(df, "inventory", "inventory", keys),
     ),
     "int_fred_new_orders": (
         "fred_new_orders",
-        lambda df: monthly_observations(df, "new_orders", "new_orders"),
+        lambda df, keys=(): monthly_observations(df, "new_orders", "new_orders", keys),
     ),
     "int_fred_semiconductor_ppi": (
         "fred_semiconductor_ppi",
-        lambda df: monthly_observations(df, "semiconductor_ppi", "ppi"),
+        lambda df, keys=(): monthly_observations(df, "semiconductor_ppi", "ppi", keys),
     ),
     "int_smh_prices": ("smh_prices", monthly_prices),
     "int_sp500_prices": ("sp500_prices", monthly_prices),
     "int_smh_q": (
         "smh_prices",
-        lambda df: quarterly(df, "last", "adjusted_close", "smh_value", "smh"),
+        lambda df, keys=(): quarterly(df, "last", "adjusted_close", "smh_value", "smh", keys),
     ),
     "int_sp500_q": (
         "sp500_prices",
-        lambda df: quarterly(df, "last", "adjusted_close", "sp500_value", "sp500"),
+        lambda df, keys=(): quarterly(df, "last", "adjusted_close", "sp500_value", "sp500", keys),
     ),
     "int_fred_inventories_q": (
         "fred_inventories",
-        lambda df: quarterly(df, "last", "value", "quarterly_inventory", "inventory"),
+        lambda df, keys=(): quarterly(df, "last", "value", "quarterly_inventory", "inventory", keys),
     ),
     "int_fred_new_orders_q": (
         "fred_new_orders",
-        lambda df: quarterly(df, "sum", "value", "new_orders", "new_orders"),
+        lambda df, keys=(): quarterly(df, "sum", "value", "new_orders", "new_orders", keys),
     ),
     "int_fred_ppi_q": (
         "fred_semiconductor_ppi",
-        lambda df: quarterly(df, "avg", "value", "semiconductor_ppi", "ppi"),
+        lambda df, keys=(): quarterly(df, "avg", "value", "semiconductor_ppi", "ppi", keys),
     ),
     "int_smh_yearly": (
         "smh_prices",
-        lambda df: yearly(df, "last", "adjusted_close", "adjusted_close", "yearly_return"),
+        lambda df, keys=(): yearly(df, "last", "adjusted_close", "adjusted_close", "yearly_return", keys),
     ),
     "int_sp500_yearly": (
         "sp500_prices",
-        lambda df: yearly(df, "last", "adjusted_close", "adjusted_close", "yearly_return"),
+        lambda df, keys=(): yearly(df, "last", "adjusted_close", "adjusted_close", "yearly_return", keys),
     ),
     "int_fred_inventories_yearly": (
         "fred_inventories",
-        lambda df: yearly_at_year_end(df, "yearly_inventory", "inventory_yoy"),
+        lambda df, keys=(): yearly_at_year_end(df, "yearly_inventory", "inventory_yoy", keys),
     ),
     "int_fred_new_orders_yearly": (
         "fred_new_orders",
-        lambda df: yearly(df, "sum", "value", "new_orders", "new_orders_yoy"),
+        lambda df, keys=(): yearly(df, "sum", "value", "new_orders", "new_orders_yoy", keys),
     ),
     "int_fred_ppi_yearly": (
         "fred_semiconductor_ppi",
-        lambda df: yearly(df, "avg", "value", "semiconductor_ppi", "ppi_yoy"),
+        lambda df, keys=(): yearly(df, "avg", "value", "semiconductor_ppi", "ppi_yoy", keys),
     ),
 }
 
 
-def intermediate_model(name: str, staged: Mapping[str, DataFrame]) -> DataFrame:
+def intermediate_model(name: str, staged: Mapping[str, DataFrame], keys: Sequence[str] = ()) -> DataFrame:
     """One resampled model from staged models by name."""
     table, make = INTERMEDIATE[name]
-    return make(staged[f"stg_{table}"])
+    return make(staged[f"stg_{table}"], keys)
 
 
-def build_marts(intermediate: Mapping[str, DataFrame], store: Store) -> dict[str, DataFrame]:
+def build_marts(intermediate: Mapping[str, DataFrame], store: Store, keys: Sequence[str] = ()) -> dict[str, DataFrame]:
     """``store`` keeps a frame under a name and returns the stored one."""
-    fact = store(quarterly_fact(*(intermediate[name] for name in FACT_INPUTS)), "fct_smh_q")
-    matrix = store(correlation_matrix(fact), "fct_smh_q_correlation")
+    fact = store(quarterly_fact(*(intermediate[name] for name in FACT_INPUTS), keys=keys), "fct_smh_q")
+    matrix = store(correlation_matrix(fact, keys), "fct_smh_q_correlation")
     return {
         "fct_smh_q": fact,
         "fct_smh_q_correlation": matrix,
-        "fct_key_kpi": store(key_kpi(fact, matrix), "fct_key_kpi"),
+        "fct_key_kpi": store(key_kpi(fact, matrix, keys), "fct_key_kpi"),
     }
 
 
 def build_models(
-    raw: Mapping[str, DataFrame], store: Store = materialize, names: Collection[str] | None = None
+    raw: Mapping[str, DataFrame],
+    store: Store = materialize,
+    names: Collection[str] | None = None,
+    keys: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
-    """Models by name from the five raw tables: all 23, or ``names`` with what they need."""
+    """Models by name from the five raw tables: all 23, or ``names`` with what they need.
+
+    With ``keys``, every raw table holds them and many series, all built in one go.
+    """
     marts = set(MODEL_LAYERS["mart"])
     wanted = {name for layer in MODEL_LAYERS.values() for name in layer} if names is None else set(names)
     with_marts = bool(wanted & marts)
-    staged = {f"stg_{table}": stage(table, df) for table, df in raw.items()}
+    staged = {f"stg_{table}": stage(table, df, keys) for table, df in raw.items()}
     intermediate = {
-        name: intermediate_model(name, staged)
+        name: intermediate_model(name, staged, keys)
         for name in INTERMEDIATE
         if name in wanted or (with_marts and name in FACT_INPUTS)
     }
-    models = {**staged, **intermediate, **(build_marts(intermediate, store) if with_marts else {})}
+    models = {**staged, **intermediate, **(build_marts(intermediate, store, keys) if with_marts else {})}
     return {name: df for name, df in models.items() if name in wanted}
 
 
-def publish(spark: SparkSession, raw: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
-    """Full refresh: staging and intermediate models as views, marts as catalog tables under ``root``."""
+def publish(
+    spark: SparkSession, raw: Mapping[str, DataFrame], root: str, keys: Sequence[str] = (), prefix: str = ""
+) -> dict[str, DataFrame]:
+    """Full refresh: staging and intermediate models as views, marts as catalog tables under
+    ``root``, their names after ``prefix``. With ``keys``, a panel as one refresh."""
 
     def store(df: DataFrame, name: str) -> DataFrame:
-        refresh_table(df, name, root, TABLE_ORDER.get(name, ()))
-        return spark.table(name)
+        refresh_table(df, prefix + name, root, [*keys, *TABLE_ORDER.get(name, ())])
+        return spark.table(prefix + name)
 
-    models = build_models(raw, store)
+    models = build_models(raw, store, keys=keys)
     for layer in ("staging", "intermediate"):
         for name in MODEL_LAYERS[layer]:
-            models[name].createOrReplaceTempView(name)
+            models[name].createOrReplaceTempView(prefix + name)
     return models
 
 

@@ -341,6 +341,23 @@ def refresh_models(spark, sf_dir):
     return reduce(DataFrame.unionByName, counts)
 
 
+def _published(name: str) -> Query:
+    """A mart as it is read back from the catalog after a full refresh."""
+
+    def run(spark, sf_dir):
+        models.publish(spark, _landed(spark, sf_dir), scratch_dir(spark, "marts"))
+        return tidy(spark.table(name))
+
+    return run
+
+
+def refresh_panel_kpi(spark, sf_dir):
+    """A panel staged, resampled, correlated and stored as one refresh; its headline rows."""
+    raw = {name: make(spark, sf_dir, ["desk"]) for name, make in roles.RAW_TABLES.items()}
+    models.publish(spark, raw, scratch_dir(spark, "marts"), ["desk"], "panel_")
+    return tidy(spark.table("panel_fct_key_kpi"))
+
+
 def dq_panel(spark, sf_dir):
     """Checks over the staged daily bars and the fact of every supplier."""
     staged = stage_prices(roles.raw_target_prices(spark, sf_dir, SUPPLIER), SUPPLIER)
@@ -404,6 +421,10 @@ QUERIES: dict[str, Query] = {
     "land_observation_payload": land_observation_payload,
     "land_report": land_report,
     "refresh_models": refresh_models,
+    "refresh_fact": _published("fct_smh_q"),
+    "refresh_correlation": _published("fct_smh_q_correlation"),
+    "refresh_kpi": _published("fct_key_kpi"),
+    "refresh_panel_kpi": refresh_panel_kpi,
     "dq_not_null": _checks("not_null"),
     "dq_unique": _checks("unique"),
     "dq_grain": _checks("grain", "row_count"),

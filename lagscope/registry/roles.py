@@ -29,8 +29,14 @@ SCHEMAS = {
 }
 
 
+# The series of a panel that both fact tables can be cut into: by order number.
+DESKS = 3
+ORDER_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    return rows.withColumn("desk", F.col(ORDER_KEYS[name]) % DESKS) if name in ORDER_KEYS else rows
 
 
 def _nanos(date: Column) -> Column:
@@ -67,10 +73,10 @@ def raw_target_prices(spark: SparkSession, sf_dir: str, keys: Sequence[str] = ()
     )
 
 
-def raw_benchmark_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_benchmark_prices(spark: SparkSession, sf_dir: str, keys: Sequence[str] = ()) -> DataFrame:
     price, orders = F.col("o_totalprice"), table(spark, sf_dir, "orders")
     return (
-        orders.groupBy(F.to_date("o_orderdate").alias("day"))
+        orders.groupBy(*keys, F.to_date("o_orderdate").alias("day"))
         .agg(
             F.max(F.when(F.col("o_orderstatus") == "O", price)).alias("open"),
             F.max(price).alias("high"),
@@ -79,17 +85,18 @@ def raw_benchmark_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.max(price).alias("adj_close"),
             F.count(F.lit(1)).cast("double").alias("volume"),
         )
-        .select(_nanos(F.col("day")).alias("date"), "open", "high", "low", "close", "adj_close", "volume")
+        .select(*keys, _nanos(F.col("day")).alias("date"), "open", "high", "low", "close", "adj_close", "volume")
     )
 
 
-def _raw_monthly(rows: DataFrame, date: str, value: Column) -> DataFrame:
+def _raw_monthly(rows: DataFrame, date: str, value: Column, keys: Sequence[str] = ()) -> DataFrame:
     """One observation per month, all fields as text, as a provider sends them."""
     return (
         rows.withColumn("day", F.to_date(date))
-        .groupBy(F.trunc("day", "MM").alias("month_start"))
+        .groupBy(*keys, F.trunc("day", "MM").alias("month_start"))
         .agg(F.min("day").alias("first"), F.max("day").alias("last"), value.alias("value"))
         .select(
+            *keys,
             F.col("first").cast("string").alias("realtime_start"),
             F.col("last").cast("string").alias("realtime_end"),
             F.col("month_start").cast("string").alias("date"),
@@ -98,19 +105,19 @@ def _raw_monthly(rows: DataFrame, date: str, value: Column) -> DataFrame:
     )
 
 
-def raw_new_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_new_orders(spark: SparkSession, sf_dir: str, keys: Sequence[str] = ()) -> DataFrame:
     total = amount(F.sum(cents(F.col("o_totalprice"))))
-    return _raw_monthly(table(spark, sf_dir, "orders"), "o_orderdate", total)
+    return _raw_monthly(table(spark, sf_dir, "orders"), "o_orderdate", total, keys)
 
 
-def raw_price_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_price_index(spark: SparkSession, sf_dir: str, keys: Sequence[str] = ()) -> DataFrame:
     returned = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
-    return _raw_monthly(returned, "l_shipdate", F.max(_unit_price()))
+    return _raw_monthly(returned, "l_shipdate", F.max(_unit_price()), keys)
 
 
-def raw_inventories(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_inventories(spark: SparkSession, sf_dir: str, keys: Sequence[str] = ()) -> DataFrame:
     total = amount(F.sum(cents(F.col("l_quantity"))))
-    return _raw_monthly(table(spark, sf_dir, "lineitem"), "l_shipdate", total)
+    return _raw_monthly(table(spark, sf_dir, "lineitem"), "l_shipdate", total, keys)
 
 
 RAW_TABLES = {
