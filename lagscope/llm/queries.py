@@ -72,7 +72,7 @@ def toxicity_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
     ratios = quality.fit_ratios(docs, labels.filter(F.col("quality") == 1))
-    return quality.judge_texts(docs, ratios)
+    return quality.judge_texts(docs, ratios).select("doc_id", *quality.COUNTS, "base_failed", "kept", "ratio")
 
 
 def mixing_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
