@@ -24,6 +24,8 @@ was lost leaves no half file.
 from __future__ import annotations
 
 import os
+import sys
+import types
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -43,8 +45,8 @@ KEYS_PER_BUCKET = 4
 KEYS_PER_PART = 1 << 14
 MOST_PARTS = 1 << 12
 RECORD = np.dtype([("fingerprint", "<u8"), ("shard", "<u4"), ("copies", "<u4"), ("offset", "<u8"), ("n_tokens", "<u8")])
-#: Ids of this many words are kept between batches.
-KEPT_WORDS = 400_000
+#: Ids of so many words, and of so many pieces of words, are kept between batches.
+KEPT_WORDS = 700_000
 
 
 def key_hashes(keys: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -126,42 +128,130 @@ class _Output:
             self.store.delete_file(self.own)
 
 
+#: Pieces that the tokenizer's own pattern cuts a lower-cased word into; fixed by its file.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+#: Words of these characters need no Unicode normalization and lower-case letter by letter.
+PLAIN = r"[\x21-\x7e\xa1-\u012f\u0131-\u017f]+"
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself where it
+    prints, and else the next one from 256 on."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in prints else chr(next(others)) for b in range(256)]
+
+
+def _kinds() -> np.ndarray:
+    """White space 0, ASCII letters 1, digits 2, other printing ASCII 3, and the rest 4, with
+    the apostrophe, at which the pattern looks at the letters that follow."""
+    kinds = np.full(256, 3, np.uint8)
+    kinds[lx.WHITE] = 0
+    kinds[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+    kinds[0x30:0x3A] = 2
+    kinds[[*range(0x09), *range(0x0E, 0x20), 0x27, *range(0x7F, 0x100)]] = 4
+    return kinds
+
+
+KINDS = _kinds()
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 32
+
+
+class Units(lx.Words):
+    """Words, those of plain ASCII cut where the tokenizer's pattern cuts them: between
+    letters, other signs and single digits. ASCII letters are lower-cased."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        self.data, self.offsets, self._hashes = LOWER[data], offsets, None
+        kinds = KINDS[data]
+        inside = kinds > 0
+        starts, ends = lx.runs(inside, offsets)
+        odd = np.zeros(len(data) + 1, np.int32)
+        np.cumsum(kinds == 4, out=odd[1:])
+        whole = np.repeat(odd[ends] > odd[starts], ends - starts)
+        at = np.flatnonzero(inside)
+        begins = np.zeros(len(data) + 1, bool)
+        cut = np.zeros(len(data), bool)
+        cut[1:] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == 2)
+        begins[at] = cut[at] & ~whole
+        begins[starts] = True
+        self.starts = np.flatnonzero(begins)
+        begins[ends] = True
+        # A unit ends where the next one begins or its word does.
+        marks = np.flatnonzero(begins)
+        self.ends = marks[np.searchsorted(marks, self.starts) + 1]
+        self.first = np.searchsorted(self.starts, offsets)
+        self.counts = np.diff(self.first)
+
+
 class Encoder:
     """Ids of texts, each white-space-separated word encoded once and remembered.
 
     The tokenizer splits at white space and drops it, so the ids of a text are those of
-    its words in a row.
+    its words in a row. A plain word is cut by the tokenizer's pattern and its pieces go to
+    the tokenizer's model; any other word goes through the whole tokenizer. What a worker
+    process has learned serves its later tasks too, up to ``KEPT_WORDS``.
     """
 
     def __init__(self, file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
         self.width = np.dtype("<u2") if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.dtype("<u4")
-        self.known: dict[bytes, np.ndarray] = {}
+        kept = sys.modules.setdefault("lagscope_worker_words", types.ModuleType("lagscope_worker_words"))
+        self.known: dict[bytes, bytes] = kept.__dict__.setdefault(f"words of {file}", {})
+        self.pieces: dict[str, bytes] = kept.__dict__.setdefault(f"pieces of {file}", {})
+        self.cut, self.plain = regex.compile(PIECES).findall, regex.compile(PLAIN).fullmatch
+        self.letters = _byte_letters()
+        self.marks = tuple({t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()})
+
+    def _piece(self, piece: str) -> bytes:
+        letters = piece if piece.isascii() else "".join(self.letters[b] for b in piece.encode())
+        return np.array([t.id for t in self.tokenizer.model.tokenize(letters)], self.width).tobytes()
 
     def _learn(self, words: list[bytes]) -> None:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > KEPT_WORDS:
-            self.known.clear()
-            new = words
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, self.width)) for w, e in zip(new, found, strict=True))
+        known, pieces = self.known, self.pieces
+        if len(known) + len(words) > KEPT_WORDS:
+            known.clear()
+        if len(pieces) > KEPT_WORDS:
+            pieces.clear()
+        others = []
+        for word in words:
+            if word in known:
+                continue
+            text = word.decode()
+            if not self.plain(text) or any(m in text for m in self.marks):
+                others.append(word)
+                continue
+            ids = b""
+            for piece in self.cut(text.lower()):
+                own = pieces.get(piece)
+                if own is None:
+                    own = pieces[piece] = self._piece(piece)
+                ids += own
+            known[word] = ids
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)
+        known.update((w, np.array(e.ids, self.width).tobytes()) for w, e in zip(others, found, strict=True))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, with ``END_ID`` after each text, and the number of ids of each text."""
-        words = lx.Words(data, offsets)
-        keys, first, place = np.unique(words.hashes, return_index=True, return_inverse=True)
         raw = data.tobytes()
+        # Added tokens are looked for before letters are lower-cased.
+        plain = not any(mark.encode() in raw for mark in self.marks)
+        words = Units(data, offsets) if plain else lx.Words(data, offsets)
+        raw = words.data.tobytes() if plain else raw
+        _, first, place = np.unique(words.hashes, return_index=True, return_inverse=True)
         kinds = [raw[a:b] for a, b in zip(words.starts[first].tolist(), words.ends[first].tolist(), strict=True)]
         self._learn(kinds)
         return self._lay_out([self.known[w] for w in kinds], place, words)
 
-    def _lay_out(self, ids: list[np.ndarray], place: np.ndarray, words: lx.Words) -> tuple[np.ndarray, np.ndarray]:
+    def _lay_out(self, ids: list[bytes], place: np.ndarray, words: lx.Words) -> tuple[np.ndarray, np.ndarray]:
         n_texts = len(words.counts)
-        flat = np.concatenate([*ids, np.array([END_ID], self.width)])
-        sizes = np.array([len(i) for i in ids], np.int64)
+        flat = np.append(np.frombuffer(b"".join(ids), self.width), self.width.type(END_ID))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width.itemsize
         begin = np.cumsum(sizes) - sizes
         owner = lx.owners(words.first)
         # Each word, and one more for the end of each text.

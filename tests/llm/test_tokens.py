@@ -3,6 +3,8 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lagscope.llm import queries, tokens
@@ -49,6 +51,28 @@ def test_words_encode_as_in_the_whole_text(tokenizer):
     assert n.tolist() == [len(whole_ids(tokenizer, t)) for t in texts]
 
 
+@given(st.lists(st.text(alphabet=st.characters(max_codepoint=0x250, exclude_categories=["Cs"]), max_size=25), max_size=6))
+@settings(max_examples=300, deadline=None)
+def test_any_text_encodes_as_a_whole(texts):
+    from tokenizers import Tokenizer
+
+    from lagscope.llm import lexing as lx
+
+    tokenizer = Tokenizer.from_file(queries.TOKENIZER)
+    ids, _ = tokens.Encoder(queries.TOKENIZER).encode(*lx.text_bytes(pa.array(texts, pa.string())))
+    assert ids.tolist() == [i for t in texts for i in whole_ids(tokenizer, t)]
+
+
+def test_a_full_memory_of_words_is_emptied(tokenizer, monkeypatch):
+    from lagscope.llm import lexing as lx
+
+    monkeypatch.setattr(tokens, "KEPT_WORDS", 3)
+    encoder = tokens.Encoder(queries.TOKENIZER)
+    for texts in (["a b c d e"], ["f a é g", "h"], ["a b c d e"]):
+        ids, _ = encoder.encode(*lx.text_bytes(pa.array(texts)))
+        assert ids.tolist() == [i for t in texts for i in whole_ids(tokenizer, t)]
+
+
 def test_odd_rows_round_trip(spark, odd, tokenizer):
     files = tokens.write_tokens(odd, scratch_dir(spark, "tokens"), queries.TOKENIZER)
     rows = queries.token_digests(files, odd).collect()
