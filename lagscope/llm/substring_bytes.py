@@ -1,7 +1,7 @@
 """Suffix-array dedup over bytes: difference-cover blockwise construction.
 
 Windows are ``SIZE`` bytes. Open regions (see ``repeats``) are dealt by seed into blocks of
-a few megabytes; only windows of one seed can be equal, so a block needs no other. In a
+about a megabyte; only windows of one seed can be equal, so a block needs no other. In a
 block the suffixes are sorted as in blockwise construction of a suffix array:
 
 * The cover: positions p of the block's text with p mod ``PERIOD`` in ``COVER``. Any two
@@ -42,7 +42,7 @@ PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)
 #: Bytes of a cover suffix that are ranked.
 REACH = SIZE - PERIOD
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 MOST_PER_SEED = 1 << 12
 CUT = "seed long, content long, twice boolean, name long, length long, begin long, windows long, body binary"
 WINDOW = "name long, length long, begin long, windows long"
