@@ -12,11 +12,15 @@ set; only classes are compared. Half keys that no other class shares are dropped
 the tables are formed, since their tables hold nobody else.
 
 Within a bucket not all pairs are compared, only enough to know the components. First
-each class meets the smallest class of all its buckets. Buckets whose classes are all in
-one component are finished. In the others the classes outside the bucket's largest
-component meet all members of other components, ``PIVOTS`` of them a round, until every
-bucket is in one component or each of its pairs across components has been compared. No
-bucket is cut short, and a large group of near copies costs one comparison each.
+each class meets one pivot, the class of its buckets whose half keys most others share;
+that joins the copies of a text to it. Buckets whose classes are then in one component are
+finished. In the others every class outside the bucket's largest component meets the
+members of other components, in the first of the tables that they share, unless the two
+provably cannot be linked. Linked sets differ in few shingles, and every set has a parity
+signature: each shingle flips one of ``PARITY_BITS`` bits. Two signatures never differ in
+more bits than the sets in shingles, so a pair whose signatures differ in too many is no
+link and is not made. Pairs that agree in fewer than ``LEAST_HALVES`` of the half keys are
+passed over as well; a pair of similarity 0.8 does so with a chance of 0.1 %.
 
 Null texts and texts without words have an empty set: they are linked with nothing and
 their own component. Rows that repeat a key stay rows of their own; ``component_id`` is
@@ -30,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lagscope.llm import lexing as lx
@@ -38,7 +42,8 @@ from lagscope.llm.tables import decided, forget, row_names, stored
 
 GROUPS = 12
 HASHES = 3
-PIVOTS = 32
+LEAST_HALVES = 5
+PARITY_BITS = 1024
 PERCENT = 80
 SHINGLE = 5
 #: Bytes kept of each shingle's hash in a stored set: two different shingles of a pair of
@@ -94,16 +99,32 @@ def _digests(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.stack((lx.mix(sums[0]), lx.mix(sums[1] + sums[0])), axis=1)
 
 
+def parities(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The parity signature of each set, as words of 64 bits."""
+    out = np.zeros((len(first) - 1, PARITY_BITS // 64), np.uint64)
+    bit = (hashes >> np.uint64(64 - PARITY_BITS.bit_length() + 1)).astype(np.int64)
+    for a in range(0, len(out), 1024):
+        b = min(a + 1024, len(out))
+        own = slice(first[a], first[b])
+        owner = np.repeat(np.arange(b - a), np.diff(first[a : b + 1]))
+        odd = np.bincount(owner * PARITY_BITS + bit[own], minlength=(b - a) * PARITY_BITS) & 1
+        out[a:b] = np.packbits(odd.astype(np.uint8)).view(np.uint64).reshape(b - a, -1)
+    return out
+
+
 def _signer(size: int):
+    width = PARITY_BITS // 64
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = lx.text_bytes(batch.column("text"))
-            sizes, sets, keys = [], [], []
+            sizes, sets, keys, signs = [], [], [], []
             for a, b in lx.pieces(offsets):
                 hashes, first = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], size)
                 n = np.diff(first)
                 sizes.append(n)
                 sets += [d.tobytes() if some else None for d, some in zip(_digests(hashes, first), n, strict=True)]
+                signs.append(parities(hashes, first))
                 own = iter(half_keys(hashes, first))
                 keys += [next(own).tobytes() if some else None for some in n]
             yield pa.RecordBatch.from_arrays(
@@ -111,8 +132,12 @@ def _signer(size: int):
                     batch.column("key"), batch.column("name"),
                     pa.array(np.concatenate(sizes) if sizes else [], pa.int64()),
                     pa.array(sets, pa.binary()), pa.array(keys, pa.binary()),
+                    pa.ListArray.from_arrays(
+                        np.arange(0, batch.num_rows * width + 1, width, dtype=np.int32),
+                        np.concatenate(signs).ravel().view(np.int64) if signs else np.zeros(0, np.int64),
+                    ),
                 ],
-                names=["key", "name", "n", "cls", "halves"],
+                names=["key", "name", "n", "cls", "halves", "parity"],
             )
 
     return sign
@@ -125,8 +150,8 @@ def _list_halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = np.frombuffer(raw, np.uint64).reshape(-1, 2 * GROUPS)
         group = np.arange(2 * GROUPS, dtype=np.uint64)
         keys = ((keys & ~np.uint64(31)) | group).astype(np.int64)
-        cls = batch.column("cls").take(pa.array(np.repeat(np.arange(len(keys)), 2 * GROUPS)))
-        yield pa.RecordBatch.from_arrays([cls, pa.array(keys.ravel())], names=["cls", "half"])
+        ids = np.repeat(batch.column("id").to_numpy(), 2 * GROUPS)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(keys.ravel())], names=["id", "half"])
 
 
 def _set_lister(size: int):
@@ -141,7 +166,7 @@ def _set_lister(size: int):
                 own += [d.tobytes() for d in _digests(hashes, first)]
             # Where a key repeats, only the text that made the class is its set.
             listed = pa.RecordBatch.from_arrays(
-                [batch.column("cls"), pa.array(sets, pa.binary())], names=["cls", "shingles"]
+                [batch.column("id"), pa.array(sets, pa.binary())], names=["id", "shingles"]
             )
             yield listed.filter(pc.equal(batch.column("cls"), pa.array(own, pa.binary())))
 
@@ -193,89 +218,116 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    of_b = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("set_b"))
-    of_a = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("set_a"))
+    of_b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b"))
+    of_a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a"))
     both = pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "set_a", "set_b")
-    return both.mapInArrow(_confirmer(percent), "a binary, b binary, linked boolean")
-
-
-def _tables(classes: DataFrame) -> DataFrame:
-    """(bucket, cls) of all buckets with two classes or more."""
-    halves = stored(classes.select("cls", "halves").mapInArrow(_list_halves, "cls binary, half long"), "halves")
-    shared = halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("half")
-    own = halves.join(shared, "half").groupBy("cls").agg(F.collect_list("half").alias("own"))
-    in_first = F.filter("own", lambda h: h.bitwiseAND(F.lit(31)) < GROUPS)
-    in_second = F.filter("own", lambda h: h.bitwiseAND(F.lit(31)) >= GROUPS)
-    keys = F.flatten(F.transform(in_first, lambda x: F.transform(in_second, lambda y: F.xxhash64(x, y))))
-    rows = stored(own.select("cls", F.explode(keys).alias("bucket")), "tables")
-    full = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    kept = stored(rows.join(full, "bucket"), "buckets")
-    forget(halves, rows)
-    return kept
-
-
-def _links(buckets: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame | None:
-    """Confirmed links that give the same components as all links between classes."""
-    lowest = buckets.groupBy("bucket").agg(F.min("cls").alias("b"))
-    pairs = (
-        buckets.join(lowest, "bucket").groupBy(F.col("cls").alias("a")).agg(F.min("b").alias("b")).filter("a != b")
+    return both.mapInArrow(_confirmer(percent), "a long, b long, linked boolean")
+
+
+def _tables(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(bucket, place, id, pivot, rank) of all buckets with two classes or more, ``place``
+    the number of the table; and (id, halves) with each class's shared half keys."""
+    listed = stored(classes.select("id", "halves").mapInArrow(_list_halves, "id long, half long"), "halves")
+    shared = listed.groupBy("half").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    cells = F.map_from_entries(F.collect_list(F.struct(F.col("half").bitwiseAND(F.lit(31)).cast("int"), F.col("half"))))
+    own = listed.join(shared, "half").groupBy("id").agg(cells.alias("cells"), F.sum("n").alias("rank"))
+    # One place per group; null where no other class shares the half key.
+    groups = F.sequence(F.lit(0), F.lit(2 * GROUPS - 1))
+    own = stored(own.select("id", "rank", F.transform(groups, lambda g: F.try_element_at("cells", g)).alias("halves")), "own")
+    tables = F.sequence(F.lit(0), F.lit(GROUPS * GROUPS - 1))
+    keys = F.transform(
+        tables,
+        lambda t: F.struct(
+            t.alias("place"),
+            F.get("halves", (t / GROUPS).cast("int")).alias("first"),
+            F.get("halves", t % GROUPS + GROUPS).alias("second"),
+        ),
     )
-    tested, links, open_rows = None, None, buckets
-    while True:
-        of_a, of_b = (sizes.select(F.col("cls").alias(c), F.col("n").alias(f"n_{c}")) for c in "ab")
-        # Sets of too different sizes cannot be that similar.
-        may = pairs.join(of_a, "a").join(of_b, "b").filter(
-            100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-        )
-        checked = stored(_confirmed(may.select("a", "b"), sets, percent), "checked")
-        found = checked.filter("linked").select("a", "b")
-        tested = checked.select("a", "b") if tested is None else tested.unionAll(checked.select("a", "b"))
-        links = found if links is None else links.unionAll(found)
-        labels = components(links)
-        rows = open_rows.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
-            "label", F.coalesce("label", "cls")
-        )
-        parts = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-        main = parts.groupBy("bucket").agg(
-            F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("labels")
-        )
-        rows = stored(rows.join(main.filter("labels > 1"), "bucket"), "open")
-        if not rows.limit(1).count():
-            return links
-        turn = F.row_number().over(Window.partitionBy("bucket").orderBy("cls"))
-        pivots = rows.filter(F.col("label") != F.col("main")).withColumn("turn", turn).filter(F.col("turn") <= PIVOTS)
-        pivots = stored(pivots.select("bucket", F.col("cls").alias("p"), F.col("label").alias("own")), "pivots")
-        met = rows.join(pivots, "bucket").filter(F.col("label") != F.col("own"))
-        pairs = met.select(F.greatest("cls", "p").alias("a"), F.least("cls", "p").alias("b")).distinct()
-        pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        # A pivot has met all others of its bucket by the end of the round.
-        used = pivots.select("bucket", F.col("p").alias("cls"))
-        open_rows = stored(rows.select("bucket", "cls").join(used, ["bucket", "cls"], "left_anti"), "left")
+    keys = F.filter(keys, lambda k: k["first"].isNotNull() & k["second"].isNotNull())
+    rows = own.select("id", "rank", F.inline(keys)).select(
+        F.xxhash64("first", "second").alias("bucket"), "place", "id", "rank"
+    )
+    full = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("rank", "id")).alias("top"))
+    full = full.filter("n > 1").select("bucket", F.col("top.id").alias("pivot"), F.col("top.rank").alias("rank"))
+    buckets = stored(rows.drop("rank").join(full, "bucket"), "buckets")
+    forget(listed)
+    return buckets, own.select("id", "halves")
+
+
+def _labelled(ids: DataFrame, links: DataFrame) -> DataFrame:
+    """``ids`` with the ``label`` of their component."""
+    labels = components(links).withColumnRenamed("node", "id")
+    return ids.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+
+
+def _links(buckets: DataFrame, halves: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (a, b) that give the same components as all links between classes."""
+
+    def similar_sizes(x: Column, y: Column) -> Column:
+        return 100 * F.least(x, y) >= percent * F.greatest(x, y)
+
+    best = buckets.groupBy(F.col("id").alias("a")).agg(F.max(F.struct("rank", "pivot")).alias("top"))
+    pairs = best.select("a", F.col("top.pivot").alias("b")).filter("a <> b")
+    to_pivot = stored(_confirmed(pairs, sets, percent), "checked")
+    first = to_pivot.filter("linked").select("a", "b")
+    labels = stored(_labelled(sizes, first), "labels")
+    rows = buckets.select("bucket", "place", "id").join(labels.select("id", "label"), "id")
+    parts = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    main = parts.groupBy("bucket").agg(
+        F.max(F.struct("n", "label")).alias("most"), F.count(F.lit(1)).alias("labels")
+    )
+    unfinished = main.filter("labels > 1").select("bucket", F.col("most.label").alias("main"))
+    open_rows = rows.join(unfinished, "bucket").join(labels.drop("label"), "id").join(halves, "id")
+    open_rows = stored(open_rows.withColumn("minor", F.col("label") != F.col("main")).drop("main"), "open")
+    x, y = open_rows.alias("x"), open_rows.filter("minor").alias("y")
+    differ = sum(
+        F.bit_count(F.get("x.parity", F.lit(i)).bitwiseXOR(F.get("y.parity", F.lit(i)))) for i in range(PARITY_BITS // 64)
+    )
+    agree = F.zip_with("x.halves", "y.halves", lambda a, b: F.coalesce(a == b, F.lit(False)))
+    # The pair is taken in the first of the tables that it shares.
+    here = (F.array_position(F.slice(agree, 1, GROUPS), True) - 1) * GROUPS + (
+        F.array_position(F.slice(agree, GROUPS + 1, GROUPS), True) - 1
+    )
+    met = x.join(
+        y,
+        (F.col("x.bucket") == F.col("y.bucket"))
+        & (F.col("x.label") != F.col("y.label"))
+        & (~F.col("x.minor") | (F.col("x.id") < F.col("y.id")))
+        & similar_sizes(F.col("x.n"), F.col("y.n"))
+        & ((100 + percent) * differ <= (100 - percent) * (F.col("x.n") + F.col("y.n")))
+        & (F.size(F.filter(agree, lambda a: a)) >= LEAST_HALVES)
+        & (here == F.col("x.place")),
+    ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    second = stored(_confirmed(met, sets, percent), "checked")
+    return first.unionAll(second.filter("linked").select("a", "b"))
 
 
 def _grouped(docs: DataFrame, key: str, text: str, shingle: int, percent: int) -> DataFrame:
-    """(key, name, n, component_id) of all rows; ``name`` is a hash of the text."""
+    """(key, name, n, label, component_id) of all rows; ``name`` is a hash of the text."""
     kind = docs.schema[key].dataType.simpleString()
     name = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("name")
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), name)
-    fields = f"key {kind}, name long, n long, cls binary, halves binary"
+    fields = f"key {kind}, name long, n long, cls binary, halves binary, parity array<long>"
     signed = stored(rows.mapInArrow(_signer(shingle), fields), "signed")
     filled = signed.filter(F.col("n") > 0)
-    classes = filled.groupBy("cls").agg(F.min("key").alias("key"), F.max("n").alias("n"), F.max("halves").alias("halves"))
-    classes = stored(classes, "classes")
-    buckets = _tables(classes)
-    met = buckets.select("cls").distinct()
+    classes = filled.groupBy("cls").agg(
+        F.min("key").alias("key"), *(F.max(c).alias(c) for c in ("n", "halves", "parity"))
+    )
+    # Numbered once and written, so that a number stays with its class.
+    classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    buckets, halves = _tables(classes)
+    met = buckets.select("id").distinct()
     # The texts of one document per class, for the classes that meet another one.
-    chosen = classes.join(met, "cls").select("cls", F.col("key").alias("_key"))
+    chosen = classes.join(met, "id").select("id", "cls", F.col("key").alias("_key"))
     sets = stored(_sets_of(rows.select("key", "text"), signed, chosen, shingle), "sets")
-    labels = components(_links(buckets, sets, classes.select("cls", "n"), percent))
-    label = F.coalesce("label", "cls").alias("label")
-    of_class = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "key", label)
+    links = _links(buckets, halves, sets, classes.select("id", "n", "parity"), percent)
+    of_class = _labelled(classes.select("id", "cls", "key"), links)
     smallest = of_class.groupBy("label").agg(F.min("key").alias("component_id"))
-    named = stored(of_class.join(smallest, "label").select("cls", "component_id"), "components")
+    named = stored(of_class.join(smallest, "label").select("cls", "label", "component_id"), "components")
     forget(buckets, sets)
-    linked = filled.join(named, "cls").select("key", "name", "n", "component_id")
-    return linked.unionAll(signed.filter(F.col("n") == 0).select("key", "name", "n", F.col("key").alias("component_id")))
+    linked = filled.join(named, "cls").select("key", "name", "n", "label", "component_id")
+    alone = signed.filter(F.col("n") == 0)
+    return linked.unionAll(alone.select("key", "name", "n", F.lit(None).cast("long"), F.col("key")))
 
 
 def near_duplicates(
@@ -299,18 +351,19 @@ def keep_one(
     """
     grouped = _grouped(docs, key, text, shingle, percent).filter(F.col("key").eqNullSafe(F.col("component_id")))
     # Texts without words are linked with nothing, so each of them is a component.
-    group = F.when(F.col("n") > 0, F.lit(0)).otherwise(F.col("name"))
-    kept = grouped.groupBy("key", group.alias("group")).agg(F.min("name").alias("_name"))
+    kept = grouped.groupBy("key", "label", F.when(F.col("n") == 0, F.col("name")).alias("empty")).agg(
+        F.min("name").alias("_name")
+    )
     names = row_names(F.col("key"), F.lit(""))
     kept = kept.select(names["_key"].alias("_key"), names["_none"].alias("_none"), "_name")
     return decided(docs, kept, key, text).select("row.*")
 
 
 def _sets_of(rows: DataFrame, signed: DataFrame, chosen: DataFrame, shingle: int) -> DataFrame:
-    """(cls, shingles) of the chosen classes, from a text of each."""
-    texts = rows.join(chosen, F.col("key").eqNullSafe(F.col("_key"))).select("cls", "text")
-    listed = texts.mapInArrow(_set_lister(shingle), "cls binary, shingles binary")
+    """(id, shingles) of the chosen classes, from a text of each."""
+    texts = rows.join(chosen, F.col("key").eqNullSafe(F.col("_key"))).select("id", "cls", "text")
+    listed = texts.mapInArrow(_set_lister(shingle), "id long, shingles binary")
     if signed.count() > signed.select("key").distinct().count():
         # Rows that repeat a key bring a set more than once.
-        return listed.groupBy("cls").agg(F.max("shingles").alias("shingles"))
+        return listed.groupBy("id").agg(F.max("shingles").alias("shingles"))
     return listed
