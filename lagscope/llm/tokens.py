@@ -24,8 +24,6 @@ was lost leaves no half file.
 from __future__ import annotations
 
 import os
-import sys
-import types
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -46,7 +44,7 @@ KEYS_PER_PART = 1 << 14
 MOST_PARTS = 1 << 12
 RECORD = np.dtype([("fingerprint", "<u8"), ("shard", "<u4"), ("copies", "<u4"), ("offset", "<u8"), ("n_tokens", "<u8")])
 #: Ids of so many words, and of so many pieces of words, are kept between batches.
-KEPT_WORDS = 700_000
+KEPT_WORDS = 150_000
 
 
 def key_hashes(keys: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -190,8 +188,7 @@ class Encoder:
 
     The tokenizer splits at white space and drops it, so the ids of a text are those of
     its words in a row. A plain word is cut by the tokenizer's pattern and its pieces go to
-    the tokenizer's model; any other word goes through the whole tokenizer. What a worker
-    process has learned serves its later tasks too, up to ``KEPT_WORDS``.
+    the tokenizer's model; any other word goes through the whole tokenizer.
     """
 
     def __init__(self, file: str):
@@ -201,9 +198,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(file)
         self.width = np.dtype("<u2") if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.dtype("<u4")
-        kept = sys.modules.setdefault("lagscope_worker_words", types.ModuleType("lagscope_worker_words"))
-        self.known: dict[bytes, bytes] = kept.__dict__.setdefault(f"words of {file}", {})
-        self.pieces: dict[str, bytes] = kept.__dict__.setdefault(f"pieces of {file}", {})
+        self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         self.cut, self.plain = regex.compile(PIECES).findall, regex.compile(PLAIN).fullmatch
         self.letters = _byte_letters()
         self.marks = tuple({t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()})
@@ -279,7 +275,7 @@ def _writer(folder: str, file: str):
                 encoder, out = Encoder(file), _Output(folder, f"shard-{shard:05d}.ids")
             data, offsets = lx.text_bytes(batch.column("text"))
             totals = []
-            for a, b in lx.pieces(offsets, 8 * lx.PIECE):
+            for a, b in lx.pieces(offsets, 2 * lx.PIECE):
                 ids, total = encoder.encode(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 out.stream.write(ids.tobytes())
                 totals.append(total)
