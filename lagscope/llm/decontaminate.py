@@ -3,9 +3,11 @@
 A spaced seed is a mask over consecutive words: its hash covers the words under a 1 and
 ignores those under a 0, so a passage with some words replaced still shares seeds with
 its source. The seeds of the benchmark join those of the documents on their hash; each
-hit lines a document up with an item, and along that line the best stretch is found
-where a matching word counts +1 and another one -2. Stretches of ``LEAST_SPAN`` words (or
-the whole of a shorter item) of which ``LEAST_SHARE`` match are contamination.
+hit lines a document up with an item. Along that line any stretch of ``LEAST_SPAN`` words
+or more, from a matching word to a matching word, of which ``LEAST_SHARE`` match is
+contamination, as is the whole of an item, however short, of which that share matches.
+The longest such stretch is reported. Other words at its ends do not lengthen a stretch:
+ten or eleven words in a row are not twelve.
 
 Words are runs of letters and digits, lower-cased, so case and punctuation do not hide
 a passage. The benchmark joins in blocks of at most ``BLOCK_WORDS`` words: that bounds
@@ -18,6 +20,7 @@ under its own id; repeated rows of documents are reported once per (document, it
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +34,10 @@ from lagscope.llm import lexing as lx
 MASKS = ("11101100101", "1101000110111", "11111011")
 LEAST_SPAN = 12
 LEAST_SHARE = 0.8
+#: The share as a fraction: sums of whole numbers then decide.
+PART, OF = Fraction(str(LEAST_SHARE)).as_integer_ratio()
+#: A plain alignment's score of a word that does not match, for comparison only: what is
+#: found here does not depend on it.
 MISMATCH = -2
 BLOCK_WORDS = 1 << 20
 #: Bits of the filter that most words pass by without a search.
@@ -94,12 +101,24 @@ class _Block:
         return np.unique(np.concatenate(found), axis=0)
 
 
-def best_stretch(same: np.ndarray) -> tuple[int, int]:
-    """The stretch with the largest sum of +1 per match and MISMATCH per other word."""
-    sums = np.concatenate(([0], np.cumsum(np.where(same, 1, MISMATCH))))
-    lowest = np.minimum.accumulate(sums)
-    end = int((sums - lowest).argmax())
-    return int(sums[: end + 1].argmin()), end
+def longest_stretch(same: np.ndarray, whole: bool) -> tuple[int, int]:
+    """The longest stretch of which LEAST_SHARE match: all of ``same`` where that is the
+    ``whole`` item, or else LEAST_SPAN words or more from a match to a match. (0, 0) if none."""
+    sums = np.concatenate(([0], np.cumsum(np.where(same, OF - PART, -PART))))
+    if whole and len(same) and sums[-1] >= 0:
+        return 0, len(same)
+    begins = np.flatnonzero(same)
+    if len(begins) * OF < PART * LEAST_SPAN:
+        return 0, 0
+    ends = begins + 1
+    # For each end the first begin whose sum is no higher.
+    lowest = np.minimum.accumulate(sums[begins])
+    first = np.searchsorted(-lowest, -sums[ends])
+    spans = ends - begins[first]
+    best = int(spans.argmax())
+    if spans[best] < LEAST_SPAN:
+        return 0, 0
+    return int(ends[best] - spans[best]), int(ends[best])
 
 
 def _finder(block: _Block, text_column: str = "text", only: bool = False):
@@ -110,10 +129,9 @@ def _finder(block: _Block, text_column: str = "text", only: bool = False):
             # The part of the item that lies within the text.
             a, b = max(0, start - shift), min(len(own), end - shift)
             same = words.hashes[shift + a : shift + b] == own[a:b]
-            x, y = best_stretch(same)
-            matched = int(same[x:y].sum())
-            if y - x >= min(LEAST_SPAN, len(own)) and matched >= LEAST_SHARE * (y - x):
-                yield text, item, int(shift + a + x - start), int(a + x), int(y - x), matched
+            x, y = longest_stretch(same, b - a == len(own))
+            if y > x:
+                yield text, item, int(shift + a + x - start), int(a + x), y - x, int(same[x:y].sum())
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from lagscope.llm import decontaminate, queries
@@ -68,6 +69,54 @@ def test_hits_equal_a_plain_alignment(spark, words):
     assert set(found) == expected
 
 
+def plain_stretches(same, whole):
+    """All stretches that are contamination, by trying each."""
+    n = len(same)
+    return [
+        (x, y)
+        for x in range(n)
+        for y in range(x + 1, n + 1)
+        if 5 * sum(same[x:y]) >= 4 * (y - x)
+        and ((y - x >= decontaminate.LEAST_SPAN and same[x] and same[y - 1]) or (whole and y - x == n))
+    ]
+
+
+def test_any_stretch_counts_and_the_longest_is_reported():
+    rng = random.Random(3)
+    for n in (1, 4, 5, 9, 11, 12, 13, 20, 45):
+        for i in range(150):
+            same, whole = [rng.random() < (0.65, 0.75, 0.85)[i % 3] for _ in range(n)], i % 2 == 0
+            x, y = decontaminate.longest_stretch(np.array(same), whole)
+            expected = plain_stretches(same, whole)
+            assert y - x == max((b - a for a, b in expected), default=0)
+            assert y == x or (x, y) in expected
+
+
+def test_stretches_that_a_largest_sum_trims_or_swallows(spark, words):
+    item = prose(words, 60, 77)
+    cuts = [
+        (12, [1]),  # of the first 12 words the second
+        (50, [*range(13, 19), *range(31, 37)]),  # 13 exact words, 12 and 13
+        (27, [8, 9, 10, 11, 12, 13, 14, 18, 22]),  # 8 exact words, and 10 of 12
+    ]
+    docs = []
+    for i, (cut, gone) in enumerate(cuts):
+        docs.append((i, " ".join(["before", *(f"x{j}" if j in gone else w for j, w in enumerate(item[:cut])), "after"])))
+    short = prose(words, 12, 78)
+    docs.append((3, " ".join(["other", *short[1:], "words"])))
+    docs.append((4, " ".join(["some", *item[:11], "words"])))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(short))], "item_id long, text string")
+    found = pairs(decontaminate.find_contamination(d, b))
+    assert {k: (r["doc_start"], r["item_start"], r["span"], r["matched"]) for k, r in found.items()} == {
+        (0, 1): (1, 0, 12, 11),
+        (1, 1): (1, 0, 31, 25),
+        (2, 1): (16, 15, 12, 10),
+        (3, 2): (0, 0, 12, 11),
+    }
+    assert [r["doc_id"] for r in decontaminate.drop_contaminated(d, b).collect()] == [4]
+
+
 def test_a_benchmark_in_several_blocks(spark, words, monkeypatch):
     items = [(i, " ".join(prose(words, 30, i))) for i in range(9)]
     docs = spark.createDataFrame([(i, "so " + t + " it is") for i, t in items] + [(99, "so it is")], "doc_id long, text string")
