@@ -19,8 +19,7 @@ members of other components, in the first of the tables that they share, unless
 provably cannot be linked. Linked sets differ in few shingles, and every set has a parity
 signature: each shingle flips one of ``PARITY_BITS`` bits. Two signatures never differ in
 more bits than the sets in shingles, so a pair whose signatures differ in too many is no
-link and is not made. Pairs that agree in fewer than ``LEAST_HALVES`` of the half keys are
-passed over as well; a pair of similarity 0.8 does so with a chance of 0.1 %.
+link and is not made. Every other pair that shares a table is confirmed.
 
 Null texts and texts without words have an empty set: they are linked with nothing and
 their own component. Rows that repeat a key stay rows of their own; ``component_id`` is
@@ -42,7 +41,6 @@ from lagscope.llm.tables import decided, forget, row_names, stored
 
 GROUPS = 12
 HASHES = 3
-LEAST_HALVES = 5
 PARITY_BITS = 1024
 PERCENT = 80
 SHINGLE = 5
@@ -295,7 +293,6 @@ def _links(buckets: DataFrame, halves: DataFrame, sets: DataFrame, sizes: DataFr
         & (~F.col("x.minor") | (F.col("x.id") < F.col("y.id")))
         & similar_sizes(F.col("x.n"), F.col("y.n"))
         & ((100 + percent) * differ <= (100 - percent) * (F.col("x.n") + F.col("y.n")))
-        & (F.size(F.filter(agree, lambda a: a)) >= LEAST_HALVES)
         & (here == F.col("x.place")),
     ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
     second = stored(_confirmed(met, sets, percent), "checked")

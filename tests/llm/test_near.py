@@ -96,6 +96,27 @@ def test_a_key_may_repeat_with_linked_texts(spark):
     assert sorted(tuple(r) for r in kept.collect()) == sorted([rows[2], rows[3]])
 
 
+def test_links_that_agree_in_few_half_keys_are_confirmed(spark):
+    """Pairs of similarity 0.8 that share a table and fewer than five half keys. One of
+    each has copies, whose middle is the pivot of both and linked only with that one."""
+    texts = []
+    for trial in range(30):
+        pairs = [(trial * 500 + i, [f"s{trial * 500 + i}x{j}" for j in range(100)]) for i in range(500)]
+        sides = [" ".join(part) for _, w in pairs for part in (w[:90], w[:80] + w[90:])]
+        offsets = np.cumsum([0, *map(len, sides)])
+        keys = near.half_keys(*near.shingle_sets(np.frombuffer("".join(sides).encode(), np.uint8), offsets, 1))
+        agree = keys[::2] == keys[1::2]
+        tables = agree[:, : near.GROUPS].sum(axis=1) * agree[:, near.GROUPS :].sum(axis=1)
+        for i in np.flatnonzero((tables > 0) & (agree.sum(axis=1) < 5)):
+            n, w = pairs[i]
+            copies = [w[1:90] + [f"m{n}", f"c{n}x{k}"] for k in range(6)]
+            texts.append([" ".join(t) for t in (w[:90], w[:80] + w[90:], *copies)])
+    assert len(texts) > 2
+    rows = [(100 * g + i, t) for g, group in enumerate(texts) for i, t in enumerate(group)]
+    found = near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=1).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: i // 100 * 100 for i, _ in rows}
+
+
 def test_minhashes_estimate_similarity():
     rng = np.random.default_rng(2)
     shared = lx.mix(rng.integers(0, 1 << 62, 800).astype(np.uint64))
