@@ -30,8 +30,14 @@ from pyspark.sql import functions as F
 
 from lagscope.llm import lexing as lx
 
-#: Fixed masks; the first word always counts, as does the last.
-MASKS = ("11101100101", "1101000110111", "11111011")
+#: Fixed masks; the first word always counts, as does the last. Any stretch of six words or
+#: more that is contamination fits one: two of its runs of matching words with one other word
+#: between them, or one run, have five words. The tests try all stretches.
+MASKS = ("11111", "101111", "110111", "111011", "111101")
+#: Further masks for items of so many words, which may have four in a row at most. Items of fewer than five match as a whole.
+MASKS_OF = {5: ("1111", "10111", "11011", "11101"), 10: ("1111001",)}
+#: Lines that are compared at a time, about.
+MOST_LINES = 1 << 18
 LEAST_SPAN = 12
 LEAST_SHARE = 0.8
 #: The share as a fraction: sums of whole numbers then decide.
@@ -44,6 +50,11 @@ BLOCK_WORDS = 1 << 20
 FILTER_BITS = 22
 
 
+def masks_of(n: int) -> tuple[str, ...]:
+    """The masks of an item of n words."""
+    return ("1" * n,) if n < 5 else (*(MASKS if n > 5 else ()), *MASKS_OF.get(n, ()))
+
+
 def _multipliers(n: int) -> np.ndarray:
     return lx.mix(np.arange(1, n + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -67,15 +78,12 @@ class _Block:
         data, offsets = lx.text_bytes(pc.utf8_lower(texts))
         words = lx.Words(data, offsets, lx.LETTERS_DIGITS)
         self.ids, self.words, self.first = ids, words.hashes, words.first
-        shortest = min(map(len, MASKS))
-        # Items too short for the masks match as a whole.
-        short = sorted({int(n) for n in words.counts if 0 < n < shortest})
-        self.masks = [*MASKS, *("1" * n for n in short)]
+        masks = {int(n): masks_of(int(n)) for n in np.unique(words.counts) if n}
+        self.masks = sorted({mask for some in masks.values() for mask in some})
         self.seeds = []
         for mask in self.masks:
-            fits = words.counts >= len(mask) if mask in MASKS else words.counts == len(mask)
             parts = []
-            for i in np.flatnonzero(fits):
+            for i in np.flatnonzero(np.isin(words.counts, [n for n, some in masks.items() if mask in some])):
                 own = seed_hashes(self.words[self.first[i] : self.first[i + 1]], mask)
                 parts.append((own, np.full(len(own), i), np.arange(len(own))))
             hashes, item, place = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else (np.zeros(0, np.uint64),) * 3
@@ -84,21 +92,55 @@ class _Block:
             sieve[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
             self.seeds.append((hashes[order], item[order].astype(np.int64), place[order].astype(np.int64), sieve))
 
-    def lines(self, words: np.ndarray, inside_first: np.ndarray) -> np.ndarray:
-        """Rows (text, item, shift): some seed of the item at word p is at word p + shift."""
+    def lines(self, words: np.ndarray, inside_first: np.ndarray) -> Iterator[np.ndarray]:
+        """Rows (text, item, shift): some seed of the item at word p is at word p + shift.
+        Each line is in one of the arrays, which hold about MOST_LINES hits or one text's."""
         found = []
-        for mask, (hashes, item, place, sieve) in zip(self.masks, self.seeds, strict=True):
+        for mask, (hashes, _, _, sieve) in zip(self.masks, self.seeds, strict=True):
             own = seed_hashes(words, mask)
             at = np.flatnonzero(sieve[(own >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
             owner = np.searchsorted(inside_first, at, "right") - 1
             whole = at + len(mask) <= inside_first[owner + 1]
             at, owner = at[whole], owner[whole]
             low, high = np.searchsorted(hashes, own[at], "left"), np.searchsorted(hashes, own[at], "right")
-            n = high - low
-            nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            seed = np.repeat(low, n) + nth
-            found.append(np.stack((np.repeat(owner, n), item[seed], np.repeat(at, n) - place[seed]), axis=1))
-        return np.unique(np.concatenate(found), axis=0)
+            hit = high > low
+            found.append((at[hit], owner[hit], low[hit], (high - low)[hit]))
+        if not found:
+            return
+        n_of = sum(np.bincount(owner, n, len(inside_first)) for _, owner, _, n in found)
+        part = (np.cumsum(n_of) - n_of) // MOST_LINES
+        for a, b in zip(*_borders(part), strict=True):
+            rows = []
+            for (at, owner, low, n), (_, item, place, _) in zip(found, self.seeds, strict=True):
+                here = slice(*np.searchsorted(owner, (a, b)))
+                n = n[here]
+                nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                seed = np.repeat(low[here], n) + nth
+                rows.append(np.stack((np.repeat(owner[here], n), item[seed], np.repeat(at[here], n) - place[seed]), axis=1))
+            yield self._may_hold(np.unique(np.concatenate(rows), axis=0), words, inside_first)
+
+    def _may_hold(self, lines: np.ndarray, words: np.ndarray, inside_first: np.ndarray) -> np.ndarray:
+        """The lines with as many matching words as the shortest stretch needs."""
+        text, item, shift = lines.T
+        length = self.first[item + 1] - self.first[item]
+        least = -(-PART * np.minimum(LEAST_SPAN, length) // OF)
+        matched = np.zeros(len(lines), np.int64)
+        rest = np.arange(len(lines))
+        for i in range(int(length.max(initial=0))):
+            rest = rest[i < length[rest]]
+            at = shift[rest] + i
+            inside = (at >= inside_first[text[rest]]) & (at < inside_first[text[rest] + 1])
+            some, at = rest[inside], at[inside]
+            matched[some] += words[at] == self.words[self.first[item[some]] + i]
+            # What has enough need not be compared on.
+            rest = rest[matched[rest] < least[rest]]
+        return lines[matched >= least]
+
+
+def _borders(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the runs of equal numbers."""
+    begins = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+    return begins, np.append(begins[1:], len(part))
 
 
 def longest_stretch(same: np.ndarray, whole: bool) -> tuple[int, int]:
@@ -123,7 +165,8 @@ def longest_stretch(same: np.ndarray, whole: bool) -> tuple[int, int]:
 
 def _finder(block: _Block, text_column: str = "text", only: bool = False):
     def hits(words: lx.Words) -> Iterator[tuple]:
-        for text, item, shift in block.lines(words.hashes, words.first):
+        lines = block.lines(words.hashes, words.first)
+        for text, item, shift in (line for some in lines for line in some):
             start, end = words.first[text], words.first[text + 1]
             own = block.words[block.first[item] : block.first[item + 1]]
             # The part of the item that lies within the text.

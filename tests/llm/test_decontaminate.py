@@ -1,9 +1,12 @@
+import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lagscope.llm import decontaminate, queries
+from lagscope.llm import lexing as lx
 
 
 @pytest.fixture(scope="module")
@@ -92,6 +95,47 @@ def test_any_stretch_counts_and_the_longest_is_reported():
             assert y == x or (x, y) in expected
 
 
+def test_every_stretch_of_enough_matches_fits_a_mask():
+    """Of a stretch of 24 words or more one half fulfils the rule, so these lengths prove all.
+    Items of fewer words than LEAST_SPAN are tried whole."""
+    for n in range(1, 2 * decontaminate.LEAST_SPAN):
+        masks = [[i for i, c in enumerate(m) if c == "1"] for m in decontaminate.masks_of(n)]
+        places = [frozenset(p + i for i in m) for m in masks for p in range(n - m[-1])]
+        # Longer items share the masks of all that are long enough.
+        assert n < decontaminate.LEAST_SPAN or decontaminate.masks_of(n) == decontaminate.MASKS
+        for gone in itertools.combinations(range(n), n // 5):
+            assert any(p.isdisjoint(gone) for p in places)
+
+
+def test_short_items_with_replaced_words_are_found(spark, words):
+    """All items of 5 to 20 words at 80 %, as well as the share allows."""
+    items, docs = [], []
+    for n in range(5, 21):
+        for i in range(20):
+            own = prose(words, n, 1000 * n + i)
+            items.append((100 * n + i, " ".join(own)))
+            for j in random.Random(i).sample(range(n), n // 5):
+                own[j] = f"other{j}"
+            docs.append((100 * n + i, " ".join(["so", *own, "on"])))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    found = pairs(decontaminate.find_contamination(d, spark.createDataFrame(items, "item_id long, text string")))
+    assert set(found) == {(i, i) for i, _ in docs}
+
+
+def test_lines_in_small_parts(spark, words, monkeypatch):
+    items = [(i, " ".join(prose(words, 20, i // 2))) for i in range(10)]
+    block = decontaminate._Block([i for i, _ in items], pa.array([t for _, t in items]))
+    data, offsets = lx.text_bytes(pa.array([f"{items[i % 10][1]} {items[0][1]}" for i in range(30)]))
+    own = lx.Words(data, offsets, lx.LETTERS_DIGITS)
+    (whole,) = block.lines(own.hashes, own.first)
+    monkeypatch.setattr(decontaminate, "MOST_LINES", 7)
+    parts = list(block.lines(own.hashes, own.first))
+    assert len(parts) > 20
+    wordless = decontaminate._Block([1], pa.array(["!!"]))
+    assert not list(wordless.lines(own.hashes, own.first))
+    assert np.concatenate(parts).tolist() == whole.tolist()
+
+
 def test_stretches_that_a_largest_sum_trims_or_swallows(spark, words):
     item = prose(words, 60, 77)
     cuts = [
