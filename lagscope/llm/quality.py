@@ -23,8 +23,6 @@ from lagscope.llm import lexing as lx
 BUCKETS = 1 << 16
 #: Texts whose ratio per n-gram is lower are not kept.
 LEAST_RATIO = -0.25
-#: At most so many trusted documents teach the target; picked by a hash of their key.
-MOST_TRUSTED = 20_000
 #: Added to each bucket's count in units of its share of the raw corpus.
 PRIOR_WEIGHT = 5_000.0
 MIN_WORDS = 10
@@ -62,15 +60,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit_ratios(docs: DataFrame, trusted_keys: DataFrame, key: str = "doc_id", text: str = "text") -> np.ndarray:
     """log(target share / raw share) of each bucket.
 
-    Raw counts cover all of ``docs``. ``trusted_keys`` (one column, ``key``) names the
-    trusted ones; at most ``MOST_TRUSTED`` are used, which bounds what is broadcast.
+    Raw counts cover all of ``docs``, trusted ones all that ``trusted_keys`` (one column,
+    ``key``) names. The texts are shuffled once for that, at any size: no task and no
+    broadcast holds all trusted keys.
     """
-    chosen = (
-        trusted_keys.select(F.col(key).alias("_key")).dropna().distinct()
-        .orderBy(F.xxhash64("_key"), "_key").limit(MOST_TRUSTED).withColumn("trusted", F.lit(True))
-    )
+    chosen = trusted_keys.select(F.col(key).alias("_key")).dropna().distinct().withColumn("trusted", F.lit(True))
     flagged = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(
-        F.broadcast(chosen), "_key", "left"
+        chosen.hint("merge"), "_key", "left"
     )
     flagged = flagged.select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
     counts = (

@@ -67,6 +67,16 @@ def test_ratio_is_the_mean_over_ngrams(spark):
         assert np.isclose(r["ratio"], sum(map(ratio, own)) / len(own))
 
 
+def test_all_trusted_documents_count(spark):
+    n = 21_000
+    docs = spark.range(n).selectExpr("id AS doc_id", "'same two' AS text")
+    ratios = quality.fit_ratios(docs, docs.select("doc_id"))
+    p = quality.PRIOR_WEIGHT
+    share = (n + 1) / (3 * n + quality.BUCKETS)
+    expected = np.log((n + p * share) / (3 * n + p) / share)
+    assert np.isclose(ratios.max(), expected, rtol=1e-9)
+
+
 def test_clean_documents_are_kept_and_junk_goes(spark, larger_dir):
     labels = spark.read.parquet(f"{larger_dir}/labels.parquet")
     rows = queries.quality_ratio(spark, larger_dir).join(labels, "doc_id").filter("not base_failed").collect()
