@@ -8,9 +8,10 @@ block the suffixes are sorted as in blockwise construction of a suffix array:
   positions i, j have a shift d < PERIOD for which both i + d and j + d are in it.
 * The suffixes at cover positions are sorted by their first ``REACH`` bytes and ranked.
 * The windows are sorted one bucket at a time: bucket d holds the windows that have a
-  cover position d bytes on. Within it they are compared by their first PERIOD bytes, and
-  long ties are resolved by the cover position's rank, which reaches on to the last PERIOD
-  bytes. Two equal windows share a bucket, whatever their positions.
+  cover position d bytes on. Within it 64-bit hashes of their first and last PERIOD bytes
+  stand in for these bytes; mixed with the cover position's rank, which covers what lies
+  between, they make one number, and equal numbers are equal windows, unverified. Two equal
+  windows share a bucket, whatever their positions.
 
 No comparison reads on beyond that, and a task holds one block and one bucket.
 
