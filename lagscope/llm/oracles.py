@@ -86,8 +86,66 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id IS NOT
 FROM texts LEFT JOIN sizes USING (row) JOIN least USING (row)
 """
 
+# The checksum of a text's bytes, from its definition: a byte is mixed in, then eight shifts.
+_CRC32 = """xor(4294967295, list_reduce(
+  flatten([[4294967295], flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [-ord(c) - 1, 0, 0, 0, 0, 0, 0, 0, 0]))]),
+  lambda crc, x: CASE WHEN x < 0 THEN xor(crc, -x - 1) WHEN crc % 2 = 1 THEN xor(crc // 2, 3988292384) ELSE crc // 2 END))"""
+
+
+def _framed(field: str) -> str:
+    return f"coalesce(strlen(({field})::VARCHAR) || ':' || ({field})::VARCHAR, '-')"
+
+
+def _row_hash(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_framed(f) for f in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+# One level per step of a recursion, first per language and then over the subroots; the
+# siblings of a row are the other nodes under the parents on its way up.
+MERKLE = f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, lang, {_row_hash("n_chars")} AS leaf,
+    CASE WHEN {_CRC32} % 7 = 0 THEN {_row_hash("n_chars + 1")} END AS tampered
+  FROM documents
+), leaves AS (
+  SELECT *, row_number() OVER () AS row, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM hashed
+), nodes AS (
+  SELECT lang, 0 AS level, place, leaf AS hash, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, place // 2, sha256(string_agg(hash, '' ORDER BY place)), (max(n) + 1) // 2
+  FROM nodes WHERE n > 1 GROUP BY lang, level, place // 2
+), subroots AS (
+  SELECT lang, hash AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS seat FROM nodes WHERE n = 1
+), crown AS (
+  SELECT 0 AS level, seat AS place, subroot AS hash, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 2, sha256(string_agg(hash, '' ORDER BY place)), (max(n) + 1) // 2
+  FROM crown WHERE n > 1 GROUP BY level, place // 2
+), steps AS (
+  SELECT row, 0 AS half, own.level, own.place % 2 = 1 AS is_left, coalesce(other.hash, '') AS hash
+  FROM leaves JOIN nodes own ON own.lang IS NOT DISTINCT FROM leaves.lang AND own.n > 1 AND own.place = leaves.place >> own.level
+  LEFT JOIN nodes other ON other.lang IS NOT DISTINCT FROM own.lang AND other.level = own.level AND other.place = xor(own.place, 1)
+  UNION ALL
+  SELECT row, 1, own.level, own.place % 2 = 1, coalesce(other.hash, '')
+  FROM leaves JOIN subroots ON subroots.lang IS NOT DISTINCT FROM leaves.lang
+  JOIN crown own ON own.n > 1 AND own.place = seat >> own.level
+  LEFT JOIN crown other ON other.level = own.level AND other.place = xor(own.place, 1)
+), ways AS (
+  SELECT row, string_agg(hash, '' ORDER BY half, level) AS siblings,
+    list((CASE WHEN is_left THEN '<' ELSE '>' END) || hash ORDER BY half, level) AS way
+  FROM steps GROUP BY row
+), folded AS (
+  SELECT doc_id, leaf, subroot, (SELECT hash FROM crown WHERE n = 1) AS root, sha256(coalesce(siblings, '')) AS proof_sha256,
+    list_reduce(list_concat([coalesce(tampered, leaf)], coalesce(way, [])),
+      lambda own, step: CASE WHEN step[1] = '<' THEN sha256(step[2:] || own) ELSE sha256(own || step[2:]) END) AS folded_root
+  FROM leaves JOIN subroots ON subroots.lang IS NOT DISTINCT FROM leaves.lang LEFT JOIN ways USING (row)
+)
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
 ORACLES = {
     "op4_repeated_bytes": REPEATED_BYTES,
     "op7_repeated_words": REPEATED_WORDS,
     "op8_near_tensored": NEAR_DUPLICATES,
+    "op13_merkle_intervals": MERKLE,
 }

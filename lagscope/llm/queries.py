@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lagscope.llm import decontaminate, language, mixing, near, quality, secrets, substring_bytes, substring_words, tokens, toxicity
+from lagscope.llm import decontaminate, language, manifest, mixing, near, quality, secrets, substring_bytes, substring_words, tokens, toxicity
 from lagscope.llm.oracles import ORACLES as ORACLES
 from lagscope.llm.tables import held_out, read_table, stored
 from lagscope.session import scratch_dir
@@ -87,6 +87,19 @@ def language_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def merkle_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    counted = [F.try_add("n_chars", F.lit(1)) if f == "n_chars" else F.col(f) for f in fields]
+    found = manifest.build_manifest(docs, fields, received=F.when(tampered, manifest.row_hash(counted)))
+    folded = manifest.fold(F.coalesce("received", "leaf"), F.col("steps"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", manifest.proof_hash(F.col("steps")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_secret_entropy": secrets_entropy,
     "op2_token_files": token_files,
@@ -98,4 +111,5 @@ QUERIES = {
     "op8_near_tensored": near_duplicates_tensored,
     "op9_contamination_seeds": contamination_seeds,
     "op10_language_ppm": language_ppm,
+    "op13_merkle_intervals": merkle_intervals,
 }

@@ -15,6 +15,7 @@ COLUMNS = {
     "op8_near_tensored": "doc_id n_shingles component_id kept",
     "op9_contamination_seeds": "doc_id item_id",
     "op10_language_ppm": "doc_id held_out lang_pred score",
+    "op13_merkle_intervals": "doc_id leaf subroot root proof_sha256 folded_root verified",
 }
 
 
