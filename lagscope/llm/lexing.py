@@ -39,7 +39,16 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
-_powers: dict[str, np.ndarray] = {}
+
+
+class _Kept(dict):
+    """A cache that stays where it is: task functions carry this module, and would carry it."""
+
+    def __reduce__(self):
+        return _Kept, ()
+
+
+_powers: dict[str, np.ndarray] = _Kept()
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -143,9 +143,38 @@ WITH RECURSIVE hashed AS (
 SELECT *, folded_root = root AS verified FROM folded
 """
 
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+# Every document's score for every item, then the best ten.
+SEARCH = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row, doc_id, text FROM documents
+), counts AS (
+  SELECT row, term, count(*) AS tf FROM (SELECT row, unnest({_TERMS}) AS term FROM texts) GROUP BY row, term
+), lengths AS (
+  SELECT row, sum(tf)::BIGINT AS n FROM counts GROUP BY row
+), totals AS (
+  SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM lengths
+), asked AS (
+  SELECT DISTINCT item_id, text AS question, unnest({_TERMS}) AS term FROM benchmark
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM counts WHERE term IN (SELECT term FROM asked) GROUP BY term), totals
+), scores AS (
+  SELECT item_id, question, row, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // words))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN lengths USING (row), totals
+  GROUP BY item_id, question, row
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id, question ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+FROM scores JOIN texts USING (row) WHERE score > 0
+QUALIFY rank <= 10
+"""
+
 ORACLES = {
     "op4_repeated_bytes": REPEATED_BYTES,
     "op7_repeated_words": REPEATED_WORDS,
     "op8_near_tensored": NEAR_DUPLICATES,
+    "op11_lexical_signatures": SEARCH,
     "op13_merkle_intervals": MERKLE,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lagscope.llm import decontaminate, language, manifest, mixing, near, quality, secrets, substring_bytes, substring_words, tokens, toxicity
+from lagscope.llm import decontaminate, interpolation, language, manifest, mixing, near, quality, search, secrets, substring_bytes, substring_words, tokens, toxicity
 from lagscope.llm.oracles import ORACLES as ORACLES
 from lagscope.llm.tables import held_out, read_table, stored
 from lagscope.session import scratch_dir
@@ -87,6 +87,18 @@ def language_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def lexical_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return search.search(docs, benchmark).select("item_id", "rank", "doc_id", "score")
+
+
+def deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = interpolation.score_texts(read_table(spark, sf_dir, "documents"))
+    return scored.select(
+        "doc_id", interpolation.held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def merkle_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     fields = ["doc_id", "source", "lang", "n_chars", "text"]
@@ -111,5 +123,7 @@ QUERIES = {
     "op8_near_tensored": near_duplicates_tensored,
     "op9_contamination_seeds": contamination_seeds,
     "op10_language_ppm": language_ppm,
+    "op11_lexical_signatures": lexical_signatures,
+    "op12_deleted_interpolation": deleted_interpolation,
     "op13_merkle_intervals": merkle_intervals,
 }
