@@ -8,6 +8,7 @@ from lagscope.operators.correlation import (
 )
 from lagscope.operators.long_series import with_changes_any_length, with_lags_any_length, with_positions
 from lagscope.operators.quality import (
+    failures_from_states,
     failures_in_one_pass,
     grain_failures,
     load_report,
@@ -25,13 +26,16 @@ from lagscope.operators.ranking import (
     top_drivers,
 )
 from lagscope.operators.resample import last_rows, resample, resample_by_rule
+from lagscope.operators.states import PeriodStates, month_states
 
 __all__ = [
+    "PeriodStates",
     "align_left",
     "correlation",
     "correlation_cells",
     "driver_columns",
     "drop_latest",
+    "failures_from_states",
     "failures_in_one_pass",
     "grain_failures",
     "lag_bank",
@@ -39,6 +43,7 @@ __all__ = [
     "last_rows",
     "latest_rows",
     "load_report",
+    "month_states",
     "not_null_failures",
     "nth_driver_columns",
     "rank_by_strength",

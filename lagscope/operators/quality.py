@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lagscope.operators.states import PeriodStates
+
 RESULT = "(`model`, `column`, `check`, `failures`)"
 
 
@@ -108,10 +110,28 @@ def failures_in_one_pass(
     return found.selectExpr(f"stack({len(entries)}, {listed}) AS {RESULT}")
 
 
-def load_report(df: DataFrame, table: str) -> DataFrame:
-    """What was loaded: one row per column with its type, and the number of rows."""
-    rows = ", ".join(
-        f"{_text(table)}, {_text(field.name)}, {_text(field.dataType.simpleString())}, n" for field in df.schema.fields
+def failures_from_states(
+    states: PeriodStates, model: str, not_null: Sequence[str] = (), unique: Sequence[str] = ()
+) -> list[DataFrame]:
+    """The checks of a staged model from the states of its months: missing values are counted
+    there, and a date can only repeat in a month that has more rows than days."""
+    results = [_results(states.missing(not_null), model, "not_null", not_null)] if not_null else []
+    if set(unique) - {"date"}:
+        raise ValueError(f"{model}: only dates are counted per month, not {sorted(unique)}")
+    if unique:
+        failing = states.frame.sparkSession.range(1).select(F.lit(states.failing_dates()).alias("date"))
+        results.append(_results(failing, model, "unique", ["date"]))
+    return results
+
+
+def load_report(df: DataFrame, table: str, rows: int | None = None) -> DataFrame:
+    """What was loaded: one row per column with its type, and the number of rows: counted here,
+    or as it was observed when they were written (``sources.land_observed``)."""
+    n = "n" if rows is None else f"{rows}L"
+    listed = ", ".join(
+        f"{_text(table)}, {_text(field.name)}, {_text(field.dataType.simpleString())}, {n}" for field in df.schema.fields
     )
-    report = f"stack({len(df.schema.fields)}, {rows}) AS (`table`, `column`, `type`, `row_count`)"
+    report = f"stack({len(df.schema.fields)}, {listed}) AS (`table`, `column`, `type`, `row_count`)"
+    if rows is not None:
+        return df.sparkSession.range(1).selectExpr(report)
     return df.agg(F.count(F.lit(1)).alias("n")).selectExpr(report)

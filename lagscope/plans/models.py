@@ -10,11 +10,14 @@ from collections.abc import Callable, Collection, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lagscope.operators import failures_in_one_pass
+from lagscope.operators import PeriodStates, failures_from_states, failures_in_one_pass, month_states
 from lagscope.plans import contracts
 from lagscope.plans.marts import correlation_matrix, key_kpi, quarterly_fact
 from lagscope.plans.periods import (
+    PRICE_COLUMNS,
+    Source,
     monthly_observations,
     monthly_prices,
     quarterly,
@@ -22,7 +25,7 @@ from lagscope.plans.periods import (
     yearly_at_year_end,
 )
 from lagscope.plans.staging import stage_observations, stage_prices
-from lagscope.sources import materialize, refresh_table
+from lagscope.sources import materialize, materialize_observed, refresh_table
 
 # The raw tables and the models by layer.
 RAW_PRICE_TABLES = ["smh_prices", "sp500_prices"]
@@ -80,8 +83,36 @@ def stage(table: str, raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     raise ValueError(f"unknown raw table {table!r}")
 
 
-# Resampled models: the raw table each comes from, and how it is made once staged.
-INTERMEDIATE: dict[str, tuple[str, Callable[[DataFrame, Sequence[str]], DataFrame]]] = {
+def _states_of(table: str, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    checked = contracts.NOT_NULL[f"stg_{table}"]
+    if table in RAW_PRICE_TABLES:
+        return month_states(staged, PRICE_COLUMNS, keys, checked=checked)
+    return month_states(staged, ["value"], keys, total="value", checked=checked)
+
+
+def share_states(raw: Mapping[str, DataFrame], keys: Sequence[str] = (), tables: Collection[str] | None = None) -> dict[str, PeriodStates]:
+    """States of the months of every raw table, from one job that reads each table once.
+
+    All resampled models and the checks of the staged ones follow from them. ``tables`` names
+    those that are needed. The most rows of a month are observed as the states are written.
+    """
+    staged = {table: stage(table, df, keys) for table, df in raw.items() if tables is None or table in tables}
+    states = [_states_of(table, df, keys).withColumn("series_id", F.lit(table)) for table, df in staged.items()]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), states)
+    most = {f"most_{table}": F.max(F.when(F.col("series_id") == table, F.col("rows"))) for table in staged}
+    stored, found = materialize_observed(stacked, "period_states", **most)
+    return {
+        table: PeriodStates(
+            stored.filter(F.col("series_id") == table).drop("series_id"), staged[table], tuple(keys),
+            (found.get(f"most_{table}") or 0) <= 1,
+        )
+        for table in staged
+    }
+
+
+# Resampled models: the raw table each comes from, and how it is made from its staged rows or
+# from the states of its months.
+INTERMEDIATE: dict[str, tuple[str, Callable[[Source, Sequence[str]], DataFrame]]] = {
     "int_fred_inventories": (
         "fred_inventories",
         lambda df, keys=(): monthly_observations(df, "inventory", "inventory", keys),
@@ -139,10 +170,10 @@ INTERMEDIATE: dict[str, tuple[str, Callable[[DataFrame, Sequence[str]], DataFram
 }
 
 
-def intermediate_model(name: str, staged: Mapping[str, DataFrame], keys: Sequence[str] = ()) -> DataFrame:
-    """One resampled model from staged models by name."""
+def intermediate_model(name: str, sources: Mapping[str, Source], keys: Sequence[str] = ()) -> DataFrame:
+    """One resampled model from the staged rows, or the states, of each raw table."""
     table, make = INTERMEDIATE[name]
-    return make(staged[f"stg_{table}"], keys)
+    return make(sources[table], keys)
 
 
 def build_marts(intermediate: Mapping[str, DataFrame], store: Store, keys: Sequence[str] = ()) -> dict[str, DataFrame]:
@@ -161,41 +192,56 @@ def build_models(
     store: Store = materialize,
     names: Collection[str] | None = None,
     keys: Sequence[str] = (),
+    states: Mapping[str, PeriodStates] | None = None,
 ) -> dict[str, DataFrame]:
     """Models by name from the five raw tables: all 23, or ``names`` with what they need.
 
-    With ``keys``, every raw table holds them and many series, all built in one go.
+    With ``keys``, every raw table holds them and many series, all built in one go. Raw tables
+    are read once each, for ``states``; those made before may be given.
     """
     marts = set(MODEL_LAYERS["mart"])
     wanted = {name for layer in MODEL_LAYERS.values() for name in layer} if names is None else set(names)
     with_marts = bool(wanted & marts)
     staged = {f"stg_{table}": stage(table, df, keys) for table, df in raw.items()}
-    intermediate = {
-        name: intermediate_model(name, staged, keys)
-        for name in INTERMEDIATE
-        if name in wanted or (with_marts and name in FACT_INPUTS)
-    }
+    resampled = [name for name in INTERMEDIATE if name in wanted or (with_marts and name in FACT_INPUTS)]
+    if resampled and states is None:
+        states = share_states(raw, keys, {INTERMEDIATE[name][0] for name in resampled})
+    intermediate = {name: intermediate_model(name, states, keys) for name in resampled}
     models = {**staged, **intermediate, **(build_marts(intermediate, store, keys) if with_marts else {})}
     return {name: df for name, df in models.items() if name in wanted}
 
 
 def publish(
-    spark: SparkSession, raw: Mapping[str, DataFrame], root: str, keys: Sequence[str] = (), prefix: str = ""
-) -> dict[str, DataFrame]:
+    spark: SparkSession, raw: Mapping[str, DataFrame], root: str, keys: Sequence[str] = (), prefix: str = "",
+    states: Mapping[str, PeriodStates] | None = None,
+) -> dict[str, DataFrame]:
     """Full refresh: staging and intermediate models as views, marts as catalog tables under
-    ``root``, their names after ``prefix``. With ``keys``, a panel as one refresh."""
+    ``root``, their names after ``prefix``. With ``keys``, a panel as one refresh.
+
+    Views of resampled models read the states of this refresh, so they agree with its marts.
+    """
 
     def store(df: DataFrame, name: str) -> DataFrame:
         refresh_table(df, prefix + name, root, [*keys, *TABLE_ORDER.get(name, ())])
         return spark.table(prefix + name)
 
-    models = build_models(raw, store, keys=keys)
+    models = build_models(raw, store, keys=keys, states=states)
     for layer in ("staging", "intermediate"):
         for name in MODEL_LAYERS[layer]:
             models[name].createOrReplaceTempView(prefix + name)
     return models
 
 
+def row_counts(models: Mapping[str, DataFrame], states: Mapping[str, PeriodStates]) -> DataFrame:
+    """(model, row_count): of staged models from the states of their months."""
+    counts = []
+    for name, df in models.items():
+        table = name.removeprefix("stg_")
+        counted = states[table].row_count() if table in states else df.agg(F.count(F.lit(1)).alias("row_count"))
+        counts.append(counted.select(F.lit(name).alias("model"), "row_count"))
+    return reduce(DataFrame.unionByName, counts)
+
+
 def declared_models(kinds: Collection[str]) -> set[str]:
     """The models that declare any check of these kinds."""
     return {name for kind in kinds for name in CONTRACTS[kind]}
@@ -205,9 +251,11 @@ def run_checks(
     models: Mapping[str, DataFrame],
     kinds: Collection[str] = tuple(CONTRACTS),
     keys: Sequence[str] = (),
+    states: Mapping[str, PeriodStates] | None = None,
 ) -> DataFrame:
     """Every declared check of the models given, as (model, column, check, failures). Each
-    model is read once for all of its checks.
+    model is read once for all of its checks; a staged one whose ``states`` are given is not
+    read again.
 
     With ``keys``, models hold many series, and values must be unique within each.
     """
@@ -219,6 +267,9 @@ def run_checks(
             "grain": contracts.GRAIN.get(name, ()) if "grain" in kinds else (),
             "rows": contracts.ROW_COUNT.get(name) if "row_count" in kinds and not keys else None,
         }
-        if any(value is not None and value != () for value in declared.values()):
+        table = name.removeprefix("stg_")
+        if table != name and table in (states or {}):
+            results += failures_from_states(states[table], name, declared["not_null"], declared["unique"])
+        elif any(value is not None and value != () for value in declared.values()):
             results.append(failures_in_one_pass(df, name, *declared.values(), keys=keys))
     return reduce(DataFrame.union, results)

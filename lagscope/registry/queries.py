@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +28,7 @@ from lagscope.session import scratch_dir
 from lagscope.sources import (
     land_series,
     materialize,
+    materialize_observed,
     read_chart_payloads,
     read_observation_payloads,
     read_series,
@@ -73,8 +73,16 @@ def stage_order_records(spark, sf_dir):
 
 
 def _model(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One resampled model: from its staged rows, or where those are not resampled, from the
+    states of their months."""
     table, make = models.INTERMEDIATE[name]
-    return make(models.stage(table, roles.RAW_TABLES[table](spark, sf_dir)))
+    raw = roles.RAW_TABLES[table](spark, sf_dir)
+    if name in AS_OBSERVED:
+        return make(models.share_states({table: raw})[table])
+    return make(models.stage(table, raw))
+
+
+AS_OBSERVED = {"int_fred_inventories", "int_fred_new_orders", "int_fred_semiconductor_ppi", "int_fred_inventories_yearly"}
 
 
 def _intermediate(name: str) -> Query:
@@ -303,9 +311,10 @@ def land_observation_payload(spark, sf_dir):
 
 
 def land_report(spark, sf_dir):
-    """Rows, columns and types of the landed price table."""
-    raw = materialize(roles.raw_target_prices(spark, sf_dir), "smh_prices")
-    return load_report(raw, "smh_prices")
+    """Rows, columns and types of the price table, observed as it is landed."""
+    bars = roles.raw_target_prices(spark, sf_dir)
+    landed, found = materialize_observed(bars, "smh_prices", rows=F.count(F.lit(1)))
+    return load_report(landed, "smh_prices", found["rows"])
 
 
 # --- checks -------------------------------------------------------------------------
@@ -326,19 +335,19 @@ def _landed(spark, sf_dir):
 
 def _checks(*kinds: str) -> Query:
     def run(spark, sf_dir):
-        checked = models.build_models(_landed(spark, sf_dir), names=models.declared_models(kinds))
-        return models.run_checks(checked, kinds)
+        raw, names = _landed(spark, sf_dir), models.declared_models(kinds)
+        states = models.share_states(raw)
+        return models.run_checks(models.build_models(raw, names=names, states=states), kinds, states=states)
 
     return run
 
 
 def refresh_models(spark, sf_dir):
     """A full refresh: views over the landed tables, marts as catalog tables; the rows of each."""
-    published = models.publish(spark, _landed(spark, sf_dir), scratch_dir(spark, "marts"))
-    counts = [
-        spark.table(name).agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("row_count")) for name in published
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    raw = _landed(spark, sf_dir)
+    states = models.share_states(raw)
+    published = models.publish(spark, raw, scratch_dir(spark, "marts"), states=states)
+    return models.row_counts({name: spark.table(name) for name in published}, states)
 
 
 def _published(name: str) -> Query:

@@ -1,7 +1,9 @@
 from lagscope.sources.landing import (
     land,
+    land_observed,
     land_series,
     materialize,
+    materialize_observed,
     read_raw,
     read_series,
     refresh_table,
@@ -20,8 +22,10 @@ __all__ = [
     "RAW_OBSERVATIONS",
     "RAW_PRICES",
     "land",
+    "land_observed",
     "land_series",
     "materialize",
+    "materialize_observed",
     "read_chart_payloads",
     "read_observation_payloads",
     "read_raw",

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lagscope.session import scratch_dir
@@ -61,6 +61,24 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def land_observed(df: DataFrame, path: str, **metrics: Column) -> dict:
+    """Write as ``land`` does and return aggregates over the rows written, taken on the way.
+
+    They are taken next to the writer, where a task that runs twice counts once; above a
+    shuffle, one whose output was lost would count again.
+    """
+    observation = Observation()
+    land(df.observe(observation, *(column.alias(name) for name, column in metrics.items())), path)
+    return observation.get
+
+
+def materialize_observed(df: DataFrame, purpose: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """As ``materialize``, with aggregates over the rows written."""
+    path = scratch_dir(df.sparkSession, purpose)
+    found = land_observed(df, path, **metrics)
+    return df.sparkSession.read.schema(df.schema).parquet(path), found
+
+
 def refresh_table(df: DataFrame, table: str, root: str, order: Sequence[str] = ()) -> None:
     """Replace the whole content of a catalog table, its files sorted by ``order``.
 
