@@ -23,7 +23,9 @@ was lost leaves no half file.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -40,22 +42,40 @@ from lagscope.llm import lexing as lx
 END_ID = 1
 KEYS_PER_BUCKET = 4
 #: Least keys of a part of the index, and most parts.
-KEYS_PER_PART = 1 << 14
-MOST_PARTS = 1 << 12
+KEYS_PER_PART = 1 << 12
+MOST_PARTS = 1 << 16
+#: By chance one seed in 10**9 fails for a part of 100,000 keys.
+MOST_SEEDS = 16
 RECORD = np.dtype([("fingerprint", "<u8"), ("shard", "<u4"), ("copies", "<u4"), ("offset", "<u8"), ("n_tokens", "<u8")])
-#: Ids of so many words, and of so many pieces of words, are kept between batches.
-KEPT_WORDS = 150_000
+#: Ids of about so many words are kept between batches, at some 50 bytes each.
+KEPT_WORDS = 400_000
 
 
 def key_hashes(keys: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Slot hash and fingerprint of keys of any type; null has one of its own."""
+    """Two hashes of keys of any type, of unlike sums; null has a pair of its own."""
     text = keys.cast(pa.string())
     data, offsets = lx.text_bytes(text)
-    sums = lx.prefix_hashes(lx.BYTE_VALUES[data])
-    sizes = np.diff(offsets).astype(np.uint64)
-    hashes = lx.stretch_hashes(sums, offsets[:-1], offsets[1:]) ^ lx.mix(sizes + np.uint64(7))
-    hashes = np.where(text.is_null().to_numpy(zero_copy_only=False), np.uint64(0x5EED), hashes)
-    return lx.mix(hashes ^ np.uint64(0x51)), lx.mix(hashes ^ np.uint64(0xF1))
+    none = text.is_null().to_numpy(zero_copy_only=False)
+    sizes = lx.mix(np.diff(offsets).astype(np.uint64) + np.uint64(7))
+    pair = []
+    for values, salt in ((lx.BYTE_VALUES[data], 0x51), (lx.mix(lx.BYTE_VALUES[data]), 0xF1)):
+        hashes = lx.stretch_hashes(lx.prefix_hashes(values), offsets[:-1], offsets[1:]) ^ sizes
+        pair.append(lx.mix(np.where(none, np.uint64(0x5EED), hashes) ^ np.uint64(salt)))
+    return pair[0], pair[1]
+
+
+def seeded(hashes: np.ndarray, prints: np.ndarray, seed: int) -> np.ndarray:
+    """One hash of both, another one for every seed."""
+    return lx.mix(hashes ^ lx.mix(prints + np.uint64(seed)))
+
+
+def choose_seed(hashes: np.ndarray, prints: np.ndarray) -> int:
+    """A seed under which all keys have different hashes, so that each can have a slot. Keys
+    that agree in one hash are told apart by the other; those that agree in both are refused."""
+    for seed in range(MOST_SEEDS):
+        if len(np.unique(seeded(hashes, prints, seed))) == len(hashes):
+            return seed
+    raise ValueError("different keys with equal 128-bit hashes")
 
 
 def _slots(hashes: np.ndarray, moves: np.ndarray, n: int) -> np.ndarray:
@@ -65,6 +85,8 @@ def _slots(hashes: np.ndarray, moves: np.ndarray, n: int) -> np.ndarray:
 def build_mph(hashes: np.ndarray) -> np.ndarray:
     """Displacement of each bucket so that n different hashes fall on n different slots."""
     n = len(hashes)
+    if len(np.unique(hashes)) < n:
+        raise ValueError("equal hashes have no slots of their own")
     n_buckets = max(1, -(-n // KEYS_PER_BUCKET))
     bucket = (hashes % np.uint64(n_buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
@@ -126,8 +148,19 @@ class _Output:
             self.store.delete_file(self.own)
 
 
-#: Pieces that the tokenizer's own pattern cuts a lower-cased word into; fixed by its file.
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+# How a tokenizer that is encoded word by word normalizes and cuts its texts.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMAL = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+CUTS = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": PIECES}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 #: Words of these characters need no Unicode normalization and lower-case letter by letter.
 PLAIN = r"[\x21-\x7e\xa1-\u012f\u0131-\u017f]+"
 
@@ -152,6 +185,8 @@ def _kinds() -> np.ndarray:
 
 
 KINDS = _kinds()
+#: Words with a character of the last kind.
+ODD = re.compile(rb"[\x00-\x08\x0e-\x1f'\x7f-\xff]")
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
@@ -183,12 +218,52 @@ class Units(lx.Words):
         self.counts = np.diff(self.first)
 
 
+class _Ids:
+    """Ids of words by their hash, in sorted arrays; the words longest unused go first."""
+
+    def __init__(self, width: np.dtype):
+        self.hashes, self.flat = np.zeros(0, np.uint64), np.zeros(0, width)
+        self.begin, self.size, self.used = (np.zeros(0, np.int64) for _ in range(3))
+        self.now = 0
+
+    def unknown(self, hashes: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self.hashes) - 1, 0))
+        return np.flatnonzero(self.hashes[at] != hashes) if len(self.hashes) else np.arange(len(hashes))
+
+    def add(self, hashes: np.ndarray, ids: list[int], sizes: list[int]) -> None:
+        """``hashes`` sorted and none of them known."""
+        size = np.array(sizes, np.int64)
+        columns = [hashes, len(self.flat) + np.cumsum(size) - size, size, np.full(len(size), self.now)]
+        at = np.searchsorted(self.hashes, hashes)
+        own = [self.hashes, self.begin, self.size, self.used]
+        self.hashes, self.begin, self.size, self.used = (np.insert(c, at, new) for c, new in zip(own, columns, strict=True))
+        self.flat = np.concatenate((self.flat, np.array(ids, self.flat.dtype)))
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in ``flat`` the ids of known words begin, and their number."""
+        at = np.searchsorted(self.hashes, hashes)
+        self.used[at] = self.now
+        return self.begin[at], self.size[at]
+
+    def make_room(self, most: int) -> None:
+        """Before the next words: if there are more than ``most``, the half used last stays."""
+        self.now += 1
+        if len(self.hashes) <= most:
+            return
+        kept = np.sort(np.argsort(-self.used, kind="stable")[: most // 2])
+        begin, size = self.begin[kept], self.size[kept]
+        first = np.cumsum(size) - size
+        self.flat = self.flat[np.arange(size.sum()) + np.repeat(begin - first, size)]
+        self.hashes, self.begin, self.size, self.used = self.hashes[kept], first, size, self.used[kept]
+
+
 class Encoder:
     """Ids of texts, each white-space-separated word encoded once and remembered.
 
-    The tokenizer splits at white space and drops it, so the ids of a text are those of
-    its words in a row. A plain word is cut by the tokenizer's pattern and its pieces go to
-    the tokenizer's model; any other word goes through the whole tokenizer.
+    That holds for a tokenizer that splits at white space and drops it, as ``NORMAL`` and
+    ``CUTS`` say: the ids of a text are those of its words in a row. A plain word is cut by the
+    tokenizer's pattern and its pieces go to the tokenizer's model; any other word goes through
+    the whole tokenizer. Any other tokenizer gets whole texts.
     """
 
     def __init__(self, file: str):
@@ -197,69 +272,89 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
+        settings = json.loads(self.tokenizer.to_str())
+        self.by_words = (settings["normalizer"], settings["pre_tokenizer"]) == (NORMAL, CUTS)
         self.width = np.dtype("<u2") if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.dtype("<u4")
-        self.known: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.known = _Ids(self.width)
         self.cut, self.plain = regex.compile(PIECES).findall, regex.compile(PLAIN).fullmatch
         self.letters = _byte_letters()
         self.marks = tuple({t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()})
 
-    def _piece(self, piece: str) -> bytes:
-        letters = piece if piece.isascii() else "".join(self.letters[b] for b in piece.encode())
-        return np.array([t.id for t in self.tokenizer.model.tokenize(letters)], self.width).tobytes()
-
-    def _learn(self, words: list[bytes]) -> None:
-        known, pieces = self.known, self.pieces
-        if len(known) + len(words) > KEPT_WORDS:
-            known.clear()
-        if len(pieces) > KEPT_WORDS:
-            pieces.clear()
+    def _learn(self, hashes: np.ndarray, words: list[bytes], whole: bool) -> None:
+        """``whole``: words may hold what the pattern cuts; else only ``ODD`` ones do, and all
+        others are pieces."""
+        tokenize, letters, odd = self.tokenizer.model.tokenize, self.letters, ODD.search
+        found: list = [None] * len(words)
         others = []
-        for word in words:
-            if word in known:
+        for i, word in enumerate(words):
+            if not whole and not odd(word):
+                found[i] = [t.id for t in tokenize(word.decode())]
                 continue
             text = word.decode()
             if not self.plain(text) or any(m in text for m in self.marks):
-                others.append(word)
+                others.append(i)
                 continue
-            ids = b""
+            ids = found[i] = []
             for piece in self.cut(text.lower()):
-                own = pieces.get(piece)
-                if own is None:
-                    own = pieces[piece] = self._piece(piece)
-                ids += own
-            known[word] = ids
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)
-        known.update((w, np.array(e.ids, self.width).tobytes()) for w, e in zip(others, found, strict=True))
+                spelled = piece if piece.isascii() else "".join([letters[b] for b in piece.encode()])
+                ids += [t.id for t in tokenize(spelled)]
+        texts = [words[i].decode() for i in others]
+        for i, encoded in zip(others, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            found[i] = encoded.ids
+        self.known.add(hashes, [x for ids in found for x in ids], [len(ids) for ids in found])
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, with ``END_ID`` after each text, and the number of ids of each text."""
         raw = data.tobytes()
+        if not self.by_words:
+            return self._encode_whole([raw[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)])
         # Added tokens are looked for before letters are lower-cased.
         plain = not any(mark.encode() in raw for mark in self.marks)
         words = Units(data, offsets) if plain else lx.Words(data, offsets)
-        raw = words.data.tobytes() if plain else raw
-        _, first, place = np.unique(words.hashes, return_index=True, return_inverse=True)
-        kinds = [raw[a:b] for a, b in zip(words.starts[first].tolist(), words.ends[first].tolist(), strict=True)]
-        self._learn(kinds)
-        return self._lay_out([self.known[w] for w in kinds], place, words)
-
-    def _lay_out(self, ids: list[bytes], place: np.ndarray, words: lx.Words) -> tuple[np.ndarray, np.ndarray]:
+        # Whole words and their units may be spelled alike and are kept apart.
+        hashes = words.hashes if plain else lx.mix(words.hashes)
+        hashes, first, place = np.unique(hashes, return_index=True, return_inverse=True)
+        self.known.make_room(KEPT_WORDS)
+        new = self.known.unknown(hashes)
+        if len(new):
+            raw = words.data.tobytes() if plain else raw
+            spans = zip(words.starts[first[new]].tolist(), words.ends[first[new]].tolist(), strict=True)
+            self._learn(hashes[new], [raw[a:b] for a, b in spans], not plain)
+        begin, size = self.known.find(hashes)
+        return self._lay_out(begin[place], size[place], words)
+
+    def _encode_whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.array([x for own in encoded for x in (*own, END_ID)], self.width)
+        return ids, np.array([len(own) + 1 for own in encoded], np.int64)
+
+    def _lay_out(self, begin: np.ndarray, size: np.ndarray, words: lx.Words) -> tuple[np.ndarray, np.ndarray]:
         n_texts = len(words.counts)
-        flat = np.append(np.frombuffer(b"".join(ids), self.width), self.width.type(END_ID))
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width.itemsize
-        begin = np.cumsum(sizes) - sizes
-        owner = lx.owners(words.first)
-        # Each word, and one more for the end of each text.
-        n = np.concatenate((sizes[place], np.ones(n_texts, np.int64)))
-        source = np.concatenate((begin[place], np.full(n_texts, len(flat) - 1)))
-        order = np.argsort(np.concatenate((owner, np.arange(n_texts))), kind="stable")
-        n, source = n[order], source[order]
-        total = np.bincount(owner, sizes[place], minlength=n_texts).astype(np.int64) + 1
+        flat = np.append(self.known.flat, self.width.type(END_ID))
+        # Each word, and one more for the end of each text, after its last word.
+        ends = words.first[1:]
+        n = np.insert(size, ends, 1)
+        source = np.insert(begin, ends, len(flat) - 1)
+        total = lx.per_text(size, words.first) + 1 if n_texts else np.zeros(0, np.int64)
         steps = np.arange(n.sum()) + np.repeat(source - (np.cumsum(n) - n), n)
         return flat[steps], total
 
 
+def kept_encoder(file: str) -> Encoder:
+    """The encoder of this worker process: the tokenizer is read once, and words that one task
+    has met need not be encoded in the next. It is held by the ``tokenizers`` module, since
+    this one comes anew with every task."""
+    import tokenizers
+
+    kept = vars(tokenizers).setdefault("_lagscope_encoders", {})
+    status = os.stat(file)
+    name = (file, status.st_mtime_ns, status.st_size)
+    if name not in kept:
+        kept.clear()
+        kept[name] = Encoder(file)
+    return kept[name]
+
+
 def _writer(folder: str, file: str):
     """Encode one sorted partition into its shard; yields where each document lies."""
 
@@ -272,7 +367,7 @@ def _writer(folder: str, file: str):
             if not batch.num_rows:
                 continue
             if out is None:
-                encoder, out = Encoder(file), _Output(folder, f"shard-{shard:05d}.ids")
+                encoder, out = kept_encoder(file), _Output(folder, f"shard-{shard:05d}.ids")
             data, offsets = lx.text_bytes(batch.column("text"))
             totals = []
             for a, b in lx.pieces(offsets, 2 * lx.PIECE):
@@ -301,13 +396,15 @@ def _indexer(folder: str, parts: int):
     def index(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
         hashes, prints = key_hashes(table.column("key").combine_chunks())
-        moves = build_mph(hashes)
+        seed = choose_seed(hashes, prints)
+        slots = seeded(hashes, prints, seed)
+        moves = build_mph(slots)
         records = np.zeros(len(hashes), RECORD)
-        at = find_slots(hashes, moves, len(hashes))
+        at = find_slots(slots, moves, len(hashes))
         records["fingerprint"][at] = prints
         for name in ("shard", "copies", "offset", "n_tokens"):
             records[name][at] = table.column(name).to_numpy()
-        head = np.array([len(hashes), len(moves)], "<u8")
+        head = np.array([len(hashes), len(moves), seed], "<u8")
         out = _Output(folder, f"index-{part:05d}.mph")
         for piece in (head, moves.astype("<u4"), records):
             out.stream.write(piece.tobytes())
@@ -317,19 +414,20 @@ def _indexer(folder: str, parts: int):
     return index
 
 
-def load_part(folder: str, part: int) -> tuple[np.ndarray, np.ndarray]:
+def load_part(folder: str, part: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """Seed, displacements and records."""
     store, path = _store(folder)
     with store.open_input_file(f"{path}/index-{part:05d}.mph") as file:
         raw = file.read()
-    n, buckets = np.frombuffer(raw, "<u8", 2).tolist()
-    moves = np.frombuffer(raw, "<u4", buckets, 16)
-    return moves, np.frombuffer(raw, RECORD, n, 16 + 4 * buckets)
+    n, buckets, seed = np.frombuffer(raw, "<u8", 3).tolist()
+    moves = np.frombuffer(raw, "<u4", buckets, 24)
+    return seed, moves, np.frombuffer(raw, RECORD, n, 24 + 4 * buckets)
 
 
-def look_up(keys: pa.Array, moves: np.ndarray, records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def look_up(keys: pa.Array, seed: int, moves: np.ndarray, records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The record of each key, and whether the key was written at all."""
     hashes, prints = key_hashes(keys)
-    at = records[find_slots(hashes, moves, len(records))]
+    at = records[find_slots(seeded(hashes, prints, seed), moves, len(records))]
     return at, at["fingerprint"] == prints
 
 

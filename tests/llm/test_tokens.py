@@ -115,3 +115,47 @@ def test_query(spark, sf_dir, tokenizer):
         ids = whole_ids(tokenizer, row["text"])
         assert found[row["doc_id"]] == (at, len(ids), crc(ids))
         at += len(ids)
+
+
+def test_equal_hashes_get_another_seed():
+    """Keys that share their first hash have slots by their second one."""
+    hashes = np.array([5, 5, 9, 5, 1], np.uint64)
+    prints = np.array([1, 2, 3, 4, 4], np.uint64)
+    seed = tokens.choose_seed(hashes, prints)
+    own = tokens.seeded(hashes, prints, seed)
+    assert sorted(tokens.find_slots(own, tokens.build_mph(own), 5).tolist()) == list(range(5))
+
+
+def test_no_slots_for_keys_that_cannot_be_told_apart():
+    same = np.array([5, 5, 9], np.uint64)
+    with pytest.raises(ValueError):
+        tokens.choose_seed(same, same)
+    with pytest.raises(ValueError):
+        tokens.build_mph(same)
+
+
+def test_the_two_hashes_are_unlike():
+    """Agreement in one says nothing of the other: their low bits meet as often as chance has it."""
+    hashes, prints = tokens.key_hashes(pa.array(np.arange(20_000)))
+    low = np.uint64(0xFFFF)
+    assert abs(np.mean(hashes & low == prints & low) - 2**-16) < 1e-3
+    alike = np.flatnonzero(np.diff(np.sort(hashes & low)) == 0)
+    assert len(alike) > 1000 and len(np.unique(prints)) == 20_000
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_are_those_of_the_file(spark, odd, name):
+    """Also of a tokenizer that keeps white space and so cannot be given single words."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    file = public_tokenizers.path(name)
+    whole = Tokenizer.from_file(file)
+    files = tokens.write_tokens(odd, scratch_dir(spark, "tokens"), file)
+    found = sorted((r["doc_id"] or 0, r["n_tokens"], r["ids_crc32"]) for r in queries.token_digests(files, odd).collect())
+    expected = sorted((r["doc_id"] or 0, len(i := whole_ids(whole, r["text"])), crc(i)) for r in odd.collect())
+    assert found == expected
+
+
+def test_an_encoder_is_kept_between_tasks():
+    assert tokens.kept_encoder(queries.TOKENIZER) is tokens.kept_encoder(queries.TOKENIZER)
