@@ -53,6 +53,8 @@ LEAST_GAIN = 1e-5
 MOST_WEIGHT = 0.999999
 WEIGHT_DIGITS = 6
 RETAINED, DELETED, HELD_OUT = 0, 1, 2
+#: A chunk's tokens: its different hashes in order, how often each occurs, and which is where.
+TOKENS = ("known", "counts", "ids")
 
 _END, _START = lx.mix(np.array([0x656E64, 0x7374617274], np.uint64))
 
@@ -87,9 +89,41 @@ def unpack(body: bytes) -> np.ndarray:
     return values.view(np.uint64).ravel()
 
 
+def by_frequency(counts: np.ndarray) -> np.ndarray:
+    """The places of some values, the most frequent first: numbered so, frequent ones have
+    small numbers, whose higher bytes compress to nothing."""
+    return np.argsort(-counts.astype(np.int64), kind="stable")
+
+
+def pack_coded(values: np.ndarray) -> list[bytes]:
+    """Numbers of few different values: the values, the most frequent first, and which is where."""
+    known, at, counts = np.unique(values, return_inverse=True, return_counts=True)
+    order = by_frequency(counts)
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
+    return [pack(known[order]), pack(place[at])]
+
+
+def unpack_coded(known: bytes, at: bytes) -> np.ndarray:
+    return unpack(known)[unpack(at).astype(np.int64)]
+
+
 # --- chunks --------------------------------------------------------------------------------
 
 
+def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tokens, and their number per text. Words are hashed a piece at a time, so
+    that the running sums stay small."""
+    parts, counts = [], []
+    for a, b in lx.pieces(offsets):
+        words = lx.Words(FOLD_CASE[data[offsets[a] : offsets[b]]], offsets[a : b + 1] - offsets[a])
+        hashes = np.full(len(words.starts) + b - a, _END, np.uint64)
+        hashes[np.arange(len(words.starts)) + lx.owners(words.first)] = words.hashes
+        parts.append(hashes)
+        counts.append(words.counts + 1)
+    return np.concatenate(parts), np.concatenate(counts)
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     context, made = TaskContext.get(), 0
     base = (context.partitionId() if context else 0) << 33
@@ -97,11 +131,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = lx.text_bytes(batch.column("text"))
         part = batch.column("part").to_numpy()
         for a, b in lx.pieces(offsets, CHUNK):
-            words = lx.Words(FOLD_CASE[data[offsets[a] : offsets[b]]], offsets[a : b + 1] - offsets[a])
-            n = words.counts + 1
-            hashes = np.full(int(n.sum()), _END, np.uint64)
-            hashes[np.arange(len(words.starts)) + lx.owners(words.first)] = words.hashes
-            known, ids = np.unique(hashes, return_inverse=True)
+            hashes, n = _tokens(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            known, at, counts = np.unique(hashes, return_inverse=True, return_counts=True)
+            order = by_frequency(counts)
+            ids = np.empty_like(order)
+            ids[order] = np.arange(len(order))
             own = part[a:b]
             sums = [int(n[own == p].sum()) for p in (RETAINED, DELETED, HELD_OUT)]
             numbers = [base + made, *sums, int((own == RETAINED).sum()), int((own == DELETED).sum())]
@@ -109,8 +143,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), column)
                 for column in (batch.column("key").slice(a, b - a), pa.array(own, pa.int32()), pa.array(n, pa.int64()))
             ]
-            blobs = [pa.array([pack(np.diff(known, prepend=np.uint64(0)))], pa.binary()), pa.array([pack(ids)], pa.binary())]
-            names = ["chunk", "n_retained", "n_deleted", "n_held", "texts_retained", "texts_deleted", "keys", "part", "n", "known", "ids"]
+            bodies = (np.diff(known, prepend=np.uint64(0)), counts, ids[at])
+            blobs = [pa.array([pack(x)], pa.binary()) for x in bodies]
+            names = ["chunk", "n_retained", "n_deleted", "n_held", "texts_retained", "texts_deleted", "keys", "part", "n", *TOKENS]
             yield pa.RecordBatch.from_arrays([*(pa.array([x], pa.int64()) for x in numbers), *lists, *blobs], names=names)
             made += 1
 
@@ -118,9 +153,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Chunk:
     """The tokens of a chunk: hashes of their n-grams, and the part of its text."""
 
-    def __init__(self, known: bytes, ids: bytes, n: np.ndarray, part: np.ndarray):
+    def __init__(self, known: bytes, counts: bytes, ids: bytes, n: np.ndarray, part: np.ndarray):
         self.n, self.part = n, part
-        self.tokens = np.cumsum(unpack(known), dtype=np.uint64)[unpack(ids).astype(np.int64)]
+        hashes = np.cumsum(unpack(known), dtype=np.uint64)[by_frequency(unpack(counts))]
+        self.tokens = hashes[unpack(ids).astype(np.int64)]
         self.first = np.cumsum(n) - n
         self.owner_part = np.repeat(part, n)
 
@@ -144,12 +180,12 @@ class _Chunk:
         return found
 
 
-def _chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, _Chunk]]:
+def _chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, _Chunk]]:
     for batch in batches:
         for i in range(batch.num_rows):
-            row = {c: batch.column(c)[i].as_py() for c in ("chunk", "known", "ids")}
+            bodies = (batch.column(c)[i].as_py() for c in TOKENS)
             n, part = (batch.column(c)[i].values.to_numpy() for c in ("n", "part"))
-            yield row, _Chunk(row["known"], row["ids"], n, part)
+            yield batch.column("chunk")[i].as_py(), _Chunk(*bodies, n, part)
 
 
 def _buckets(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -162,7 +198,7 @@ def _buckets(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 def _send(order: int, bits: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, chunk in _chunks_of(batches):
+        for name, chunk in _chunks_of(batches):
             for k, grams in enumerate(chunk.grams(order), 1):
                 hashes, at = np.unique(grams, return_inverse=True)
                 counts = [np.bincount(at[chunk.owner_part == p], minlength=len(hashes)) for p in (RETAINED, DELETED)]
@@ -174,7 +210,7 @@ def _send(order: int, bits: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([k] * len(spans), pa.int32()), pa.array(filled, pa.int64()),
-                        pa.array([row["chunk"]] * len(spans), pa.int64()), *(pa.array(x, pa.binary()) for x in bodies),
+                        pa.array([name] * len(spans), pa.int64()), *(pa.array(x, pa.binary()) for x in bodies),
                     ],
                     names=["gram_order", "bucket", "chunk", "hashes", "retained", "deleted"],
                 )
@@ -183,7 +219,7 @@ def _send(order: int, bits: int):
 
 
 SENT = "gram_order int, bucket long, chunk long, hashes binary, retained binary, deleted binary"
-BACK = "gram_order int, bucket long, chunk long, retained binary, trained binary, kinds long"
+BACK = "gram_order int, bucket long, chunk long, retained binary, deleted binary, kinds long"
 
 
 def _add_up(sent: pa.Table) -> pa.Table:
@@ -197,13 +233,12 @@ def _add_up(sent: pa.Table) -> pa.Table:
         counts = np.concatenate([unpack(x) for x in sent.column(name).to_pylist()])
         # Doubles add whole numbers up to 2**53 without loss.
         totals.append(np.bincount(at, counts, minlength=len(known)).astype(np.uint64))
-    totals[1] += totals[0]
     kinds = np.zeros(sent.num_rows, np.int64)
-    kinds[0] = np.count_nonzero(totals[1])
+    kinds[0] = np.count_nonzero(totals[0] + totals[1])
     bodies = [[pack(x) for x in np.split(t[at], ends)] for t in totals]
     return pa.table(
         [*(sent.column(c) for c in ("gram_order", "bucket", "chunk")), *(pa.array(x, pa.binary()) for x in bodies), pa.array(kinds)],
-        names=["gram_order", "bucket", "chunk", "retained", "trained", "kinds"],
+        names=["gram_order", "bucket", "chunk", "retained", "deleted", "kinds"],
     )
 
 
@@ -230,10 +265,8 @@ def _resolve(order: int):
         for k, grams in enumerate(chunk.grams(order), 1):
             own = back.filter(pc.equal(back.column("gram_order"), k)).sort_by("bucket")
             _, at = np.unique(grams, return_inverse=True)
-            retained, all_training = (
-                np.concatenate([unpack(x) for x in own.column(c).to_pylist()])[at] for c in ("retained", "trained")
-            )
-            trained.append(pack(all_training))
+            retained, others = (np.concatenate([unpack(x) for x in own.column(c).to_pylist()])[at] for c in ("retained", "deleted"))
+            trained += pack_coded(retained + others)
             kinds += sum(own.column("kinds").to_pylist()) if k == 1 else 0
             if k > 1:
                 evidence.append(chunk.contexts(below, 0)[deleted])
@@ -282,23 +315,13 @@ def _estimates(counts: list[np.ndarray], contexts: list[np.ndarray], mixture: Mi
     return found
 
 
-def _evidence(order: int, n_tokens: int, n_texts: int):
-    """Rows of a chunk's evidence: counts and contexts of each order, how often."""
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for bodies in batch.column("evidence").to_pylist():
-                *columns, starts, often = (unpack(x).astype(np.int64) for x in bodies)
-                columns.insert(0, np.full(len(often), n_tokens))
-                # The context before a text's first token: the start marks, once per text.
-                columns = [np.where(starts == 1, n_texts, c) if i % 2 == 0 and i else c for i, c in enumerate(columns)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in [*columns, often]], names=_columns(order))
-
-    return read
-
-
-def _columns(order: int) -> list[str]:
-    return [*(f"{kind}{k}" for k in range(1, order + 1) for kind in ("context", "count")), "often"]
+def _read(bodies: list[bytes], mixture: Mixture) -> tuple[list, list, np.ndarray]:
+    """Counts and contexts of each order, and how often, from a chunk's evidence."""
+    *columns, starts, often = (unpack(x).astype(np.int64) for x in bodies)
+    # Before a text's first token stand the start marks, once per text.
+    contexts = [np.full(len(often), mixture.n_tokens)]
+    contexts += [np.where(starts == 1, mixture.n_texts, c) for c in columns[1::2]]
+    return [columns[0], *columns[2::2]], contexts, often
 
 
 def _step(mixture: Mixture):
@@ -308,18 +331,18 @@ def _step(mixture: Mixture):
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gained, reached = (np.zeros((mixture.order + 1, CONTEXT_BUCKETS)) for _ in range(2))
         for batch in batches:
-            column = {c: batch.column(c).to_numpy() for c in batch.schema.names}
-            counts, contexts = ([column[f"{kind}{k}"] for k in range(1, mixture.order + 1)] for kind in ("count", "context"))
-            found = _estimates(counts, contexts, mixture)
-            left = column["often"].astype(np.float64)
-            gained[0, 0] += (left * np.log(found[-1][2])).sum()
-            reached[0, 0] += left.sum()
-            for k in range(mixture.order, 0, -1):
-                bucket, own, p = found[k - 1]
-                share = left * own / p
-                gained[k] += np.bincount(bucket, share, minlength=CONTEXT_BUCKETS)
-                reached[k] += np.bincount(bucket, left, minlength=CONTEXT_BUCKETS)
-                left = left - share
+            for bodies in batch.column("evidence").to_pylist():
+                counts, contexts, often = _read(bodies, mixture)
+                found = _estimates(counts, contexts, mixture)
+                left = often.astype(np.float64)
+                gained[0, 0] += (left * np.log(found[-1][2])).sum()
+                reached[0, 0] += left.sum()
+                for k in range(mixture.order, 0, -1):
+                    bucket, own, p = found[k - 1]
+                    share = left * own / p
+                    gained[k] += np.bincount(bucket, share, minlength=CONTEXT_BUCKETS)
+                    reached[k] += np.bincount(bucket, left, minlength=CONTEXT_BUCKETS)
+                    left = left - share
         k, bucket = np.nonzero(reached)
         yield pa.RecordBatch.from_arrays(
             [pa.array(k, pa.int32()), pa.array(bucket, pa.int32()), pa.array(gained[k, bucket]), pa.array(reached[k, bucket])],
@@ -361,7 +384,8 @@ def _score(mixture: Mixture):
         for batch in batches:
             for i in range(batch.num_rows):
                 keys, n = batch.column("keys")[i].values, batch.column("n")[i].values.to_numpy()
-                counts = [unpack(x.as_py()).astype(np.int64) for x in batch.column("trained")[i].values]
+                bodies = batch.column("trained")[i].as_py()
+                counts = [unpack_coded(*pair).astype(np.int64) for pair in zip(bodies[::2], bodies[1::2], strict=True)]
                 first = np.cumsum(n) - n
                 contexts = [np.full(len(counts[0]), n_all)]
                 for below in counts[:-1]:
@@ -387,28 +411,24 @@ def score_texts(docs: DataFrame, order: int = ORDER, key: str = "doc_id", text:
     part = F.when(of == HELD_OUT_FOLD, HELD_OUT).when(of == DELETED_FOLD, DELETED).otherwise(RETAINED)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), part.cast("int").alias("part"))
     numbers = ["chunk", "n_retained", "n_deleted", "n_held", "texts_retained", "texts_deleted"]
-    schema = f"{', '.join(f'{c} long' for c in numbers)}, keys array<{kind}>, part array<int>, n array<long>, known binary, ids binary"
+    schema = f"{', '.join(f'{c} long' for c in numbers)}, keys array<{kind}>, part array<int>, n array<long>, {', '.join(f'{c} binary' for c in TOKENS)}"
     chunks = stored(rows.mapInArrow(_cut, schema), "lm-chunks")
     totals = chunks.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in numbers[1:])).first()
     trained = totals["n_retained"] + totals["n_deleted"]
     bits = max((trained + totals["n_held"] - 1) // BUCKET, 0).bit_length()
-    sent = chunks.select("chunk", "known", "ids", "n", "part").mapInArrow(_send(order, bits), SENT)
+    sent = chunks.select("chunk", "n", "part", *TOKENS).mapInArrow(_send(order, bits), SENT)
     back = sent.groupBy("gram_order", "bucket").applyInArrow(_add_up, BACK)
     counted = stored(
-        chunks.select("chunk", "keys", "part", "n", "known", "ids").groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(
+        chunks.select("chunk", "keys", "part", "n", *TOKENS).groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(
             _resolve(order), f"keys array<{kind}>, n array<long>, trained array<binary>, evidence array<binary>, kinds long"
         ),
         "lm-counted",
     )
     forget(chunks)
     n_kinds = counted.agg(F.sum("kinds")).first()[0] or 0
-    columns = ", ".join(f"{c} long" for c in _columns(order))
-    read = _evidence(order, totals["n_retained"], totals["texts_retained"])
-    # Equal evidence of all chunks is one row.
-    evidence = counted.select("evidence").mapInArrow(read, columns).groupBy(*_columns(order)[:-1]).agg(F.sum("often").alias("often"))
     halves = np.full((order, CONTEXT_BUCKETS), 0.5)
     start = Mixture(order, totals["n_retained"], totals["texts_retained"], n_kinds, halves)
-    learned = learn_weights(stored(evidence, "lm-evidence"), start)
+    learned = learn_weights(counted.select("evidence"), start)
     mixture = Mixture(order, trained, totals["texts_retained"] + totals["texts_deleted"], n_kinds, learned.weights)
     scored = counted.select("keys", "n", "trained").mapInArrow(
         _score(mixture), f"key {kind}, n_tokens long, n_known long, base_score double, score double"

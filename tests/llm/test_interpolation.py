@@ -161,6 +161,7 @@ def test_numbers_survive_packing():
     for values in ([], [0], [0, 0, 3], [255, 256, 1 << 40], [(1 << 64) - 1, 1]):
         array = np.array(values, np.uint64)
         assert (ip.unpack(ip.pack(array)) == array).all()
+        assert (ip.unpack_coded(*ip.pack_coded(array)) == array).all()
 
 
 def test_odd_rows(odd, nothing):
