@@ -5,6 +5,8 @@ from lagscope.operators.correlation import (
     correlation_cells,
     lag_bank,
     lag_correlation,
+    whole,
+    whole_correlation,
 )
 from lagscope.operators.long_series import with_changes_any_length, with_lags_any_length, with_positions
 from lagscope.operators.quality import (
@@ -57,6 +59,8 @@ __all__ = [
     "strongest_first",
     "top_drivers",
     "unique_failures",
+    "whole",
+    "whole_correlation",
     "with_changes",
     "with_changes_any_length",
     "with_lags",

@@ -210,7 +210,8 @@ def _matrix(key: str = "") -> str:
     def cell(lag: str) -> str:
         pairs = f"FILTER (WHERE smh_vs_sp500_yoy IS NOT NULL AND {lag} IS NOT NULL)"
         varies = " AND ".join(f"min({x}) {pairs} < max({x}) {pairs}" for x in ("smh_vs_sp500_yoy", lag))
-        return f"CASE WHEN {varies} THEN corr(smh_vs_sp500_yoy, {lag}) END AS {lag}"
+        # Sums of doubles can come out a little beyond 1.
+        return f"CASE WHEN {varies} THEN greatest(-1.0, least(1.0, corr(smh_vs_sp500_yoy, {lag}))) END AS {lag}"
 
     return f"\nmatrix AS (SELECT {keyed}indicator, {', '.join(cell(lag) for lag in LAGS)} FROM bank GROUP BY ALL)"
 
@@ -225,7 +226,7 @@ def _cells(key: str = "") -> str:
 
 
 def _ranked(key: str = "") -> str:
-    over = f"{'PARTITION BY ' + key if key else ''} ORDER BY abs(correlation) DESC, indicator, lag_period"
+    over = f"{'PARTITION BY ' + key if key else ''} ORDER BY round(abs(correlation), 12) DESC, indicator, lag_period"
     return f"""
 ranked AS (
     SELECT *, row_number() OVER ({over}) AS rank FROM cells WHERE correlation IS NOT NULL)"""

@@ -10,7 +10,10 @@ from lagscope.operators import (
     rank_by_strength,
     strongest_first,
     top_drivers,
+    whole,
+    whole_correlation,
 )
+from lagscope.operators.correlation import known
 
 
 def corr(spark, pairs):
@@ -134,3 +137,45 @@ def test_nan_is_no_value_and_never_ranks(spark, rows):
     )
     assert [r["indicator"] for r in rank_by_strength(cells).orderBy("rank").collect()] == ["c", "b"]
     assert [r["indicator"] for r in top_drivers(cells, 3).collect()] == ["c", "b"]
+
+
+def whole_corr(df):
+    top = {c: df.agg(F.max(F.abs(known(F.col(c))))).first()[0] for c in ("x", "y")}
+    x, y = (whole(known(F.col(c)), F.lit(top[c])) for c in ("x", "y"))
+    return df.agg(whole_correlation(x, y)).first()[0]
+
+
+@pytest.mark.parametrize("scale", [1e-200, 1e-3, 1.0, 1e200])
+def test_whole_numbers_correlate_as_doubles_do(spark, scale):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=300)
+    y = x * 0.3 + rng.normal(size=300)
+    df = spark.createDataFrame([(float(a * scale), float(b / scale)) for a, b in zip(x, y)], "x double, y double")
+    assert whole_corr(df) == pytest.approx(np.corrcoef(x, y)[0, 1], abs=1e-10)
+
+
+def test_the_same_bits_under_any_partitioning(spark):
+    rng = np.random.default_rng(12)
+    rows = [("k", i, float(rng.normal() * 10.0 ** rng.integers(-3, 6)), float(rng.normal())) for i in range(3000)]
+    df = spark.createDataFrame(rows, "indicator string, i int, target double, lag_1 double")
+    found = set()
+    for n in (1, 3, 7):
+        dealt = df.repartition(n, "i").withColumn("lag_2", F.col("lag_1") * 2)
+        found |= {tuple(r) for r in lag_correlation(dealt, "target", LAGS).collect()}
+    assert len(found) == 1
+
+
+@pytest.mark.parametrize("sign", [1, -1])
+def test_collinear_pairs_do_not_leave_the_bounds(spark, sign):
+    for n in (2, 3, 50):
+        df = spark.createDataFrame([(0.1 * i, sign * (0.3 * i + 7.7)) for i in range(n)], "x double, y double")
+        assert -1 <= whole_corr(df) <= 1
+        assert whole_corr(df) == pytest.approx(sign, abs=1e-11)
+
+
+@pytest.mark.parametrize(
+    "pairs",
+    [[(None, 1.0)], [(1.0, 1.0)], [(0.0, 1.0), (0.0, 2.0)], [(0.1, 0.3)] * 7 + [(0.1, 0.4)], [(float("nan"), 2.0), (2.0, 2.0)]],
+)
+def test_undefined_over_whole_numbers_is_null(spark, pairs):
+    assert whole_corr(spark.createDataFrame(pairs, "x double, y double")) is None
