@@ -44,7 +44,7 @@ HELD_OUT_FOLD = 2
 DELETED_FOLD = 5
 ORDER = 2
 #: Text bytes of a chunk, and entries of a bucket.
-CHUNK = 8 << 20
+CHUNK = 14 << 20
 BUCKET = 1 << 21
 #: Contexts seen 1, 2-3, 4-7, ... times have weights of their own.
 CONTEXT_BUCKETS = 64
