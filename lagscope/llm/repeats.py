@@ -136,22 +136,46 @@ def may_be_named(bits: np.ndarray):
     return keep
 
 
+class _Seen:
+    """Keeps the first row of each text that a task meets: its copies hold the same regions."""
+
+    def __init__(self):
+        self.names: set[tuple[int, int]] = set()
+
+    def first(self, batch: pa.RecordBatch) -> list[int]:
+        chosen = []
+        names = zip(batch.column("name").to_pylist(), batch.column("length").to_pylist(), strict=True)
+        for i, name in enumerate(names):
+            if name not in self.names:
+                self.names.add(name)
+                chosen.append(i)
+        return chosen
+
+
+def once_a_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen = _Seen()
+    for batch in batches:
+        yield batch.take(pa.array(seen.first(batch), pa.int64()))
+
+
 def cut_out(texts: DataFrame, opened: DataFrame, cut, schema: str) -> DataFrame:
     """Bring the open regions to their texts; ``cut(data, regions)`` yields rows of ``schema``.
 
-    ``regions`` are dicts of one text. Where equal texts are rows of their own, each
-    yields the same rows, so those that follow drop doubles.
+    ``regions`` are dicts of one text. Of equal texts a task sends one, and what meets them
+    cuts one, so neither texts nor regions grow with the number of copies; those that several
+    tasks cut all the same are dropped by what follows.
     """
     columns = ("seed", "content", "twice", "begin", "windows", "place")
     wanted = opened.groupBy("name", "length").agg(F.collect_list(F.struct(*columns)).alias("regions"))
     few = texts.select("text", "name", "length")
-    few = few.mapInArrow(may_be_named(name_filter(opened)), few.schema)
+    few = few.mapInArrow(may_be_named(name_filter(opened)), few.schema).mapInArrow(once_a_task, few.schema)
     names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = _Seen()
         for batch in batches:
             text, regions = batch.column("text"), batch.column("regions")
-            for i in range(batch.num_rows):
+            for i in seen.first(batch):
                 own = regions[i].values
                 fields = {c: own.field(c).to_numpy(zero_copy_only=False) for c in columns}
                 data = np.frombuffer(text[i].as_py().encode(), np.uint8)

@@ -8,12 +8,13 @@ block the suffixes are sorted as in blockwise construction of a suffix array:
   positions i, j have a shift d < PERIOD for which both i + d and j + d are in it.
 * The suffixes at cover positions are sorted by their first ``REACH`` bytes and ranked.
 * The windows are sorted one bucket at a time: bucket d holds the windows that have a
-  cover position d bytes on. Within it 64-bit hashes of their first and last PERIOD bytes
-  stand in for these bytes; mixed with the cover position's rank, which covers what lies
-  between, they make one number, and equal numbers are equal windows, unverified. Two equal
-  windows share a bucket, whatever their positions.
+  cover position d bytes on. They are sorted by hashes of their first and last PERIOD bytes
+  and the cover position's rank, which covers what lies between; neighbours that agree are
+  then compared byte by byte. Two equal windows share a bucket, whatever their positions.
 
-No comparison reads on beyond that, and a task holds one block and one bucket.
+No comparison reads on beyond that, and a task holds one block and one bucket. Seeds with
+more than ``LARGE`` bytes of regions have a block each, which a seed's regions (at most
+``SIZE`` - ``SEED`` + 1 windows each) keep below 2 MB; the others share blocks.
 
 A seed with more than ``MOST_PER_SEED`` different regions would make a block of its own
 size; its windows are counted by their hash in a Spark aggregation instead, which splits.
@@ -43,7 +44,11 @@ PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)
 #: Bytes of a cover suffix that are ranked.
 REACH = SIZE - PERIOD
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
+#: Seeds with regions of more bytes than this share a block with no other.
+LARGE = 1 << 18
+#: Bytes of windows compared at a time.
+COMPARED = 1 << 22
 MOST_PER_SEED = 1 << 12
 CUT = "seed long, content long, twice boolean, name long, length long, begin long, windows long, body binary"
 WINDOW = "name long, length long, begin long, windows long"
@@ -79,6 +84,27 @@ def cover_ranks(text: np.ndarray, reach: int) -> np.ndarray:
     return ranks
 
 
+def equal_windows(text: np.ndarray, starts: np.ndarray, keys: np.ndarray, found: np.ndarray, size: int) -> np.ndarray:
+    """Which windows have a key that another one shares, and its bytes as well, or were
+    ``found`` before: pairs of those need no second look."""
+    found = found.copy()
+    order = np.argsort(keys, kind="stable")
+    pairs = np.flatnonzero((keys[order[1:]] == keys[order[:-1]]) & ~(found[order[1:]] & found[order[:-1]]))
+    windows = np.lib.stride_tricks.sliding_window_view(text, size)
+    step = max(COMPARED // size, 1)
+    for a in range(0, len(pairs), step):
+        one, two = order[pairs[a : a + step]], order[pairs[a : a + step] + 1]
+        same = (windows[starts[one]] == windows[starts[two]]).all(axis=1)
+        found[one[same]] = found[two[same]] = True
+        # Keys that meet without their bytes: all windows of such a key are sorted by bytes.
+        for key in np.unique(keys[one[~same]]):
+            own = np.flatnonzero(keys == key)
+            whole = np.ascontiguousarray(windows[starts[own]]).view(np.dtype((np.void, size))).ravel()
+            _, at, often = np.unique(whole, return_inverse=True, return_counts=True)
+            found[own] |= often[at.ravel()] > 1
+    return found
+
+
 def repeated_windows(text: np.ndarray, starts: np.ndarray, size: int = SIZE) -> np.ndarray:
     """Which windows of ``size`` bytes at ``starts`` equal another one of them."""
     reach = size - PERIOD
@@ -91,7 +117,8 @@ def repeated_windows(text: np.ndarray, starts: np.ndarray, size: int = SIZE) ->
     for shift in range(PERIOD):
         bucket = np.flatnonzero(np.isin((starts + shift) % PERIOD, COVER))
         rank = ranks[starts[bucket] + shift].astype(np.uint64)
-        found[bucket] |= lx.repeated(head[bucket] ^ lx.mix(tail[bucket] ^ lx.mix(rank + np.uint64(1))))
+        keys = head[bucket] ^ lx.mix(tail[bucket] ^ lx.mix(rank + np.uint64(1)))
+        found[bucket] = equal_windows(text, starts[bucket], keys, found[bucket], size)
     return found
 
 
@@ -142,13 +169,20 @@ def _hash_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _between_open(pieces: DataFrame, most_per_seed: int) -> DataFrame:
     """Windows of open regions that are equal to a window of another region of their seed."""
-    per_seed = pieces.groupBy("seed").agg(F.count_distinct("content").alias("contents"))
-    hot = stored(per_seed.filter(F.col("contents") > most_per_seed).select("seed"), "hot")
-    held = pieces.agg(F.sum(F.length("body"))).first()[0] or 0
-    blocks = max(1, -(-int(held) // BLOCK_BYTES))
-    cool = pieces.join(hot, "seed", "left_anti").withColumn("block", F.pmod(F.xxhash64("seed"), F.lit(blocks)))
-    sorted_out = cool.groupBy("block").applyInArrow(_sort_block, WINDOW)
-    rows = pieces.join(hot, "seed").dropDuplicates(["seed", "content"])
+    regions = pieces.groupBy("seed", "content").agg(F.max(F.length("body")).alias("bytes"))
+    per_seed = regions.groupBy("seed").agg(F.count(F.lit(1)).alias("contents"), F.sum("bytes").alias("bytes"))
+    per_seed = stored(per_seed, "seeds")
+    hot, large = F.col("contents") > most_per_seed, F.col("bytes") > LARGE
+    small = per_seed.filter(~hot & ~large).agg(F.sum("bytes")).first()[0] or 0
+    blocks = max(1, -(-int(small) // BLOCK_BYTES))
+    apart = per_seed.filter(hot | large).select("seed", hot.alias("hot"))
+    dealt = pieces.join(stored(apart, "seeds-apart"), "seed", "left")
+    cool = dealt.filter(~F.coalesce("hot", F.lit(False))).withColumns({
+        "alone": F.col("hot").isNotNull(),
+        "block": F.when(F.col("hot").isNotNull(), F.col("seed")).otherwise(F.pmod(F.xxhash64("seed"), F.lit(blocks))),
+    })
+    sorted_out = cool.drop("hot").groupBy("alone", "block").applyInArrow(_sort_block, WINDOW)
+    rows = dealt.filter("hot").drop("hot").dropDuplicates(["seed", "content"])
     windows = rows.mapInArrow(_hash_windows, f"one long, two long, twice boolean, {WINDOW}")
     equal = windows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("one", "two")
     hashed = windows.join(equal, ["one", "two"]).filter(~F.col("twice"))

@@ -112,3 +112,47 @@ def test_a_full_filter_loses_nothing(spark, tangled, monkeypatch):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, sf_dir, name):
     assert differences(queries.QUERIES[name](spark, sf_dir), database(sf_dir), queries.ORACLES[name]) == []
+
+
+@pytest.mark.parametrize("n_keys", [1, 7, 1 << 40])
+def test_keys_that_collide_do_not_decide(n_keys):
+    """Windows are equal by their bytes, whatever their keys."""
+    rng = np.random.default_rng(2)
+    text = rng.integers(0, 2, 1500).astype(np.uint8)
+    text[900:1200] = text[100:400]
+    starts = np.arange(len(text) - 199)
+    raw = text.tobytes()
+    kinds = {}
+    own = np.array([kinds.setdefault(raw[i : i + 200], len(kinds)) for i in starts], np.uint64)
+    found = substring_bytes.equal_windows(text, starts, own % np.uint64(n_keys), np.zeros(len(starts), bool), 200)
+    seen = Counter(own.tolist())
+    assert found.tolist() == [seen[x] > 1 for x in own.tolist()]
+
+
+def test_copies_are_cut_once(spark, monkeypatch):
+    """A text's regions are stored once per task that cuts it, however many rows hold it."""
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(300)]
+    shared = " ".join(rng.choices(words, k=80))
+    one, two = (" ".join([*rng.choices(words, k=60), shared, *rng.choices(words, k=60)]) for _ in range(2))
+    held = {}
+    real = substring_bytes.stored
+
+    def watch(df, purpose):
+        held[purpose] = real(df, purpose)
+        return held[purpose]
+
+    monkeypatch.setattr(substring_bytes, "stored", watch)
+    texts = [one] * 1500 + [two]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    found = rows_of(substring_bytes.dedup_bytes(df))
+    assert found[0][1] == len(one) and found[-1][1] >= len(shared)
+    pieces = held["pieces"]
+    assert pieces.count() <= 6 * pieces.dropDuplicates(["name", "length", "begin"]).count() < 200
+
+
+def test_large_seeds_have_blocks_of_their_own(spark, tangled, monkeypatch):
+    monkeypatch.setattr(substring_bytes, "LARGE", 500)
+    monkeypatch.setattr(substring_bytes, "BLOCK_BYTES", 2000)
+    df = spark.createDataFrame(list(enumerate(tangled)), "doc_id long, text string")
+    assert rows_of(substring_bytes.dedup_bytes(df)) == expected_bytes(tangled)
