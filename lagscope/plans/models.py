@@ -90,23 +90,29 @@ def _states_of(table: str, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
     return month_states(staged, ["value"], keys, total="value", checked=checked)
 
 
+def stacked_states(raw: Mapping[str, DataFrame], keys: Sequence[str] = ()) -> DataFrame:
+    """States of the months of several raw tables, each read once, by ``series_id``."""
+    states = [
+        _states_of(table, stage(table, df, keys), keys).withColumn("series_id", F.lit(table)) for table, df in raw.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), states)
+
+
 def share_states(raw: Mapping[str, DataFrame], keys: Sequence[str] = (), tables: Collection[str] | None = None) -> dict[str, PeriodStates]:
     """States of the months of every raw table, from one job that reads each table once.
 
     All resampled models and the checks of the staged ones follow from them. ``tables`` names
     those that are needed. The most rows of a month are observed as the states are written.
     """
-    staged = {table: stage(table, df, keys) for table, df in raw.items() if tables is None or table in tables}
-    states = [_states_of(table, df, keys).withColumn("series_id", F.lit(table)) for table, df in staged.items()]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), states)
-    most = {f"most_{table}": F.max(F.when(F.col("series_id") == table, F.col("rows"))) for table in staged}
-    stored, found = materialize_observed(stacked, "period_states", **most)
+    raw = {table: df for table, df in raw.items() if tables is None or table in tables}
+    most = {f"most_{table}": F.max(F.when(F.col("series_id") == table, F.col("rows"))) for table in raw}
+    stored, found = materialize_observed(stacked_states(raw, keys), "period_states", **most)
     return {
         table: PeriodStates(
-            stored.filter(F.col("series_id") == table).drop("series_id"), staged[table], tuple(keys),
+            stored.filter(F.col("series_id") == table).drop("series_id"), stage(table, df, keys), tuple(keys),
             (found.get(f"most_{table}") or 0) <= 1,
         )
-        for table in staged
+        for table, df in raw.items()
     }
 
 

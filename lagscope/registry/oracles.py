@@ -616,6 +616,9 @@ ORACLES: dict[str, str] = {
     "refresh_fact": _with(FACT, FACT_SELECT),
     "refresh_correlation": _with(_MATRIX, _rounded(list(LAGS), ["indicator"], "matrix")),
     "refresh_kpi": _with([*_CELLS, _ranked()], "").rstrip() + "," + _kpi(),
+    "refresh_after_revision": _with(FACT, FACT_SELECT),
+    "refresh_snapshot": (_with([*_CELLS, _ranked()], "").rstrip() + "," + _kpi()).removesuffix("FROM latest")
+    + ", (SELECT count(*) FROM fact) AS quarters FROM latest",
     "refresh_panel_kpi": _per_desk(_with([*_CELLS, _ranked()], "").rstrip() + "," + _kpi()),
     "dq_not_null": _checks(_declared(_not_null, NOT_NULL)),
     "dq_unique": _checks(_declared(_unique, UNIQUE)),

@@ -20,7 +20,7 @@ from lagscope.operators import (
     with_changes,
     with_changes_any_length,
 )
-from lagscope.plans import marts, models
+from lagscope.plans import incremental, marts, models
 from lagscope.plans.periods import QUARTERS_BACK, monthly_returns
 from lagscope.plans.staging import stage_last_prices, stage_observations, stage_prices
 from lagscope.registry import roles
@@ -33,10 +33,13 @@ from lagscope.sources import (
     read_observation_payloads,
     read_series,
 )
+from lagscope.sources.versions import Versions
 from lagscope.sources.schemas import NANOS_PER_SECOND, RAW_OBSERVATIONS, RAW_PRICES
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
+# A month within all series of the test tables.
+REVISED = "1997-05"
 
 
 def tidy(df: DataFrame) -> DataFrame:
@@ -360,6 +363,35 @@ def _published(name: str) -> Query:
     return run
 
 
+def _revised(spark, sf_dir) -> tuple[str, dict[str, DataFrame]]:
+    """A version made from faulty rows of one month, then one after its revision."""
+    raw, root = _landed(spark, sf_dir), scratch_dir(spark, "versions")
+    faulty = {
+        name: df.withColumns(
+            {c: F.when(F.col("date").like(f"{REVISED}%"), F.lit("1")).otherwise(F.col(c)) for c in ("value",)}
+        ) if name in models.RAW_OBSERVATION_TABLES else df
+        for name, df in raw.items()
+    }
+    incremental.refresh(spark, faulty, root)
+    incremental.refresh(spark, raw, root, months=[REVISED])
+    return root, raw
+
+
+def refresh_after_revision(spark, sf_dir):
+    """The fact of a version that rewrote the one month whose observations were revised."""
+    root, _ = _revised(spark, sf_dir)
+    return tidy(Versions(spark, root).latest().read(spark, "fct_smh_q"))
+
+
+def refresh_snapshot(spark, sf_dir):
+    """The headline row beside the number of quarters in the fact it was made from, both of one
+    version."""
+    root, raw = _revised(spark, sf_dir)
+    seen = incremental.snapshot(spark, root, raw)
+    quarters = seen["fct_smh_q"].agg(F.count(F.lit(1)).alias("quarters"))
+    return tidy(seen["fct_key_kpi"].withColumn("quarters", quarters.select("quarters").scalar()))
+
+
 def refresh_panel_kpi(spark, sf_dir):
     """A panel staged, resampled, correlated and stored as one refresh; its headline rows."""
     raw = {name: make(spark, sf_dir, ["desk"]) for name, make in roles.RAW_TABLES.items()}
@@ -433,6 +465,8 @@ QUERIES: dict[str, Query] = {
     "refresh_fact": _published("fct_smh_q"),
     "refresh_correlation": _published("fct_smh_q_correlation"),
     "refresh_kpi": _published("fct_key_kpi"),
+    "refresh_after_revision": refresh_after_revision,
+    "refresh_snapshot": refresh_snapshot,
     "refresh_panel_kpi": refresh_panel_kpi,
     "dq_not_null": _checks("not_null"),
     "dq_unique": _checks("unique"),

@@ -8,6 +8,9 @@ missing without a word. An empty list of observations is data.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,17 +31,27 @@ def _required(value: Column, what: str) -> Column:
     return F.when(value.isNull(), F.raise_error(message)).otherwise(value)
 
 
+def _parallel(stamps: Column, arrays: dict[str, Column]) -> Column:
+    """``stamps``, where every array is as long: a shorter one would be filled up with NULL, and
+    its values might belong to other days."""
+    same = reduce(and_, (F.coalesce(F.size(array) == F.size(stamps), F.lit(False)) for array in arrays.values()))
+    sizes = (F.concat(F.lit(f", {name} "), F.coalesce(F.size(array).cast("string"), F.lit("none"))) for name, array in arrays.items())
+    lengths = F.concat(F.lit("timestamp "), F.size(stamps).cast("string"), *sizes)
+    message = F.concat(F.lit("arrays of unequal length in "), F.coalesce("series_id", F.lit("?")), F.lit(": "), lengths)
+    return F.when(same, stamps).otherwise(F.raise_error(message))
+
+
 def flatten_chart(documents: DataFrame) -> DataFrame:
-    """Parallel arrays to one row per time stamp, in the shape of the raw price table."""
+    """Parallel arrays to one row per time stamp, in the shape of the raw price table. Arrays of
+    unequal length stop the job."""
     result = F.get("chart.result", F.lit(0))
     quote = F.get(result["indicators"]["quote"], F.lit(0))
     adjusted = F.get(result["indicators"]["adjclose"], F.lit(0))["adjclose"]
     stamps = _required(F.when(quote.isNotNull() & adjusted.isNotNull(), result["timestamp"]), "result, quote or adjclose")
+    arrays = {name: quote[name] for name in ("open", "high", "low", "close")}
+    arrays |= {"adj_close": adjusted, "volume": quote["volume"]}
     bars: Column = F.arrays_zip(
-        stamps.alias("timestamp"),
-        *(quote[name].alias(name) for name in ("open", "high", "low", "close")),
-        adjusted.alias("adj_close"),
-        quote["volume"].alias("volume"),
+        _parallel(stamps, arrays).alias("timestamp"), *(array.alias(name) for name, array in arrays.items())
     )
     return documents.select("series_id", F.inline(bars)).select(
         "series_id",

@@ -182,3 +182,21 @@ def test_a_bad_observation_document_stops_the_job(spark, tmp_path, bad):
     (tmp_path / "BBB.json").write_text(bad)
     with pytest.raises(Exception, match="BBB|MALFORMED|Malformed"):
         read_observation_payloads(spark, str(tmp_path), foldered=False).collect()
+
+
+@pytest.mark.parametrize("field", ["timestamp", "open", "close", "volume", "adjclose"])
+def test_arrays_of_unequal_length_stop_the_job(spark, tmp_path, field):
+    """A value must not end up on another day, nor a day be made up."""
+    document = chart([1704205800, 1704292200], [1.0, 2.0])
+    result = document["chart"]["result"][0]
+    quote, adjusted = result["indicators"]["quote"][0], result["indicators"]["adjclose"][0]
+    holder = next(h for h in (result, quote, adjusted) if field in h)
+    for values in (holder[field][:1], [*holder[field], holder[field][0]], None):
+        changed = json.loads(json.dumps(document))
+        target = changed["chart"]["result"][0]
+        inner = target if field in target else target["indicators"]["quote"][0]
+        inner = inner if field in inner else target["indicators"]["adjclose"][0]
+        inner[field] = values
+        (tmp_path / "bad.json").write_text(json.dumps(changed))
+        with pytest.raises(Exception, match="unequal length|document without"):
+            read_chart_payloads(spark, str(tmp_path), foldered=False).collect()
