@@ -9,6 +9,7 @@ from lagscope.operators.correlation import (
     whole_correlation,
 )
 from lagscope.operators.long_series import with_changes_any_length, with_lags_any_length, with_positions
+from lagscope.operators.pairs import pair_correlations, strongest_pairs
 from lagscope.operators.quality import (
     failures_from_states,
     failures_in_one_pass,
@@ -48,6 +49,7 @@ __all__ = [
     "month_states",
     "not_null_failures",
     "nth_driver_columns",
+    "pair_correlations",
     "rank_by_strength",
     "rank_overall",
     "relative",
@@ -57,6 +59,7 @@ __all__ = [
     "spread_series",
     "stack_series",
     "strongest_first",
+    "strongest_pairs",
     "top_drivers",
     "unique_failures",
     "whole",

@@ -360,6 +360,25 @@ _STACKED = " UNION ALL ".join(
     )
 )
 
+def _pairs() -> str:
+    """All pairs of a supplier and a nation, joined quarter by quarter at each lag."""
+    lags = ", ".join(f"('{LAG_LABELS[name]}', {n})" for name, n in LAGS.items())
+    varies = " AND ".join(f"min({c}) < max({c})" for c in ("y", "x"))
+    cells = f"""
+lags AS (SELECT * FROM (VALUES {lags}) AS t(lag_period, n)),
+met AS (
+    SELECT l_suppkey, c_nationkey, lag_period, smh_yoy AS y, new_orders_yoy AS x
+    FROM lags, supplier_q s JOIN changed c ON s.year * 4 + s.quarter = c.year * 4 + c.quarter + n
+    WHERE smh_yoy IS NOT NULL AND new_orders_yoy IS NOT NULL),
+cells AS (
+    SELECT * FROM (
+        SELECT l_suppkey, c_nationkey, lag_period,
+               CASE WHEN {varies} THEN greatest(-1.0, least(1.0, corr(y, x))) END AS correlation
+        FROM met GROUP BY ALL)
+    WHERE correlation IS NOT NULL)"""
+    return _with([SUPPLIER_Q, _NATION_PANEL, cells], "")
+
+
 _MONTH_PANEL = f"""
 month_ends AS (
     SELECT l_suppkey, CAST(l_shipdate AS DATE) AS date, strftime(l_shipdate, '%Y-%m') AS month,
@@ -520,6 +539,8 @@ _MATRIX = [*_BANKED, _matrix()]
 _CELLS = [*_MATRIX, _cells()]
 _PANEL_CELLS = [*PANEL_FACT, _bank("l_suppkey"), _matrix("l_suppkey"), _cells("l_suppkey")]
 
+_PAIRS = _pairs()
+
 ORACLES: dict[str, str] = {
     "stage_prices": _with([TARGET_DAYS], _exact(PRICES, ["date", "volume"], "target_days")),
     "stage_benchmark": _with([BENCHMARK_DAYS], _exact(PRICES, ["date", "volume"], "benchmark_days")),
@@ -587,6 +608,10 @@ ORACLES: dict[str, str] = {
         [_NATION_PANEL],
         _rounded(["new_orders", "new_orders_qoq", "new_orders_yoy"], ["c_nationkey", *PERIOD], "changed"),
     ),
+    "pairs_correlation": f"{_PAIRS} SELECT l_suppkey, c_nationkey, lag_period, round(correlation, 6) AS correlation FROM cells",
+    "pairs_strongest": f"""{_PAIRS} SELECT l_suppkey, c_nationkey, lag_period, round(correlation, 6) AS correlation,
+        row_number() OVER (ORDER BY round(abs(correlation), 12) DESC, l_suppkey, c_nationkey, lag_period) AS rank
+        FROM cells QUALIFY rank <= 50""",
     "panel_fact": _with(PANEL_FACT, _rounded(FACT_MEASURES, ["l_suppkey", "date", *PERIOD], "fact")),
     "panel_lag_correlation": _with(_PANEL_CELLS, f"SELECT l_suppkey, {CELL_SELECT} FROM cells"),
     "panel_rank_drivers": _with(

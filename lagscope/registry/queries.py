@@ -12,10 +12,12 @@ from lagscope.operators import (
     drop_latest,
     latest_rows,
     load_report,
+    pair_correlations,
     rank_by_strength,
     rank_overall,
     resample,
     spread_series,
+    strongest_pairs,
     top_drivers,
     with_changes,
     with_changes_any_length,
@@ -207,7 +209,7 @@ def panel_monthly_prices(spark, sf_dir):
     return tidy(monthly_returns(stage_last_prices(raw, "month", SUPPLIER), SUPPLIER))
 
 
-def panel_quarter_sum(spark, sf_dir):
+def _nation_quarters(spark, sf_dir):
     """Order value per nation and quarter. Orders are summed per customer and quarter before
     customers meet them; those without a customer make up the nation NULL."""
     orders = roles.table(spark, sf_dir, "orders").select(
@@ -219,7 +221,32 @@ def panel_quarter_sum(spark, sf_dir):
     quarters = nations.groupBy("c_nationkey", "year", "quarter", "year_quarter").agg(F.sum("cents").alias("cents"))
     amounts = quarters.withColumn("cents", F.col("cents") / 100).withColumnRenamed("cents", "new_orders")
     steps = {f"new_orders_{name}": n for name, n in QUARTERS_BACK.items()}
-    return tidy(with_changes(amounts, "new_orders", steps, ["year", "quarter"], ["c_nationkey"]))
+    return with_changes(amounts, "new_orders", steps, ["year", "quarter"], ["c_nationkey"])
+
+
+def panel_quarter_sum(spark, sf_dir):
+    return tidy(_nation_quarters(spark, sf_dir))
+
+
+def _pairs(spark, sf_dir, most=None):
+    """Every supplier's yearly price change against every nation's change of orders, as many
+    quarters before."""
+    quarter = F.col("year") * 4 + F.col("quarter")
+    suppliers = roles.supplier_quarters(spark, sf_dir).withColumn("period", quarter)
+    nations = _nation_quarters(spark, sf_dir).withColumn("period", quarter)
+    lags = {marts.LAG_LABELS[name]: n for name, n in marts.LAGS.items()}
+    return pair_correlations(
+        suppliers, nations, lags, "l_suppkey", "c_nationkey", "period", "smh_yoy", "new_orders_yoy", tile=64, most=most
+    )
+
+
+def pairs_correlation(spark, sf_dir):
+    return tidy(_pairs(spark, sf_dir))
+
+
+def pairs_strongest(spark, sf_dir):
+    """The fifty strongest of all pairs and lags."""
+    return tidy(strongest_pairs(_pairs(spark, sf_dir, 50), 50, "l_suppkey", "c_nationkey"))
 
 
 def _supplier_fact(spark, sf_dir):
@@ -452,6 +479,8 @@ QUERIES: dict[str, Query] = {
     "panel_monthly_return": panel_monthly_return,
     "panel_monthly_prices": panel_monthly_prices,
     "panel_quarter_sum": panel_quarter_sum,
+    "pairs_correlation": pairs_correlation,
+    "pairs_strongest": pairs_strongest,
     "panel_fact": panel_fact,
     "panel_lag_correlation": panel_lag_correlation,
     "panel_rank_drivers": panel_rank_drivers,

@@ -13,8 +13,9 @@ from lagscope.registry.queries import QUERIES
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
 
-# Queries that write a table first; what is left of their plan reads that.
-WRITING = ("land_", "dq_", "refresh_", "kpi_row_from", "row_change", "panel_rank_overall", "monthly_change", "year_dec")
+# Queries that write a table first; what is left of their plan reads that. Pairs of series are
+# matrix products in tasks.
+WRITING = ("pairs_", "land_", "dq_", "refresh_", "kpi_row_from", "row_change", "panel_rank_overall", "monthly_change", "year_dec")
 LANDING = {name for name in QUERIES if name.startswith(WRITING)}
 
 
