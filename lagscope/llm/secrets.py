@@ -45,6 +45,8 @@ KINDS = (*BASE_KINDS, *ENTROPY_KINDS)
 SPAN = "struct<start:int,end:int,kind:int>"
 # Entropy sums are whole numbers of this part of a bit, so no rounding adds up on long strings.
 UNIT = 1 << 20
+#: Matches whose places are added up one by one.
+STEPS = 256
 
 
 def _bound(value: Column, use) -> Column:
@@ -57,7 +59,8 @@ def _places(text: Column, pattern: str) -> Column:
     """Start, end and text of every match, left to right.
 
     SQL has no function for places. The text split at the matches gives the gaps, and gaps
-    and matches in turn add up to the places.
+    and matches in turn add up to the places: within blocks of ``STEPS`` matches first, as to
+    append to an array is to copy it, then from block to block.
     """
     steps = _bound(
         F.split(text, pattern, -1),
@@ -74,7 +77,32 @@ def _places(text: Column, pattern: str) -> Column:
         return F.struct((start + p["size"]).alias("at"), F.array_append(state["spans"], span).alias("spans"))
 
     empty = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("spans"))
-    return F.aggregate(steps, empty, step, lambda state: state["spans"])
+
+    def in_block(steps: Column, block: Column) -> Column:
+        return F.aggregate(F.slice(steps, block * STEPS + 1, F.lit(STEPS)), empty, step)
+
+    def shifts(blocks: Column) -> Column:
+        none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("before"))
+        return F.aggregate(
+            blocks, none,
+            lambda s, b: F.struct((s["at"] + b["at"]).alias("at"), F.array_append(s["before"], s["at"]).alias("before")),
+            lambda s: s["before"],
+        )
+
+    def moved(block: Column, shift: Column) -> Column:
+        return F.transform(
+            block["spans"],
+            lambda p: F.struct((p["start"] + shift).alias("start"), (p["end"] + shift).alias("end"), p["value"].alias("value")),
+        )
+
+    def placed(blocks: Column) -> Column:
+        return _bound(shifts(blocks), lambda before: F.flatten(F.transform(blocks, lambda b, i: moved(b, F.get(before, i)))))
+
+    blocks = _bound(steps, lambda all_steps: F.transform(
+        F.sequence(F.lit(0), F.call_function("div", F.size(all_steps) - 1, F.lit(STEPS)).cast("int")),
+        lambda block: in_block(all_steps, block),
+    ))
+    return _bound(blocks, placed)
 
 
 def _base_spans(text: Column, kind: str) -> Column:

@@ -3,6 +3,7 @@ import math
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from lagscope.llm import queries, secrets
 
@@ -85,3 +86,17 @@ def test_query(spark, sf_dir):
         assert got["spans"] == ",".join(text)
         assert got["base_sha256"] == hashlib.sha256(",".join(base).encode()).hexdigest()
         assert [got["n_assign"], got["n_access"], got["n_hex"]] == [sum(k == i for _, k, _ in spans) for i in range(3)]
+
+
+def test_places_in_several_blocks(spark, monkeypatch):
+    """Many matches in one text: places are added up in blocks and come out the same."""
+    import re
+
+    text = "".join(f"{'é' * (i % 5)} key{i} " for i in range(700))
+    df = spark.createDataFrame([(text,), ("",), ("none",)], "text string")
+    expected = [(m.start(), m.end(), m[0]) for m in re.finditer(r"key\d+", text)]
+    for steps in (1, 7, 256, 1000):
+        monkeypatch.setattr(secrets, "STEPS", steps)
+        rows = df.select("text", secrets._places(F.col("text"), r"key\d+").alias("p")).collect()
+        found = {r["text"]: [tuple(p) for p in r["p"]] for r in rows}
+        assert found == {text: expected, "": [], "none": []}
