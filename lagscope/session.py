@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -46,5 +47,11 @@ def shared_folder(named: str | None, warehouse: str) -> str:
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new path in a folder that all executors share, see ``shared_folder``."""
-    folder = shared_folder(spark.conf.get("spark.checkpoint.dir", None), spark.conf.get("spark.sql.warehouse.dir"))
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if not named and warehouse.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        warnings.warn(
+            f"spark.checkpoint.dir is not set and the warehouse {warehouse} may be a folder of the driver alone", stacklevel=2
+        )
+    folder = shared_folder(named, warehouse)
     return f"{folder}/{purpose}-{uuid.uuid4().hex}"
