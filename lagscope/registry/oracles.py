@@ -644,6 +644,7 @@ ORACLES: dict[str, str] = {
     "refresh_after_revision": _with(FACT, FACT_SELECT),
     "refresh_snapshot": (_with([*_CELLS, _ranked()], "").rstrip() + "," + _kpi()).removesuffix("FROM latest")
     + ", (SELECT count(*) FROM fact) AS quarters FROM latest",
+    "refresh_bucketed_fact": _per_desk(_with(FACT, FACT_SELECT)),
     "refresh_panel_kpi": _per_desk(_with([*_CELLS, _ranked()], "").rstrip() + "," + _kpi()),
     "dq_not_null": _checks(_declared(_not_null, NOT_NULL)),
     "dq_unique": _checks(_declared(_unique, UNIQUE)),

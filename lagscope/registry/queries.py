@@ -426,6 +426,17 @@ def refresh_panel_kpi(spark, sf_dir):
     return tidy(spark.table("panel_fct_key_kpi"))
 
 
+def _desk_buckets(spark, sf_dir):
+    raw = {name: make(spark, sf_dir, ["desk"]) for name, make in roles.RAW_TABLES.items()}
+    quarters = models.build_models(raw, names=models.FACT_INPUTS, keys=["desk"])
+    return models.fact_from_buckets(quarters, scratch_dir(spark, "buckets"), ["desk"], 8)
+
+
+def refresh_bucketed_fact(spark, sf_dir):
+    """The fact of a panel from quarterly series stored in buckets."""
+    return tidy(_desk_buckets(spark, sf_dir))
+
+
 def dq_panel(spark, sf_dir):
     """Checks over the staged daily bars and the fact of every supplier."""
     staged = stage_prices(roles.raw_target_prices(spark, sf_dir, SUPPLIER), SUPPLIER)
@@ -496,6 +507,7 @@ QUERIES: dict[str, Query] = {
     "refresh_kpi": _published("fct_key_kpi"),
     "refresh_after_revision": refresh_after_revision,
     "refresh_snapshot": refresh_snapshot,
+    "refresh_bucketed_fact": refresh_bucketed_fact,
     "refresh_panel_kpi": refresh_panel_kpi,
     "dq_not_null": _checks("not_null"),
     "dq_unique": _checks("unique"),

@@ -7,6 +7,7 @@ from lagscope.sources.landing import (
     read_raw,
     read_series,
     refresh_table,
+    store_buckets,
 )
 from lagscope.sources.payloads import read_chart_payloads, read_observation_payloads
 from lagscope.sources.schemas import (
@@ -31,4 +32,5 @@ __all__ = [
     "read_raw",
     "read_series",
     "refresh_table",
+    "store_buckets",
 ]

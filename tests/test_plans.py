@@ -126,3 +126,16 @@ def test_orders_are_summed_before_customers_meet_them(spark):
     text = plan(spark, "panel_quarter_sum")
     assert "LeftOuter" in text
     assert re.search(r"HashAggregate\(keys=\[o_custkey", text.split("Join")[1])
+
+
+def test_buckets_are_joined_where_they_lie(spark):
+    """Below the joins of the fact nothing is shuffled, where the sides are too large to broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = queries._desk_buckets(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert text.count("SortMergeJoin") == 4
+    joins = text[text.index("SortMergeJoin") :]
+    assert "Exchange" not in joins and joins.count("Bucketed: true") == 5
