@@ -200,3 +200,16 @@ def test_arrays_of_unequal_length_stop_the_job(spark, tmp_path, field):
         (tmp_path / "bad.json").write_text(json.dumps(changed))
         with pytest.raises(Exception, match="unequal length|document without"):
             read_chart_payloads(spark, str(tmp_path), foldered=False).collect()
+
+
+def test_a_refreshed_table_is_sorted_across_its_files(spark, tmp_path):
+    df = spark.range(2000).select((F.col("id") % 50).alias("year"), (F.col("id") % 4).alias("quarter"), "id").repartition(7)
+    refresh_table(df, "sorted_files", str(tmp_path / "t"), ["year", "quarter"])
+    rows = spark.table("sorted_files").select("year", "quarter", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("at"))
+    files = {}
+    for r in sorted(rows.collect(), key=lambda r: (r["file"], r["at"])):
+        files.setdefault(r["file"], []).append((r["year"], r["quarter"]))
+    assert all(own == sorted(own) for own in files.values())
+    whole = [x for name in sorted(files) for x in files[name]]
+    assert whole == sorted(whole) and len(whole) == 2000
+    spark.sql("DROP TABLE sorted_files")
