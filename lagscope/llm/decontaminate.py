@@ -225,7 +225,8 @@ def find_contamination(
     docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
     item_text: str = "text",
 ) -> DataFrame:
-    """One row per contaminated (document, item): its longest stretch, in words counted
+    """One row per contaminated (document, item): of the longest stretches along its lines the one
+    with the most matching words, then the longest, then the first, in words counted
     from 0 in the document (``doc_start``) and the item, its ``span`` and ``matched`` words."""
     kinds = docs.schema[key].dataType.simpleString(), benchmark.schema[item].dataType.simpleString()
     schema = f"key {kinds[0]}, item string, doc_start long, item_start long, span long, matched long"

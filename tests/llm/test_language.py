@@ -84,3 +84,16 @@ def test_odd_rows(odd, nothing, model):
     assert language.predict_language(nothing, own).count() == 0
     none = language.fit_trees(nothing)
     assert {r["lang_pred"] for r in language.predict_language(odd, none).collect()} == {language.UNKNOWN}
+
+
+def test_each_language_keeps_its_share_of_paths(spark, monkeypatch):
+    """A frequent language leaves room for a rare one, and a cut is said."""
+    monkeypatch.setattr(language, "MOST_PATHS", 60)
+    random = np.random.default_rng(3)
+    letters = list("abcdefghijklmnopqrst")
+    rows = [("xx", "".join(random.choice(letters, 400))) for _ in range(40)] + [("yy", "uvuvuvuv uvuv")] * 2
+    df = spark.createDataFrame(rows, "lang string, text string")
+    with pytest.warns(UserWarning, match="cut to the 30 most frequent paths each: xx"):
+        model = language.fit_trees(df)
+    sizes = {name: len(path) for name, (path, _) in model["trees"].items()}
+    assert sizes["xx"] == 30 and 0 < sizes["yy"] <= 30
