@@ -83,3 +83,21 @@ def test_seed_places_are_the_same_in_stretches(monkeypatch):
     monkeypatch.setattr(seeds, "PLACE_BITS", 7)
     # Fewer bits keep more of the hash; on these numbers the order is the same.
     assert (seeds._seed_places(grams, 20) == whole).all()
+
+
+def test_task_functions_do_not_carry_the_cache():
+    """The powers are made anew in each worker; sent along, they were 21 MB per function."""
+    from pyspark import cloudpickle
+
+    from lagscope.llm import interpolation, repeats, search, tokens
+
+    lx.powers(lx.PIECE)
+    assert len(lx._powers["up"]) >= lx.PIECE
+    functions = [
+        lx.window_hashes, tokens._writer("", ""), interpolation._send(2, 3), search._sign(np.zeros(3, np.uint64)),
+        repeats._region_lister(lambda *_: None, 5, 2),
+    ]
+    for function in functions:
+        sent = cloudpickle.dumps(function)
+        assert len(sent) < 1 << 20
+    assert len(cloudpickle.loads(cloudpickle.dumps(lx._powers))) == 0
