@@ -46,7 +46,7 @@ PART, OF = Fraction(str(LEAST_SHARE)).as_integer_ratio()
 #: found here does not depend on it.
 MISMATCH = -2
 BLOCK_WORDS = 1 << 20
-#: Bits of the filter that most words pass by without a search.
+#: Bits of the filter that most words pass by without a search: 16 per seed, but at most 2 to this.
 FILTER_BITS = 22
 
 
@@ -71,34 +71,50 @@ def seed_hashes(words: np.ndarray, mask: str) -> np.ndarray:
     return lx.mix(total ^ np.uint64(int(mask, 2)))
 
 
+def _cell(hashes: np.ndarray, sieve: np.ndarray) -> np.ndarray:
+    """The highest bits of hashes, as many as number the cells of a filter."""
+    return (hashes >> np.uint64(65 - len(sieve).bit_length())).astype(np.int64)
+
+
 class _Block:
-    """Items of the benchmark, their seeds sorted by hash, and a filter over them."""
+    """Items of the benchmark as word hashes. Their seeds, sorted by hash, and a filter over
+    them are made in the task that first asks: what is sent is 8 bytes per word."""
 
     def __init__(self, ids: list, texts: pa.Array):
         data, offsets = lx.text_bytes(pc.utf8_lower(texts))
         words = lx.Words(data, offsets, lx.LETTERS_DIGITS)
         self.ids, self.words, self.first = ids, words.hashes, words.first
-        masks = {int(n): masks_of(int(n)) for n in np.unique(words.counts) if n}
-        self.masks = sorted({mask for some in masks.values() for mask in some})
-        self.seeds = []
-        for mask in self.masks:
-            parts = []
-            for i in np.flatnonzero(np.isin(words.counts, [n for n, some in masks.items() if mask in some])):
-                own = seed_hashes(self.words[self.first[i] : self.first[i + 1]], mask)
-                parts.append((own, np.full(len(own), i), np.arange(len(own))))
-            hashes, item, place = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else (np.zeros(0, np.uint64),) * 3
-            order = np.argsort(hashes, kind="stable")
-            sieve = np.zeros(1 << FILTER_BITS, bool)
-            sieve[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
-            self.seeds.append((hashes[order], item[order].astype(np.int64), place[order].astype(np.int64), sieve))
+        self._made = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_made": None}
+
+    @property
+    def seeds(self) -> list[tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Per mask: hashes in order, their items and places, and the filter."""
+        if self._made is None:
+            counts = np.diff(self.first)
+            masks = {int(n): masks_of(int(n)) for n in np.unique(counts) if n}
+            self._made = []
+            for mask in sorted({mask for some in masks.values() for mask in some}):
+                parts = []
+                for i in np.flatnonzero(np.isin(counts, [n for n, some in masks.items() if mask in some])):
+                    own = seed_hashes(self.words[self.first[i] : self.first[i + 1]], mask)
+                    parts.append((own, np.full(len(own), i), np.arange(len(own))))
+                hashes, item, place = (np.concatenate(c) for c in zip(*parts, strict=True))
+                order = np.argsort(hashes, kind="stable")
+                sieve = np.zeros(1 << min(FILTER_BITS, (16 * len(hashes)).bit_length()), bool)
+                sieve[_cell(hashes, sieve)] = True
+                self._made.append((mask, hashes[order], item[order].astype(np.int64), place[order].astype(np.int64), sieve))
+        return self._made
 
     def lines(self, words: np.ndarray, inside_first: np.ndarray) -> Iterator[np.ndarray]:
         """Rows (text, item, shift): some seed of the item at word p is at word p + shift.
         Each line is in one of the arrays, which hold about MOST_LINES hits or one text's."""
         found = []
-        for mask, (hashes, _, _, sieve) in zip(self.masks, self.seeds, strict=True):
+        for mask, hashes, _, _, sieve in self.seeds:
             own = seed_hashes(words, mask)
-            at = np.flatnonzero(sieve[(own >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
+            at = np.flatnonzero(sieve[_cell(own, sieve)])
             owner = np.searchsorted(inside_first, at, "right") - 1
             whole = at + len(mask) <= inside_first[owner + 1]
             at, owner = at[whole], owner[whole]
@@ -111,7 +127,7 @@ class _Block:
         part = (np.cumsum(n_of) - n_of) // MOST_LINES
         for a, b in zip(*_borders(part), strict=True):
             rows = []
-            for (at, owner, low, n), (_, item, place, _) in zip(found, self.seeds, strict=True):
+            for (at, owner, low, n), (_, _, item, place, _) in zip(found, self.seeds, strict=True):
                 here = slice(*np.searchsorted(owner, (a, b)))
                 n = n[here]
                 nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)

@@ -89,15 +89,19 @@ def test_task_functions_do_not_carry_the_cache():
     """The powers are made anew in each worker; sent along, they were 21 MB per function."""
     from pyspark import cloudpickle
 
-    from lagscope.llm import interpolation, repeats, search, tokens
+    import pyarrow as pa
+
+    from lagscope.llm import decontaminate, interpolation, repeats, search, tokens
 
     lx.powers(lx.PIECE)
     assert len(lx._powers["up"]) >= lx.PIECE
+    items = decontaminate._Block([*"abcdefghij"], pa.array(["some words of an item that is asked about"] * 10))
+    assert len(items.seeds) == len(decontaminate.MASKS)
     functions = [
-        lx.window_hashes, tokens._writer("", ""), interpolation._send(2, 3), search._sign(np.zeros(3, np.uint64)),
+        decontaminate._finder(items), lx.window_hashes, tokens._writer("", ""), interpolation._send(2, 3), search._sign(np.zeros(3, np.uint64)),
         repeats._region_lister(lambda *_: None, 5, 2),
     ]
     for function in functions:
         sent = cloudpickle.dumps(function)
-        assert len(sent) < 1 << 20
+        assert len(sent) < 1 << 19
     assert len(cloudpickle.loads(cloudpickle.dumps(lx._powers))) == 0
