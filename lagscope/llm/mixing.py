@@ -20,6 +20,8 @@ Null texts have size 0, a null source is a source of its own, the last. Document
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +30,8 @@ from lagscope.llm.tables import decided, forget, row_names, stored
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 SALTS = 256
-MOST_STEPS = 60
+#: From this step on every second one halves the bracket, so that any source ends.
+PATIENCE = 30
 #: Newton stops when every source is this close to its target, as a share of it.
 CLOSE = 1e-9
 WORD = r"[^\x20\x09-\x0D]+"
@@ -77,7 +80,9 @@ def solve_tilts(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     """``sid`` and its multiplier ``tilt``: safeguarded Newton steps on the dual.
 
     ``sizes`` has (sid, size, n). Each step is one aggregation over it; the state between
-    steps is a written table of one row per source.
+    steps is a written table of one row per source. A source is done when it is as ``CLOSE``
+    as asked, or when no number is left between the ends of its bracket; steps go on until
+    all are.
     """
 
     def exact(value: Column) -> Column:
@@ -88,7 +93,7 @@ def solve_tilts(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     # Those at their cap, or without any target, need no tilt.
     free = (F.col("target") > 0) & (F.col("target") < F.col("cap") * (1 - 1e-12))
     state = stored(sources.filter(free).select("sid", "mean_size", "target").withColumns(open_ends), "tilts")
-    for _ in range(MOST_STEPS):
+    for step in count():
         x = F.col("size") / F.col("mean_size")
         rate = _rate(F.col("tilt") * x)
         tokens = F.col("n") * F.col("size")
@@ -113,7 +118,11 @@ def solve_tilts(sizes: DataFrame, sources: DataFrame) -> DataFrame:
             .otherwise((F.col("low") + F.col("high")) / 2)
         )
         inside = (newton > F.col("low")) & (newton < F.col("high"))
-        done = F.abs("off") <= CLOSE * F.col("target")
+        if step >= PATIENCE and step % 2:
+            inside = F.lit(False)
+        bounded = (F.col("low") > float("-inf")) & (F.col("high") < float("inf"))
+        nothing_between = bounded & ((halfway <= F.col("low")) | (halfway >= F.col("high")))
+        done = (F.abs("off") <= CLOSE * F.col("target")) | nothing_between
         after = stored(
             moved.select(
                 "sid", "mean_size", "target", "low", "high",

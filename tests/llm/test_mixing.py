@@ -119,3 +119,16 @@ def test_odd_rows(odd, nothing):
 def test_query(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source").collect()
     check(queries.mixing_entropy(spark, sf_dir).collect(), [tuple(r) for r in docs])
+
+
+def test_a_source_that_cannot_be_as_close_as_asked_still_ends(spark, monkeypatch):
+    """No sum meets a target of thirds: the bracket closes, at the nearest number there is."""
+    monkeypatch.setattr(mixing, "CLOSE", 0.0)
+    monkeypatch.setattr(mixing, "PATIENCE", 0)
+    sizes = spark.createDataFrame([(0, 3, 5), (0, 7, 2), (1, 4, 6)], "sid long, size long, n long")
+    sources = spark.createDataFrame(
+        [(0, 4.0, 29 / 3, 87.0), (1, 4.0, 100 / 3, 72.0)], "sid long, mean_size double, target double, cap double"
+    )
+    tilts = {r["sid"]: r["tilt"] for r in mixing.solve_tilts(sizes, sources).collect()}
+    taken = 15 * np.exp(tilts[0] * 3 / 4) + 14 * np.exp(tilts[0] * 7 / 4), 24 * np.exp(tilts[1])
+    assert np.allclose(taken, (29 / 3, 100 / 3), atol=1e-5)
