@@ -10,8 +10,10 @@ give each word a probability; a text's score is a logistic function of the expec
 number of toxic words, their share and the largest marginal.
 
 The classifier is fitted on at most ``MOST_LABELLED`` rows of each label, picked by a hash
-of their key, the field on ``MOST_SEQUENCES`` of them. Every text is read whole: it is
-cut into chains of ``CHAIN`` words, all of which are tagged.
+of their key, the field on ``MOST_SEQUENCES`` of them. Every text is one chain, however
+long. It is worked on in blocks of ``BLOCK`` words at a time, and the messages that pass
+from block to block follow from the product of each block's matrices: the size of a block
+changes no marginal.
 
 Null and empty texts have no words and get the score of a text without toxic words. A
 key that repeats in the labels counts once, as toxic if any of its labels is. Without toxic
@@ -36,7 +38,7 @@ MOST_SEQUENCES = 1_000
 PRIOR = 2.0
 STEPS = np.array([0.5, 0.9, 1.2, 1.5, 1.9, 2.3, 2.8, 3.4])
 TOXIC_EVIDENCE = 1.2
-CHAIN = 64
+BLOCK = 64
 ROUNDS = 60
 THRESHOLD = 0.3
 #: A word is reported as an offending span from this marginal on.
@@ -86,14 +88,52 @@ def _steps_of(evidence: np.ndarray):
     return sequences
 
 
-def chains(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and length of chains of up to ``CHAIN`` words that do not cross texts."""
+def blocks(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and length of blocks of up to ``BLOCK`` words that do not cross texts, and which
+    of its text's blocks each is."""
     sizes = np.diff(first)
-    n = -(-sizes // CHAIN)
+    n = -(-sizes // BLOCK)
     which = np.repeat(np.arange(len(sizes)), n)
     nth = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-    starts = first[which] + nth * CHAIN
-    return starts, np.minimum(sizes[which] - nth * CHAIN, CHAIN)
+    starts = first[which] + nth * BLOCK
+    return starts, np.minimum(sizes[which] - nth * BLOCK, BLOCK), nth
+
+
+def _live(sizes: np.ndarray) -> list[int]:
+    """Of blocks by falling size, how many are longer than 0, 1, 2 and so on."""
+    return [int(np.searchsorted(-sizes, -t, "left")) for t in range(int(sizes[0]) if len(sizes) else 0)]
+
+
+def _messages(
+    potential: np.ndarray, step: np.ndarray, starts: np.ndarray, sizes: np.ndarray, nth: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """For blocks by text and place, what the words before say of the state before the block,
+    and what those behind say of its last state; each up to a factor."""
+    before, behind = np.ones((len(starts), 2)), np.ones((len(starts), 2))
+    follows = np.flatnonzero(nth)
+    if not len(follows):
+        return before, behind
+    of_long = np.union1d(follows, follows - 1)
+    of_long = of_long[np.argsort(-sizes[of_long], kind="stable")]
+    through = np.zeros((len(of_long), 2, 2))
+    for t, k in enumerate(_live(sizes[of_long])):
+        at = potential[starts[of_long[:k]] + t][:, None, :]
+        now = np.eye(2) * at if t == 0 else (through[:k].reshape(-1, 2) @ step).reshape(-1, 2, 2) * at
+        through[:k] = now / now.sum(axis=(1, 2), keepdims=True)
+    whole = np.empty((len(starts), 2, 2))
+    whole[of_long] = through
+    by_place = follows[np.argsort(nth[follows], kind="stable")]
+    ends = np.cumsum(np.bincount(nth[by_place]))
+    places = [by_place[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    for at in places:
+        # The first block of a text has no state before it.
+        enters = before[at - 1] @ step if nth[at[0]] > 1 else before[at - 1]
+        leaves = (enters[:, :, None] * whole[at - 1]).sum(axis=1)
+        before[at] = leaves / leaves.sum(axis=1, keepdims=True)
+    for at in reversed(places):
+        leaves = (whole[at] * behind[at][:, None, :]).sum(axis=2) @ step.T
+        behind[at - 1] = leaves / leaves.sum(axis=1, keepdims=True)
+    return before, behind
 
 
 def marginals(emission: np.ndarray, move: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
@@ -101,43 +141,47 @@ def marginals(emission: np.ndarray, move: np.ndarray, first: np.ndarray) -> tupl
     neighbouring states, and the log partition sum.
 
     ``emission`` (words, 2) and ``move`` (2, 2) are log potentials, ``first`` the first word
-    of each text. All chains advance together, one word at a time.
+    of each text, which is one chain. All blocks advance together, one word at a time.
     """
-    starts, sizes = chains(first)
-    order = np.argsort(-sizes, kind="stable")
-    starts, sizes = starts[order], sizes[order]
-    longest = int(sizes[0]) if len(sizes) else 0
+    starts, sizes, nth = blocks(first)
     potential, step = np.exp(emission), np.exp(move)
-    live = [int(np.searchsorted(-sizes, -t, "left")) for t in range(longest)]  # chains longer than t
+    before, behind = _messages(potential, step, starts, sizes, nth)
+    order = np.argsort(-sizes, kind="stable")
+    starts, sizes, before, behind = starts[order], sizes[order], before[order], behind[order]
+    follows = nth[order] > 0
+    enters = np.where(follows[:, None], before @ step, 1.0)
+    live = _live(sizes)
+    longest = len(live)
     forward = np.empty((longest, len(starts), 2))
     scale = np.ones((longest, len(starts)))
     for t in range(longest):
         k = live[t]
-        at = potential[starts[:k] + t]
-        now = at if t == 0 else (forward[t - 1, :k] @ step) * at
+        now = (enters if t == 0 else forward[t - 1, :k] @ step) * potential[starts[:k] + t]
         scale[t, :k] = now.sum(axis=1)
         forward[t, :k] = now / scale[t, :k, None]
     toxic = np.zeros(len(emission))
     pairs = np.zeros((2, 2))
-    back = np.ones((len(starts), 2))
+    last = forward[sizes - 1, np.arange(len(starts))] if longest else behind
+    back = behind / (last * behind).sum(axis=1, keepdims=True)
     for t in range(longest - 1, -1, -1):
         k = live[t]
         both = forward[t, :k] * back[:k]
         both /= both.sum(axis=1, keepdims=True)
         toxic[starts[:k] + t] = both[:, 1]
+        ahead = potential[starts[:k] + t] * back[:k] / scale[t, :k, None]
         if t:
-            ahead = potential[starts[:k] + t] * back[:k] / scale[t, :k, None]
             pairs += step * (forward[t - 1, :k].T @ ahead)
             back[:k] = ahead @ step.T
+        else:
+            pairs += step * (before[follows].T @ ahead[follows])
     return toxic, pairs, float(np.log(scale).sum())
 
 
 def fit_field(steps: np.ndarray, label: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Weights that make the labels of the tokens likeliest (resilient gradient ascent)."""
     n = len(STEPS) + 1
-    starts, sizes = chains(first)
     linked = np.ones(len(steps), bool)
-    linked[starts] = False
+    linked[first[:-1][np.diff(first) > 0]] = False
     seen = np.zeros((n, 2))
     np.add.at(seen, (steps, label), 1)
     seen_pairs = np.zeros((2, 2))

@@ -38,9 +38,8 @@ def rows_of(df):
 def plain_score(model, text):
     """Words one by one, states by the sums of the two directions, the logistic last."""
     data = (text or "").lower().encode()
-    chains, words = [], re.findall(rb"[A-Za-z\x80-\xff]+", data)
-    for i in range(0, len(words), toxicity.CHAIN):
-        chains.append(words[i : i + toxicity.CHAIN])
+    words = re.findall(rb"[A-Za-z\x80-\xff]+", data)
+    chains = [words] if words else []
     marginals = []
     for chain in chains:
         scores = []

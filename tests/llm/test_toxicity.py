@@ -1,13 +1,16 @@
 import itertools
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from lagscope.llm import queries, toxicity
 from lagscope.llm.tables import held_out
 
 
-def test_marginals_are_those_of_all_paths():
+@pytest.mark.parametrize("size", [64, 3, 2, 1])
+def test_marginals_are_those_of_all_paths(monkeypatch, size):
+    monkeypatch.setattr(toxicity, "BLOCK", size)
     rng = np.random.default_rng(0)
     emission, move = rng.normal(size=(9, 2)), rng.normal(size=(2, 2))
     first = np.array([0, 4, 4, 9])
@@ -29,11 +32,35 @@ def test_marginals_are_those_of_all_paths():
     assert np.isclose(log_sum, expected_sum)
 
 
-def test_chains_hold_every_word_once():
+def test_blocks_hold_every_word_once():
     first = np.array([0, 0, 1, 200, 264])
-    starts, sizes = toxicity.chains(first)
+    starts, sizes, nth = toxicity.blocks(first)
     assert sorted(x for s, n in zip(starts, sizes, strict=True) for x in range(s, s + n)) == list(range(264))
-    assert sizes.max() <= toxicity.CHAIN
+    assert sizes.max() <= toxicity.BLOCK
+    assert nth.tolist() == [0, 0, 1, 2, 3, 0]
+
+
+def test_a_long_text_is_one_chain(monkeypatch):
+    """Strong potentials over thousands of words, against one recursion per text in logarithms."""
+    rng = np.random.default_rng(1)
+    first = np.array([0, 5000, 5000, 5001, 5066, 5130, 9000])
+    emission, move = rng.normal(0, 4, size=(9000, 2)), np.array([[3.0, -2.0], [-4.0, 2.0]])
+    expected = np.zeros(9000)
+    for a, b in zip(first[:-1], first[1:], strict=True):
+        ahead, behind = emission[a:b].copy(), np.zeros((b - a, 2))
+        for i in range(1, b - a):
+            ahead[i] += np.logaddexp(*(ahead[i - 1][:, None] + move))
+        for i in range(b - a - 2, -1, -1):
+            behind[i] = np.logaddexp(*(move + emission[a + i + 1] + behind[i + 1]).T)
+        both = ahead + behind
+        expected[a:b] = 1 / (1 + np.exp(np.clip(both[:, 0] - both[:, 1], -700, 700)))
+    found = [toxicity.marginals(emission, move, first)]
+    monkeypatch.setattr(toxicity, "BLOCK", 7)
+    found.append(toxicity.marginals(emission, move, first))
+    for toxic, _, _ in found:
+        assert np.allclose(toxic, expected, atol=1e-9)
+    assert np.allclose(found[0][1], found[1][1]) and np.isclose(found[0][2], found[1][2])
+    assert np.isclose(found[0][1].sum(), 9000 - 5)
 
 
 def test_planted_words_are_found_and_placed(spark):
