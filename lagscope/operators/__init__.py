@@ -30,6 +30,7 @@ from lagscope.operators.ranking import (
 )
 from lagscope.operators.resample import last_rows, resample, resample_by_rule
 from lagscope.operators.states import PeriodStates, month_states
+from lagscope.operators.uniqueness import repeated_values, unique_failures_of_repeats
 
 __all__ = [
     "PeriodStates",
@@ -53,6 +54,7 @@ __all__ = [
     "rank_by_strength",
     "rank_overall",
     "relative",
+    "repeated_values",
     "resample",
     "resample_by_rule",
     "row_count_failures",
@@ -62,6 +64,7 @@ __all__ = [
     "strongest_pairs",
     "top_drivers",
     "unique_failures",
+    "unique_failures_of_repeats",
     "whole",
     "whole_correlation",
     "with_changes",

@@ -667,4 +667,7 @@ ORACLES: dict[str, str] = {
             ]
         ),
     ),
+    "dq_unique_records": " UNION ALL ".join(
+        [_unique("orders", "o_orderkey"), _unique("orders", "o_custkey"), _unique("lineitem", "l_linenumber", "l_orderkey")]
+    ),
 }

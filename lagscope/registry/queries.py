@@ -19,6 +19,7 @@ from lagscope.operators import (
     spread_series,
     strongest_pairs,
     top_drivers,
+    unique_failures_of_repeats,
     with_changes,
     with_changes_any_length,
 )
@@ -450,6 +451,13 @@ def dq_order_records(spark, sf_dir):
     return models.run_checks({"stg_fred_new_orders": staged}, ("not_null", "unique"))
 
 
+def dq_unique_records(spark, sf_dir):
+    """Values of whole raw tables that must not repeat, and one that does, found by a filter first."""
+    orders, lines = (roles.table(spark, sf_dir, t) for t in ("orders", "lineitem"))
+    by_order = unique_failures_of_repeats(lines, "lineitem", ["l_linenumber"], ["l_orderkey"])
+    return unique_failures_of_repeats(orders, "orders", ["o_orderkey", "o_custkey"]).unionAll(by_order)
+
+
 QUERIES: dict[str, Query] = {
     "stage_prices": _staged("smh_prices"),
     "stage_benchmark": _staged("sp500_prices"),
@@ -514,4 +522,5 @@ QUERIES: dict[str, Query] = {
     "dq_grain": _checks("grain", "row_count"),
     "dq_panel": dq_panel,
     "dq_order_records": dq_order_records,
+    "dq_unique_records": dq_unique_records,
 }
