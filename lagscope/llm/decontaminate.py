@@ -216,7 +216,7 @@ def _finder(block: _Block, text_column: str = "text", only: bool = False):
                 names=["key", "item", "doc_start", "item_start", "span", "matched"],
             )
 
-    return find
+    return lx.tidy(find)
 
 
 def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[_Block]:

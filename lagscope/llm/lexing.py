@@ -7,7 +7,8 @@ work on such a run, so no Python code runs per word. A run is cut into pieces of
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -97,6 +98,25 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The task function, giving freed memory back when it ends: a worker serves many stages and
+    would keep the most that any of them took."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        give_back()
+
+    return run
+
+
 def pieces(offsets: np.ndarray, size: int = PIECE) -> Iterator[tuple[int, int]]:
     """Ranges of documents of about ``size`` bytes; every document is in one of them."""
     first, n = 0, len(offsets) - 1

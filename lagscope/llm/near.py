@@ -138,7 +138,7 @@ def _signer(size: int):
                 names=["key", "name", "n", "cls", "halves", "parity"],
             )
 
-    return sign
+    return lx.tidy(sign)
 
 
 def _list_halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -387,7 +387,7 @@ def _writer(folder: str, file: str):
             out.close()
         yield from found
 
-    return write
+    return lx.tidy(write)
 
 
 def _indexer(folder: str, parts: int):

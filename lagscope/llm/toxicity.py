@@ -302,7 +302,7 @@ def _scorer(model: dict):
                 names=["key", "score", "toxic_spans"],
             )
 
-    return score
+    return lx.tidy(score)
 
 
 def score_toxicity(docs: DataFrame, model: dict | None, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -335,4 +335,4 @@ def keep_civil(docs: DataFrame, model: dict | None, text: str = "text") -> DataF
             (scored,) = inner(iter([own]))
             yield batch.filter(pc.less(scored.column("score"), THRESHOLD))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(lx.tidy(keep), docs.schema)
