@@ -9,10 +9,11 @@ its code length.
 
 Bytes are folded to 64 symbols (letters of ASCII, lower half and leading bytes of longer
 characters, all else one gap; runs of gaps count once), so a tree cannot have more than
-64**4 paths. Paths seen ``LEAST_SEEN`` times or more in the training text are kept, of each
-language as many of the most frequent ones as its equal share of ``MOST_PATHS``, with a warning
-where that leaves some out: the size of what is sent to the tasks does not depend on the
-input, and rare languages keep their trees beside frequent ones.
+64**4 paths. All paths seen ``LEAST_SEEN`` times or more in the training text count. The tasks
+are sent, of each language, as many of the most frequent ones as its equal share of
+``MOST_PATHS``, so what is sent does not depend on the input. Where a language has more, with a
+warning, the costs of all its paths are computed in Spark and stored, and the tasks read them
+from there, one language at a time, and correct the code lengths by those not in memory.
 
 A null text, or one without a letter, is ``und`` with score 0. Rows without a language
 or a text teach nothing; without any lesson every text is ``und``.
@@ -26,11 +27,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lagscope.llm import lexing as lx
 from lagscope.llm.tables import stored
+from lagscope.session import scratch_dir
 
 ORDER = 3
 BITS = 6
@@ -38,6 +42,9 @@ LEAST_SEEN = 2
 MOST_PATHS = 1 << 20
 UNKNOWN = "und"
 GAP = 0
+#: What is stored of a language: costs of paths, of escapes by context, and counts of paths that
+#: are one context symbol shorter.
+OWN, ESCAPE, SHORTER = range(3)
 
 SYMBOL = np.zeros(256, np.uint8)
 SYMBOL[0x61:0x7B] = np.arange(1, 27)
@@ -97,57 +104,131 @@ def fit_trees(labelled: DataFrame, text: str = "text", lang: str = "lang") -> di
         "context-paths",
     )
     # One row per language.
-    held = counted.groupBy("lang").agg(F.count(F.lit(1)).alias("paths")).collect()
-    share = MOST_PATHS // max(len(held), 1)
-    cut = sorted(r["lang"] for r in held if r["paths"] > share)
+    held = {r["lang"]: r["paths"] for r in counted.groupBy("lang").agg(F.count(F.lit(1)).alias("paths")).collect()}
+    langs = sorted(held, key=lambda s: [ord(c) for c in s])
+    share = max(MOST_PATHS // max(len(langs), 1), 1)
+    cut = [name for name in langs if held[name] > share]
     if cut:
-        warnings.warn(f"context trees cut to the {share} most frequent paths each: {', '.join(cut)}", stacklevel=2)
+        warnings.warn(
+            f"context trees in memory cut to the {share} most frequent paths each: {', '.join(cut)}; the others are read from files",
+            stacklevel=2,
+        )
     # A language has at most 64**4 paths, whatever its share of the texts.
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "path")
     paths = counted.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= share).drop("place").toArrow()
     lang_of, path, n = (paths.column(c) for c in ("lang", "path", "n"))
-    langs = sorted(set(lang_of.to_pylist()), key=lambda s: [ord(c) for c in s])
     trees = {}
     for name in langs:
         chosen = pc.equal(lang_of, name)
         own = path.filter(chosen).to_numpy(), n.filter(chosen).to_numpy()
         order = np.argsort(own[0])
         trees[name] = own[0][order], own[1][order]
-    return {"langs": langs, "trees": trees}
+    return {"langs": langs, "trees": trees, "cut": cut, "costs": _store_costs(counted, cut) if cut else None}
 
 
-def _costs(path: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bits of each kept path, of the escape from each longest context, and of each symbol
-    after the context that is one symbol shorter, whether seen or not."""
+def _store_costs(counted: DataFrame, cut: list[str]) -> str:
+    """Store what follows from all paths of the languages ``cut``, each under its number in that
+    list; returns where. Only paths that share a context meet, 64 at most."""
+    spark = counted.sparkSession
+    numbers = spark.createDataFrame(list(enumerate(cut)), "number int, lang string")
+    context = F.shiftright("path", BITS)
+    paths = counted.join(F.broadcast(numbers), "lang").select("number", "path", "n", context.alias("context"))
+    together = Window.partitionBy("number", "context")
+    total, kinds = F.sum("n"), F.count(F.lit(1))
+    own = F.log2(total.over(together) + kinds.over(together)) - F.log2("n")
+    shorter = F.col("path").bitwiseAND(F.lit((1 << BITS * ORDER) - 1)).alias("place")
+
+    def of(kind: int, rows: DataFrame) -> DataFrame:
+        return rows.select("number", F.lit(kind).alias("kind"), "place", F.col("value").cast("double").alias("value"))
+
+    found = (
+        of(OWN, paths.select("number", F.col("path").alias("place"), own.alias("value")))
+        .union(of(ESCAPE, paths.groupBy("number", F.col("context").alias("place")).agg(F.log2((total + kinds) / kinds).alias("value"))))
+        .union(of(SHORTER, paths.groupBy("number", shorter).agg(total.alias("value"))))
+    )
+    folder = scratch_dir(spark, "context-costs")
+    found.write.partitionBy("number", "kind").parquet(folder)
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toUri().toString()
+
+
+def _read_costs(costs: str, number: int, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and what is stored of them, by place."""
+    store, folder = fs.FileSystem.from_uri(costs)
+    rows = pq.read_table(
+        f"{folder}/number={number}/kind={kind}", columns=["place", "value"], filesystem=store, partitioning=None
+    )
+    place, value = (rows.column(c).to_numpy() for c in ("place", "value"))
+    order = np.argsort(place)
+    return place[order], value[order]
+
+
+def _level(path: np.ndarray, n: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different paths cut to ``depth`` symbols of context, the bits of each, and those of
+    the escape from each context."""
+    cut = path & ((1 << BITS * (depth + 1)) - 1)
+    short, place = np.unique(cut, return_inverse=True)
+    seen = np.bincount(place, n)
+    # The symbol is in the low bits, its context above them.
+    context = short >> BITS
+    size = 1 << BITS * depth
+    total = np.bincount(context, seen, minlength=size)
+    kinds = np.bincount(context, minlength=size)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        escape = np.where(total > 0, np.log2((total + kinds) / np.maximum(kinds, 1)), 0.0)
+    return short, np.log2(total[context] + kinds[context]) - np.log2(seen), escape
+
+
+def _lower(path: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Bits of each symbol after each context that is one symbol shorter than the longest,
+    whether seen or not."""
     lower = np.full(1 << BITS, float(BITS))
-    for depth in range(ORDER + 1):
-        # The paths cut to ``depth`` symbols of context.
-        cut = path & ((1 << BITS * (depth + 1)) - 1)
-        short, place = np.unique(cut, return_inverse=True)
-        seen = np.bincount(place, n)
-        # The symbol is in the low bits, its context above them.
-        context = short >> BITS
-        size = 1 << BITS * depth
-        total = np.bincount(context, seen, minlength=size)
-        kinds = np.bincount(context, minlength=size)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            escape = np.where(total > 0, np.log2((total + kinds) / np.maximum(kinds, 1)), 0.0)
-        own = np.log2(total[context] + kinds[context]) - np.log2(seen)
-        if depth == ORDER:
-            return own, escape, lower
+    for depth in range(ORDER):
+        short, own, escape = _level(path, n, depth)
         # An unseen symbol: the escape, then its cost one context symbol shorter.
-        shorter = np.arange(size << BITS) & (len(lower) - 1)
+        shorter = np.arange(len(escape) << BITS) & (len(lower) - 1)
         lower = np.repeat(escape, 1 << BITS) + lower[shorter]
         lower[short] = own
+    return lower
+
+
+def _costs(path: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bits of each kept path, of the escape from each longest context, and of each symbol
+    after the context that is one symbol shorter, whether seen or not."""
+    _, own, escape = _level(path, n, ORDER)
+    return own, escape, _lower(path, n)
 
 
 def _scorer(model: dict):
     tables: dict = {}
 
+    def costs_of(name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Costs of the paths in memory, and of those not seen."""
+        if name not in model["cut"]:
+            return _costs(*model["trees"][name])
+        number = model["cut"].index(name)
+        (path, own), (context, bits), shorter = (_read_costs(model["costs"], number, kind) for kind in (OWN, ESCAPE, SHORTER))
+        escape = np.zeros(1 << BITS * ORDER)
+        escape[context] = bits
+        return own[np.searchsorted(path, model["trees"][name][0])], escape, _lower(*shorter)
+
+    def others(name: str) -> np.ndarray:
+        """For every path the cost it has over that of one not seen, if it was seen but is not
+        in memory; of one language at a time, as that takes 64**4 numbers."""
+        if tables.get("name") != name:
+            tables.pop("others", None)
+            path, own = _read_costs(model["costs"], model["cut"].index(name), OWN)
+            j = model["langs"].index(name)
+            more = np.zeros(1 << BITS * (ORDER + 1), np.float32)
+            more[path] = own - (tables["rest"][path & tables["low"], j] + tables["escapes"][path >> BITS, j])
+            more[model["trees"][name][0]] = 0
+            tables.update(name=name, others=more)
+        return tables["others"]
+
     def build() -> None:
         langs, trees = model["langs"], model["trees"]
         known = np.unique(np.concatenate([trees[name][0] for name in langs]))
-        costs = [_costs(*trees[name]) for name in langs]
+        costs = [costs_of(name) for name in langs]
         low = (1 << BITS * ORDER) - 1
         rest = np.empty((1 << BITS * ORDER, len(langs)), np.float32)
         escapes = np.empty_like(rest)
@@ -186,6 +267,11 @@ def _scorer(model: dict):
                     path, owner = _paths(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                     parts.append(bits(path, owner, b - a))
                 total = np.concatenate(parts)
+                for name in model["cut"]:
+                    more, j = others(name), model["langs"].index(name)
+                    for a, b in lx.pieces(offsets):
+                        path, owner = _paths(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                        total[a:b, j] += np.bincount(owner, more[path], minlength=b - a)
                 best = total.argmin(axis=1)
                 more = np.minimum(total - total.min(axis=1, keepdims=True), 1000.0)
                 share = 1 / np.exp2(-more).sum(axis=1)

@@ -97,3 +97,27 @@ def test_each_language_keeps_its_share_of_paths(spark, monkeypatch):
         model = language.fit_trees(df)
     sizes = {name: len(path) for name, (path, _) in model["trees"].items()}
     assert sizes["xx"] == 30 and 0 < sizes["yy"] <= 30
+
+
+@pytest.mark.parametrize("most", [1, 60])
+def test_paths_that_are_not_in_memory_count_all_the_same(spark, monkeypatch, most):
+    """Code lengths are those of whole trees, however few of their paths are sent to the tasks,
+    and no language is lost where there are more of them than such paths."""
+    monkeypatch.setattr(language, "MOST_PATHS", most)
+    texts = ["the dog and the house", "Der Hund, über das Haus", "la rue été!!", "zzz qqq", "x", "", None, "über 中文 the"]
+    texts += ["et le chien est pas la maison " * 50_000]
+    rows = [(lang, t) for lang, own in LESSONS.items() for t in own]
+    with pytest.warns(UserWarning, match="cut to the"):
+        model = language.fit_trees(spark.createDataFrame(rows, "lang string, text string"))
+    assert model["langs"] == ["de", "en", "fr"]
+    assert 0 < max(len(path) for path, _ in model["trees"].values()) <= max(most // 3, 1)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = {r["doc_id"]: r for r in language.predict_language(df, model).collect()}
+    for i, t in enumerate(texts):
+        if not t:
+            assert (found[i]["lang_pred"], found[i]["score"]) == (language.UNKNOWN, 0.0)
+            continue
+        bits = {lang: plain_bits(own, t) for lang, own in LESSONS.items()}
+        best = min(bits.values())
+        assert bits[found[i]["lang_pred"]] - best < 1e-3
+        assert np.isclose(found[i]["score"], 1 / sum(2 ** max(best - b, -1000) for b in bits.values()), atol=1e-4)
