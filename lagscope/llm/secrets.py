@@ -99,7 +99,7 @@ def _places(text: Column, pattern: str) -> Column:
         return _bound(shifts(blocks), lambda before: F.flatten(F.transform(blocks, lambda b, i: moved(b, F.get(before, i)))))
 
     blocks = _bound(steps, lambda all_steps: F.transform(
-        F.sequence(F.lit(0), F.call_function("div", F.size(all_steps) - 1, F.lit(STEPS)).cast("int")),
+        F.sequence(F.lit(0), F.call_function("div", F.greatest(F.size(all_steps) - 1, F.lit(0)), F.lit(STEPS)).cast("int")),
         lambda block: in_block(all_steps, block),
     ))
     return _bound(blocks, placed)
