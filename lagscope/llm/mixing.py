@@ -132,25 +132,25 @@ def solve_tilts(sizes: DataFrame, sources: DataFrame) -> DataFrame:
             "tilts",
         )
         forget(state)
-        left = after.filter(~F.col("done")).count()
+        all_done = after.filter(~F.col("done")).isEmpty()
         state = after.drop("done")
-        if not left:
+        if all_done:
             break
     return state.select("sid", "tilt")
 
 
 def whole_copies(rated: DataFrame) -> DataFrame:
-    """(sid, size, n, rate) to (sid, size, copies): whole copies shared by the n documents
-    of one size, so that each source's tokens come as near to the sum of rates as its
-    smallest documents allow."""
+    """(sid, size, n, rate) to the same with ``copies``, without size 0: whole copies shared by
+    the n documents of one size, so that each source's tokens come as near to the sum of rates
+    as its smallest documents allow."""
     row = F.struct(F.col("size"), F.col("n"), F.col("rate"))
     per_source = rated.filter(F.col("size") > 0).groupBy("sid").agg(F.sort_array(F.collect_list(row), asc=False).alias("rows"))
-    kind = "array<struct<size:bigint,copies:bigint>>"
+    kind = "array<struct<size:bigint,n:bigint,rate:double,copies:bigint>>"
 
     def share(state: Column, r: Column) -> Column:
         due = r["n"] * r["rate"] * r["size"] + state["left"]
         copies = F.least(F.greatest(F.round(due / r["size"]), F.lit(0.0)), (MOST_COPIES * r["n"]).cast("double"))
-        given = F.struct(r["size"].alias("size"), copies.cast("long").alias("copies"))
+        given = F.struct(*(r[c].alias(c) for c in ("size", "n", "rate")), copies.cast("long").alias("copies"))
         return F.struct((due - copies * r["size"]).alias("left"), F.array_append(state["done"], given).alias("done"))
 
     def block(state: Column, first: Column) -> Column:
@@ -180,25 +180,27 @@ def _mixed(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
     sources = stored(source_targets(sized), "sources")
     rows = sized.withColumn("salt", salt).join(sources, sized["source"].eqNullSafe(sources["source"])).drop("source")
     parts = stored(rows.groupBy("sid", "size", "salt").agg(F.count(F.lit(1)).alias("n")), "parts")
-    sizes = parts.groupBy("sid", "size").agg(F.sum("n").alias("n"))
+    # Stored, since every Newton step reads it: what a step plans and runs is as small as can be.
+    sizes = stored(parts.groupBy("sid", "size").agg(F.sum("n").alias("n")), "counts")
     tilts = solve_tilts(sizes, sources)
     tilted = _rate(F.col("tilt") * F.col("size") / F.col("mean_size"))
     at_end = F.when(F.col("target") > 0, float(MOST_COPIES)).otherwise(0.0)
     rated = sizes.join(sources, "sid").join(tilts, "sid", "left").withColumn("rate", F.coalesce(tilted, at_end))
-    copies = whole_copies(rated.select("sid", "size", "n", "rate"))
+    copies = whole_copies(rated.select("sid", "size", "n", "rate")).withColumnRenamed("n", "group")
     # The copies of a size, dealt to its parts in proportion to their documents.
     in_order = Window.partitionBy("sid", "size").orderBy("salt")
     seen = F.sum("n").over(in_order)
-    group = F.sum("n").over(Window.partitionBy("sid", "size"))
-    over = F.col("copies") - F.floor(F.col("copies") / group) * group
-    upto = F.call_function("div", over * seen, group)
-    dealt = (
+    each = F.floor(F.col("copies") / F.col("group"))
+    over = F.col("copies") - each * F.col("group")
+    upto = F.call_function("div", over * seen, F.col("group"))
+    dealt = stored(
         parts.join(copies, ["sid", "size"])
-        .withColumns({"each": F.floor(F.col("copies") / group), "upto": upto})
+        .withColumns({"each": each, "upto": upto})
         .withColumn("more", F.col("upto") - F.coalesce(F.lag("upto").over(in_order), F.lit(0)))
-        .join(rated.select("sid", "size", "rate"), ["sid", "size"])
-        .select("sid", "size", "salt", "each", "more", "rate")
+        .select("sid", "size", "salt", "each", "more", "rate"),
+        "dealt",
     )
+    forget(parts, sizes, tilts)
     rank = F.row_number().over(Window.partitionBy("sid", "size", "salt").orderBy(F.xxhash64("key", F.lit(1)), "key"))
     mixed = rows.join(dealt, ["sid", "size", "salt"], "left")
     own = F.coalesce(F.col("each") + F.when(rank <= F.col("more"), 1).otherwise(0), F.lit(0)).cast("long")

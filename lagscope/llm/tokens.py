@@ -529,6 +529,8 @@ def write_tokens(docs: DataFrame, folder: str, file: str, key: str = "doc_id", t
     placed.write.parquet(f"{folder}/documents")
     placed = spark.read.parquet(f"{folder}/documents")
     width = Encoder(file).width.itemsize
+    # The driver reads the tokenizer for its width alone and need not keep that memory.
+    lx.give_back()
     # One row per shard goes through one task.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = placed.groupBy("shard").agg(F.sum("n_tokens").alias("n_tokens"))

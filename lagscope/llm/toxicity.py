@@ -273,7 +273,9 @@ def fit_toxicity(
     # Each label weighs as it does among all labels that were counted.
     share = {0: n_clean / max((is_toxic == 0).sum(), 1), 1: n_toxic / max((is_toxic == 1).sum(), 1)}
     weight = np.where(is_toxic == 1, share[1], share[0]) * len(is_toxic) / (n_clean + n_toxic)
-    return {"evidence": evidence.astype(np.float32), "emit": emit, "move": move, "beta": _logistic(of_text, is_toxic, weight)}
+    beta = _logistic(of_text, is_toxic, weight)
+    lx.give_back()
+    return {"evidence": evidence.astype(np.float32), "emit": emit, "move": move, "beta": beta}
 
 
 def _scorer(model: dict):

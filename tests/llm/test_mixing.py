@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lagscope.llm import mixing, queries
+from lagscope.llm import mixing, queries, tables
 
 
 def plain_targets(sizes):
@@ -132,3 +132,22 @@ def test_a_source_that_cannot_be_as_close_as_asked_still_ends(spark, monkeypatch
     tilts = {r["sid"]: r["tilt"] for r in mixing.solve_tilts(sizes, sources).collect()}
     taken = 15 * np.exp(tilts[0] * 3 / 4) + 14 * np.exp(tilts[0] * 7 / 4), 24 * np.exp(tilts[1])
     assert np.allclose(taken, (29 / 3, 100 / 3), atol=1e-5)
+
+
+def test_the_driver_plans_small_steps(spark, uneven, monkeypatch):
+    """Sizes are counted once and not in every Newton step, and the mix reads dealt copies: the
+    driver holds small plans at any time."""
+    plans = []
+
+    def kept(df, purpose):
+        plans.append((purpose, df._jdf.queryExecution().executedPlan().toString()))
+        return tables.stored(df, purpose)
+
+    monkeypatch.setattr(mixing, "stored", kept)
+    df = spark.createDataFrame(uneven, "doc_id long, text string, source string")
+    mixed = mixing.mix_sources(df)
+    steps = [plan for purpose, plan in plans if purpose == "tilts"][1:]
+    assert len(steps) > 1
+    assert all(plan.count("Exchange hashpartitioning") == 1 for plan in steps)
+    assert "Generate" not in mixed._jdf.queryExecution().executedPlan().toString()
+    check(mixed.collect(), uneven)
